@@ -21,8 +21,8 @@ def money_ratio(units: Column, count: Column) -> Column:
 
 
 def wavg(value: Column, weight: Column) -> Column:
-    """Weighted mean as an aggregate; NULL when the weights sum to zero."""
-    return F.try_divide(F.sum(value * weight), F.sum(weight))
+    """Weighted mean as an aggregate; NULL when the weights sum to zero, missing values add nothing."""
+    return F.try_divide(F.coalesce(F.sum(value * weight), F.lit(0.0)), F.sum(weight))
 
 
 def wvar(value: Column, weight: Column) -> Column:
@@ -53,9 +53,9 @@ def scaled_modifier(modifier: Column, scale: float) -> Column:
 
 
 def bid_clip(target: Column, old: Column, max_cut: Column, max_push: Column, floor: Column) -> Column:
-    """Target kept within old*(1+cut) .. old*(1+push), then at least ``floor``, in cents."""
+    """Target kept within old*(1+cut) .. old*(1+push), then at least ``floor``, in cents; no target, no bid."""
     clipped = F.least(F.greatest(target, old * (F.lit(1.0) + max_cut)), old * (F.lit(1.0) + max_push))
-    return F.bround(F.greatest(clipped, floor), 2)
+    return F.when(target.isNotNull(), F.bround(F.greatest(clipped, floor), 2))
 
 
 def day_decay(days_back: Column, rate: float = 0.03) -> Column:
