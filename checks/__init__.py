@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES: list[str] = [
-    "slots", "sessions", "bids",
+    "slots", "sessions", "bids", "curves",
 ]
 
 
