@@ -27,16 +27,29 @@ def keyword_rates(daily: DataFrame, as_of, threshold: float = CLICK_THRESHOLD) -
     return threshold_rate(stacked, kw.GROUP, [F.col("date").desc(), F.col("match").desc()], threshold)
 
 
-def bid_candidates(rows: DataFrame, entity: DataFrame, accounts: DataFrame, as_of) -> DataFrame:
+ATTRIBUTES = ["account_num", "match", "campaign_id", "adgroup_id", "campaign", "adgroup", "keyword", "adgroup_norm",
+              "keyword_norm", "geo"]
+
+
+def daily_keywords(rows: DataFrame) -> DataFrame:
+    """The one pass over the reporting rows: sums and newest attributes per day and keyword.
+
+    Window sums, attributes and rates are all derived from this much smaller table.
+    """
+    newest = F.max(F.struct("transaction_date_time", *ATTRIBUTES)).alias("newest")
+    return rows.groupBy("date", "match", "keyword_id", "geo", "campaign_id", "adgroup_norm", "keyword_norm").agg(
+        *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in kw.PERFORMANCE], newest)
+
+
+def bid_candidates(daily: DataFrame, entity: DataFrame, accounts: DataFrame, as_of) -> DataFrame:
     """One row per enabled keyword with its attributes, account switch and window sums."""
-    attributes = kw.latest_attributes(rows, "keyword_id", [
-        "account_num", "match", "campaign_id", "adgroup_id", "campaign", "adgroup", "keyword", "adgroup_norm",
-        "keyword_norm", "geo"])
+    attributes = daily.groupBy("keyword_id").agg(F.max("newest").alias("newest")).select(
+        "keyword_id", *[F.col(f"newest.{c}").alias(c) for c in ATTRIBUTES])
     bids = kw.attach_entity(attributes, entity).na.drop(subset=kw.GROUP)
     bids = bids.join(accounts.select(
         "account_id", "click_threshold", "roi_target", "max_push", "max_cut", "cpc_min", "keyword_bidder_enabled",
         "keyword_geo_bidder_enabled"), "account_id", "left").filter(F.col("keyword_bidder_enabled") == "Y")
-    bids = bids.join(kw.span_performance(rows, as_of), "keyword_id", "left").na.fill(0.0, subset=PERF_COLUMNS)
+    bids = bids.join(kw.span_performance(daily, as_of), "keyword_id", "left").na.fill(0.0, subset=PERF_COLUMNS)
     bids = bids.withColumns({f"{c}_raw": F.col(c) for c in PERF_COLUMNS})
     shared = kw.share_geo_groups(bids, PERF_COLUMNS)
     mean_bid = bids.agg(F.avg("latest_max_cpc").alias("mean_bid"))
@@ -48,12 +61,11 @@ def bid_candidates(rows: DataFrame, entity: DataFrame, accounts: DataFrame, as_o
 def keyword_bids(rows: DataFrame, entity: DataFrame, accounts: DataFrame, as_of, roi_target: float = ROI_TARGET,
                  threshold: float = CLICK_THRESHOLD) -> DataFrame:
     """New bids. ``rows`` are cleaned reporting rows (see ``clean_perf``) of the performance window."""
-    daily = kw.attach_entity(
-        rows.groupBy("date", "match", "keyword_id", "geo", "campaign_id", "adgroup_norm", "keyword_norm").agg(
-            *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in kw.PERFORMANCE]), entity)
-    daily = kw.group_sums(daily.na.drop(subset=["match", *kw.GROUP]), ["date", "match", *kw.GROUP], kw.PERFORMANCE)
-    bids = bid_candidates(rows, entity, accounts, as_of).join(
-        keyword_rates(daily, as_of, threshold), kw.GROUP, "left")
+    daily = daily_keywords(rows)
+    grouped = kw.group_sums(kw.attach_entity(daily, entity).na.drop(subset=["match", *kw.GROUP]),
+                            ["date", "match", *kw.GROUP], kw.PERFORMANCE)
+    bids = bid_candidates(daily, entity, accounts, as_of).join(
+        keyword_rates(grouped, as_of, threshold), kw.GROUP, "left")
     priced = bids.withColumnRenamed("latest_max_cpc", "max_cpc_old").withColumns({
         "cpc_observed": F.try_divide("cost", "clicks"), "cpc_target": F.col("rpc_est") / F.lit(roi_target)})
     new_bid = bid_clip(F.col("cpc_target"), F.col("max_cpc_old"), F.lit(MAX_CUT), F.lit(MAX_PUSH), F.lit(CPC_MIN))

@@ -110,7 +110,7 @@ FROM events
 """
 
 APPLICATIONS = """
-SELECT o_custkey AS app_pid, CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE concat('F', CAST(o_custkey AS STRING)) END AS foreign_pid,
+SELECT CAST(floor(o_orderkey / 3.0) AS BIGINT) AS app_pid, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE concat('F', CAST(CAST(floor(o_orderkey / 3.0) AS BIGINT) AS STRING)) END AS foreign_pid,
   CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CASE o_orderkey % 5 WHEN 0 THEN 'stm' WHEN 1 THEN 'STM' WHEN 2 THEN 'BTM' WHEN 3 THEN 'DENTAL' ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'VISION' ELSE 'SUPPLEMENTAL' END END END AS product_type,
   CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_totalprice / 1000 END AS premium_amount,
   CAST(o_orderdate AS DATE) AS effective_date,
