@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+# ship these helpers inside the task, so that workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Lanczos approximation of log gamma (g = 7, nine terms).
 _LANCZOS = (
@@ -88,18 +95,18 @@ def _null_safe(values: np.ndarray) -> pd.Series:
     return pd.Series(values).astype(object).where(~np.isnan(values), None).astype("Float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_two_sided_p(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p value of a t statistic."""
     return _null_safe(t_two_sided(t.to_numpy(dtype=float), df.to_numpy(dtype=float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_upper_quantile(p: pd.Series, df: pd.Series) -> pd.Series:
     return _null_safe(t_quantile(p.to_numpy(dtype=float), df.to_numpy(dtype=float)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def beta_ppf(p: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
     """Quantile of the beta distribution; NULL where a parameter is not positive."""
     return _null_safe(beta_quantile(*(s.to_numpy(dtype=float) for s in (p, a, b))))

@@ -84,11 +84,11 @@ def geo_keyword_counts(rows: DataFrame, limit: int = 60) -> DataFrame:
 def geo_shares(rows: DataFrame, bids: DataFrame) -> DataFrame:
     """Share of rows, keywords, campaigns and bids that are geo-granular, as one row."""
     flag = F.col("geo").cast("double")
-    by_keyword = rows.select("keyword_id", "geo").distinct().agg(F.avg(flag).alias("keyword_share"))
-    by_campaign = rows.groupBy("campaign").agg(F.max("geo").alias("geo")).na.drop(subset=["campaign"]).agg(
-        F.avg(flag).alias("campaign_share"))
-    row_share = rows.agg(F.avg(flag).alias("row_share"))
-    return row_share.crossJoin(by_keyword).crossJoin(by_campaign).crossJoin(bids.agg(F.avg(flag).alias("bid_share")))
+    by_keyword = rows.select("keyword_id", "geo").distinct().agg(F.avg(flag))
+    by_campaign = rows.groupBy("campaign").agg(F.max("geo").alias("geo")).na.drop(subset=["campaign"]).agg(F.avg(flag))
+    return rows.agg(F.avg(flag).alias("row_share")).withColumns({
+        "keyword_share": by_keyword.scalar(), "campaign_share": by_campaign.scalar(),
+        "bid_share": bids.agg(F.avg(flag)).scalar()})
 
 
 def upsample_check(bids: DataFrame, rows: DataFrame, as_of, days: int = 7) -> DataFrame:

@@ -59,14 +59,15 @@ def lapse_dates(cleaned: DataFrame) -> DataFrame:
     return cleaned.filter(ended).groupBy("app_pid").agg(*columns)
 
 
-def as_of_date(applications: DataFrame) -> DataFrame:
-    return applications.agg(F.max(F.to_date("datetime_created")).alias("asof_date"))
+def as_of_date(applications: DataFrame) -> Column:
+    """Newest creation date, as a one-value subquery."""
+    return applications.agg(F.max(F.to_date("datetime_created"))).scalar()
 
 
 def fixed_applications(applications: DataFrame) -> DataFrame:
     """Cleaned rows with lapses, days in force and monthly premium."""
     cleaned = clean_applications(applications)
-    rows = cleaned.join(lapse_dates(cleaned), "app_pid", "left").crossJoin(F.broadcast(as_of_date(applications)))
+    rows = cleaned.join(lapse_dates(cleaned), "app_pid", "left").withColumn("asof_date", as_of_date(applications))
     prepaid = p.is_prepaid(F.col("payment_frequency"))
     return rows.withColumns({
         "foreign_pid": F.coalesce("foreign_pid", F.col("app_pid").cast("string")),

@@ -218,7 +218,10 @@ def smoothing_spline(df: DataFrame, keys: Sequence[str], index: str, column: str
     lost = F.col("c") * penalty * F.col("stiff") / (F.lit(1.0) + penalty * F.col("stiff"))
     errors = ladder.withColumn("lost", lost).groupBy(*keys, "rung").agg(F.sum(F.col("lost") * F.col("lost")).alias("rss"))
     chosen = errors.filter(F.col("rss") <= squared_error).groupBy(*keys).agg(F.max("rung").alias("rung"))
-    joined = coefficients.join(chosen, list(keys), "left") if keys else coefficients.crossJoin(chosen)
+    if keys:
+        joined = coefficients.join(chosen, list(keys), "left")
+    else:
+        joined = coefficients.withColumn("rung", chosen.agg(F.max("rung")).scalar())
     shrunk = joined.withColumn("c", F.when(
         F.col("rung").isNull(), F.col("c")).otherwise(F.col("c") / (F.lit(1.0) + penalty * F.col("stiff"))))
     rebuilt = _fold(shrunk.withColumn("at", grid), keys, "at", F.col("freq") == F.col("at"), kept,

@@ -26,8 +26,8 @@ def same_day_type(rows: DataFrame, as_of) -> DataFrame:
 
 def channel_bids(cost: DataFrame, as_of, campaign: str, threshold: float = CLICK_THRESHOLD,
                  roi_target: float = ROI_TARGET, fallback: bool = True) -> DataFrame:
-    last_day = F.broadcast(cost.agg(F.max("date").alias("yesterday")))
-    rows = cost.filter(F.contains("campaign", F.lit(campaign))).crossJoin(last_day)
+    last_day = cost.agg(F.max("date")).scalar()
+    rows = cost.filter(F.contains("campaign", F.lit(campaign))).withColumn("yesterday", last_day)
     clicked = rows.filter((F.col("clicks") > 0) & (F.col("date") == F.col("yesterday"))).select(*CHANNEL).distinct()
     kept = same_day_type(rows, as_of).withColumn("days_back", F.datediff("yesterday", "date"))
     daily = kept.groupBy("days_back", *CHANNEL).agg(*[F.sum(c).alias(c) for c in ("clicks", "rev", "cost")])
@@ -37,9 +37,9 @@ def channel_bids(cost: DataFrame, as_of, campaign: str, threshold: float = CLICK
     stacked = stack_levels(facts.join(clicked, CHANNEL, "left_semi"), CHANNEL, ["days_back"], ["pub", "cmp"],
                            day_decay(F.col("days_back") - 1))
     if fallback:
-        overall = daily.agg(F.sum("clicks").alias("clicks"), (F.sum("rev") / 2).alias("rev"))
-        last = stacked.select(*CHANNEL).distinct().crossJoin(F.broadcast(overall)).select(
-            *CHANNEL, F.lit(0).alias("days_back"), F.lit(3).alias("level"), "clicks", "rev")
+        overall = daily.agg(F.struct(F.sum("clicks").alias("clicks"), (F.sum("rev") / 2).alias("rev"))).scalar()
+        last = stacked.select(*CHANNEL).distinct().withColumn("overall", overall).select(
+            *CHANNEL, F.lit(0).alias("days_back"), F.lit(3).alias("level"), "overall.clicks", "overall.rev")
         stacked = stacked.unionByName(last)
     rates = threshold_rate(stacked, CHANNEL, [F.col("days_back")], threshold)
 

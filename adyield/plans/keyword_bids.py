@@ -52,9 +52,8 @@ def bid_candidates(daily: DataFrame, entity: DataFrame, accounts: DataFrame, as_
     bids = bids.join(kw.span_performance(daily, as_of), "keyword_id", "left").na.fill(0.0, subset=PERF_COLUMNS)
     bids = bids.withColumns({f"{c}_raw": F.col(c) for c in PERF_COLUMNS})
     shared = kw.share_geo_groups(bids, PERF_COLUMNS)
-    mean_bid = bids.agg(F.avg("latest_max_cpc").alias("mean_bid"))
-    filled = shared.crossJoin(F.broadcast(mean_bid)).withColumn(
-        "latest_max_cpc", F.coalesce("latest_max_cpc", "mean_bid", F.lit(0.0))).drop("mean_bid")
+    mean_bid = bids.agg(F.avg("latest_max_cpc")).scalar()
+    filled = shared.withColumn("latest_max_cpc", F.coalesce(F.col("latest_max_cpc"), mean_bid, F.lit(0.0)))
     return filled.withColumns({c: F.col(f"{c}_sum_7day") for c in kw.PERFORMANCE}).filter(F.col("clicks") > 0)
 
 

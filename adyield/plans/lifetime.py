@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adyield.functions import policy as p
 from adyield.operators import policies as op
+from adyield.session import checkpointed
 
 # Inputs of the duration model per plan group.
 MODEL_INPUTS = {
@@ -27,7 +27,7 @@ def policy_premiums(applications: DataFrame, members: DataFrame, excluded: Seque
     """One row per policy and outside id: status, plan labels, premiums, fees, members, contacts."""
     combined = op.combined_policies(applications)
     people = op.member_summary(members, combined)
-    rows = combined.join(people, "app_pid", "left").crossJoin(F.broadcast(op.as_of_date(applications)))
+    rows = combined.join(people, "app_pid", "left").withColumn("asof_date", op.as_of_date(applications))
     if excluded:
         rows = rows.filter(~F.col("app_pid").isin(list(excluded)))
     end = F.coalesce("termination_date", "expiration_date")
@@ -47,20 +47,27 @@ def recurring_fees(wide: DataFrame, ids: Sequence[str], months: dict[str, str])
     return op.fee_periods(op.unpivot_months(wide, ids, months), ids)
 
 
-def model_frame(policies: DataFrame, group: str) -> DataFrame:
+def model_rows(policies: DataFrame) -> DataFrame:
+    """The modelled policies, written out once because every fit reads them several times."""
+    return checkpointed(op.modelled_policies(policies).select(
+        "app_pid", "foreign_pid", "plan_group", "month_group", "primary_age", "has_children", "has_dental", "has_vision",
+        "duration_sold", "duration_inforce", "inforce_percent"))
+
+
+def model_frame(modelled: DataFrame, group: str) -> DataFrame:
     """Complete rows of one plan group with 0/1 month-group columns (one group left out)."""
     flags = [c for c in MODEL_INPUTS[group] if c.startswith("month_group_")]
-    rows = op.modelled_policies(policies).filter(F.col("plan_group") == group)
+    rows = modelled.filter(F.col("plan_group") == group)
     rows = rows.withColumns({
         c: (F.col("month_group") == c.removeprefix("month_group_")).cast("double") for c in flags})
     return rows.na.drop(subset=["inforce_percent", "has_dental", "has_vision", "primary_age", "has_children"])
 
 
-def fit_duration(policies: DataFrame, group: str):
+def fit_duration(modelled: DataFrame, group: str):
     """Ordinary least squares of the share in force; returns (model, scored rows)."""
     inputs = MODEL_INPUTS[group]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features")
-    frame = assembler.transform(model_frame(policies, group))
+    frame = assembler.transform(model_frame(modelled, group))
     model = LinearRegression(featuresCol="features", labelCol="inforce_percent", solver="normal", regParam=0.0).fit(frame)
     return model, model.transform(frame)
 
@@ -68,9 +75,10 @@ def fit_duration(policies: DataFrame, group: str):
 def duration_coefficients(policies: DataFrame) -> DataFrame:
     """Coefficient table of the three models (one small row per input)."""
     spark = policies.sparkSession
+    modelled = model_rows(policies)
     rows = []
     for group, inputs in MODEL_INPUTS.items():
-        model, _ = fit_duration(policies, group)
+        model, _ = fit_duration(modelled, group)
         rows += [(group, name, float(value)) for name, value in zip(inputs, model.coefficients)]
         rows.append((group, "intercept", float(model.intercept)))
     return spark.createDataFrame(rows, "plan_group string, input string, coefficient double")
@@ -78,9 +86,10 @@ def duration_coefficients(policies: DataFrame) -> DataFrame:
 
 def duration_predictions(policies: DataFrame) -> DataFrame:
     """Policies of all three models with predicted days in force and residuals."""
+    modelled = model_rows(policies)
     scored = None
     for group in MODEL_INPUTS:
-        _, part = fit_duration(policies, group)
+        _, part = fit_duration(modelled, group)
         part = part.select("app_pid", "foreign_pid", "plan_group", "month_group", "primary_age", "duration_sold",
                            "duration_inforce", "inforce_percent", "prediction")
         scored = part if scored is None else scored.unionByName(part)
@@ -107,7 +116,3 @@ def scored_policies(policies: DataFrame) -> DataFrame:
         F.col("has_children") == 1)
     return with_residuals(rows.withColumn("prediction", share).withColumn(
         "predicted_duration_inforce", F.col("prediction") * F.col("duration_sold")))
-
-
-def feature_array(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("features", vector_to_array("features"))

@@ -27,7 +27,6 @@ def register(name: str, query: Query, sql: str | None = None, digits: str = "")
     QUERIES[name] = _rounded(query, places) if places else query
     if sql is not None:
         if places:
-            # adding zero turns a negative zero into zero
-            columns = ", ".join(f"round({c}, {d}) AS {c}" for c, d in places.items())
+            columns = ", ".join(f'round("{c}", {d}) AS "{c}"' for c, d in places.items())
             sql = f"SELECT * REPLACE ({columns}) FROM (\n{sql}\n) AS result"
         ORACLES[name] = sql

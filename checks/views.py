@@ -150,7 +150,7 @@ SELECT DATE '2024-01-29' + CAST(v AS INT) AS date, v AS version, concat('{"id":
   ', "platform_targeting": {"type": "INCLUDE", "value": ["DESK"', CASE WHEN p_partkey % 2 = 0 THEN ', "PHON"' ELSE '' END, ']}',
   ', "activity_schedule": {"mode": "', CASE WHEN p_partkey % 3 = 0 THEN 'ALWAYS", "rules": []' ELSE 'CUSTOM", "rules": [{"type": "INCLUDE", "day": "Monday", "from_hour": 6, "until_hour": 20}, {"type": "EXCLUDE", "day": "Monday", "from_hour": 12, "until_hour": 13}]' END, '}',
   ', "publisher_bid_modifier": {"values": [{"target": "site_', CAST(p_partkey % 20 AS STRING), '", "bid_modification": 1.5}]}}') AS body
-FROM part CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1 AS v) AS t
+FROM (SELECT p_partkey, 0 AS v FROM part UNION ALL SELECT p_partkey, 1 AS v FROM part) AS t
 """
 
 CAMPAIGN_CONFIG = """
@@ -161,7 +161,7 @@ CAMPAIGN_UPDATES = """
 SELECT concat('adv', CAST(p_partkey % 2 AS STRING)) AS account_id, CAST(p_partkey AS STRING) AS campaign_id, DATE '2024-01-28' + CAST(v AS INT) AS date, v AS version,
   CASE WHEN v % 2 = 0 THEN concat('{"cpc": ', CAST(1 + (p_partkey + v) % 4 AS STRING), '}') ELSE NULL END AS update_json,
   CASE WHEN v % 2 = 1 THEN '{"day": [0, 0, 1], "hour": [0, 1, 0], "bid_modifier": [0.9, 1.0, 1.1]}' ELSE NULL END AS schedule_json
-FROM part CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1 AS v UNION ALL SELECT 2 AS v) AS t
+FROM (SELECT p_partkey, 0 AS v FROM part UNION ALL SELECT p_partkey, 1 AS v FROM part UNION ALL SELECT p_partkey, 2 AS v FROM part) AS t
 """
 
 PUBLISHERS = """
