@@ -23,12 +23,11 @@ def build_session(app: str = "adyield", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the reliable checkpoint folder the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every node sees, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without ``spark.checkpoint.dir`` gets a folder of its own.
+    Only a local session without that setting gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,6 +36,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a shared folder before running on a cluster")
             folder = tempfile.mkdtemp(prefix="adyield-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write the rows once to the shared folder and go on from there with a short lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
