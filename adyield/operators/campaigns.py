@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,54 +32,67 @@ def parse_bodies(bodies: DataFrame) -> DataFrame:
     return bodies.withColumn("c", F.from_json("body", BODY))
 
 
-def hourly_activity(schedule: Column) -> Column:
-    """Array of (day, hour, value): all ones when always active, else rules applied in order."""
-    rules = F.coalesce(schedule["rules"], F.array().cast("array<struct<type:string,day:string,from_hour:int,until_hour:int>>"))
+def _hour_states(schedule: Column, entry: Callable[[Column, Column, Column], Column]) -> Column:
+    """168 entries (day, hour, on): all on when always active, else the last rule that covers the hour."""
+    none = F.array().cast("array<struct<day:string,from_hour:int,until_hour:int,on:boolean>>")
+    rules = F.coalesce(F.transform(schedule["rules"], lambda r: F.struct(
+        F.upper(r["day"]).alias("day"), r["from_hour"].alias("from_hour"), r["until_hour"].alias("until_hour"),
+        (r["type"] == "INCLUDE").alias("on"))), none)
+    days = F.array(*[F.lit(d) for d in DAYS])
+    hours = F.array(*[F.lit(h) for h in range(24)])
 
-    def hour_value(day: Column, hour: Column) -> Column:
-        def apply(current: Column, rule: Column) -> Column:
-            hit = (F.upper(rule["day"]) == day) & (hour >= rule["from_hour"]) & (hour < rule["until_hour"])
-            return F.when(hit, (rule["type"] == "INCLUDE").cast("int")).otherwise(current)
+    def grid(known: Column) -> Column:
+        def state(day: Column, hour: Column) -> Column:
+            def apply(on: Column, rule: Column) -> Column:
+                hit = (hour >= rule["from_hour"]) & (hour < rule["until_hour"]) & (rule["day"] == day)
+                return F.when(hit, rule["on"]).otherwise(on)
 
-        return F.when(schedule["mode"] == "ALWAYS", F.lit(1)).otherwise(F.aggregate(rules, F.lit(0), apply))
+            return F.aggregate(known, schedule["mode"] == "ALWAYS", apply)
 
-    days = F.array(*[F.lit(d) for d in DAYS])
-    return F.flatten(F.transform(days, lambda day: F.transform(F.sequence(F.lit(0), F.lit(23)), lambda hour: F.struct(
-        day.alias("day"), hour.alias("hour"), hour_value(day, hour).alias("value")))))
+        return F.flatten(F.transform(days, lambda day: F.transform(hours, lambda hour: entry(day, hour, state(day, hour)))))
+
+    # rules of an always active campaign do not count
+    counted = F.when(schedule["mode"] == "ALWAYS", none).otherwise(rules)
+    return F.transform(F.array(counted), grid)[0]
 
 
 def activity_hours(bodies: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """168 rows per campaign: day, hour, 1 or 0."""
     parsed = parse_bodies(bodies).withColumn("id", F.col("c.id"))
-    return parsed.select(*keys, F.inline(hourly_activity(F.col("c.activity_schedule"))))
+    states = _hour_states(F.col("c.activity_schedule"), lambda day, hour, on: F.struct(
+        day.alias("day"), hour.alias("hour"), on.alias("on")))
+    return parsed.select(*keys, F.inline(states)).withColumn("value", F.col("on").cast("int")).drop("on")
 
 
 def flatten_campaigns(bodies: DataFrame) -> DataFrame:
     """Long table (id, section, key, value): attributes, targeting, hours, publisher modifiers.
 
     Sections a campaign does not have give no rows; an empty targeting list gives one blank value.
+    Entries stay typed inside the array and become text after it is unfolded.
     """
     c = F.col("c")
-    entry = "array<struct<section:string,key:string,value:string>>"
-    attributes = F.array(*[F.struct(F.lit("attrs").alias("section"), F.lit(a).alias("key"), c[a].alias("value")) for a in ATTRIBUTES])
+    shape = "struct<section:string,head:string,hour:int,tail:string,value:string>"
+    no_text, no_hour, one = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit("1")
+
+    def entry(section: str, head: Column, value: Column, hour: Column = no_hour, tail: Column = no_text) -> Column:
+        return F.struct(F.lit(section).alias("section"), head.alias("head"), hour.alias("hour"), tail.alias("tail"), value.alias("value"))
+
+    attributes = F.array(*[entry("attrs", F.lit(a), c[a]) for a in ATTRIBUTES])
 
     def targeted(name: str) -> Column:
         values = F.when(F.size(c[name]["value"]) > 0, c[name]["value"]).otherwise(F.array(F.lit("")))
-        rows = F.transform(values, lambda v: F.struct(
-            F.lit(name).alias("section"), F.concat_ws(":", c[name]["type"], v).alias("key"), F.lit("1").alias("value")))
-        return F.when(c[name].isNotNull(), rows)
-
-    hours = F.when(c["activity_schedule"].isNotNull(), F.transform(hourly_activity(c["activity_schedule"]), lambda h: F.struct(
-        F.lit("activity_schedule").alias("section"), F.concat_ws(":", h["day"], h["hour"].cast("string")).alias("key"),
-        h["value"].cast("string").alias("value"))))
-    strategies = F.transform(c["publisher_bid_strategy_modifiers"]["values"], lambda v: F.struct(
-        F.lit("publisher_bid_strategy_modifiers").alias("section"), F.concat_ws(":", v["target"], v["bid_strategy"]).alias("key"),
-        F.lit("1").alias("value")))
-    modifiers = F.transform(c["publisher_bid_modifier"]["values"], lambda v: F.struct(
-        F.lit("publisher_bid_modifier").alias("section"), v["target"].alias("key"), v["bid_modification"].cast("string").alias("value")))
+        return F.when(c[name].isNotNull(), F.transform(values, lambda v: entry(name, c[name]["type"], one, tail=v)))
+
+    hours = F.when(c["activity_schedule"].isNotNull(), _hour_states(c["activity_schedule"], lambda day, hour, on: entry(
+        "activity_schedule", day, F.when(on, one).otherwise(F.lit("0")), hour)))
+    strategies = F.transform(c["publisher_bid_strategy_modifiers"]["values"], lambda v: entry(
+        "publisher_bid_strategy_modifiers", v["target"], one, tail=v["bid_strategy"]))
+    modifiers = F.transform(c["publisher_bid_modifier"]["values"], lambda v: entry(
+        "publisher_bid_modifier", v["target"], v["bid_modification"].cast("string")))
+    none = F.array().cast(f"array<{shape}>")
     parts = [attributes, *[targeted(t) for t in TARGETING], hours, strategies, modifiers]
-    rows = F.concat(*[F.coalesce(p.cast(entry), F.array().cast(entry)) for p in parts])
-    return parse_bodies(bodies).select(F.col("c.id").alias("id"), F.inline(rows))
+    return parse_bodies(bodies).select(F.col("c.id").alias("id"), F.inline(F.concat(*[F.coalesce(p, none) for p in parts]))).select(
+        "id", "section", F.concat_ws(":", "head", F.col("hour").cast("string"), "tail").alias("key"), "value")
 
 
 def sparsity(flat: DataFrame) -> DataFrame:

@@ -62,16 +62,22 @@ def interval_fit(days: DataFrame, keys: Sequence[str], order: str, value: str, w
         start = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
             F.when(i == last, F.lit(0)).otherwise(F.lit(UNREACHABLE)).cast("long").alias("error"), empty.alias("bounds")))
 
-        def one_round(best: Column, _round: Column) -> Column:
-            def from_left(left: Column) -> Column:
-                return F.array_min(F.transform(F.sequence(left + 1, last), lambda right: F.struct(
-                    (_interval_cost(points, left, right, estimator) + best[right]["error"]).alias("error"),
-                    F.concat(F.array(right), best[right]["bounds"]).alias("bounds"))))
-
-            return F.concat(F.transform(F.sequence(F.lit(0), last - 1), from_left), F.array(done))
-
-        final = F.aggregate(F.sequence(F.lit(1), F.lit(intervals)), start, one_round)
-        return F.struct(points.alias("points"), final[0].alias("best"))
+        def rounds(costs: Column) -> Column:
+            def one_round(best: Column, _round: Column) -> Column:
+                def from_left(row: Column, left: Column) -> Column:
+                    # right bounds differ between candidates, so they settle every tie
+                    choice = F.array_min(F.transform(row, lambda cost, i: F.struct(
+                        (cost + best[left + i + 1]["error"]).alias("error"), (left + i + 1).alias("right"))))
+                    return _bind(choice, lambda c: F.struct(
+                        c["error"].alias("error"), F.concat(F.array(c["right"]), best[c["right"]]["bounds"]).alias("bounds")))
+
+                return F.concat(F.transform(costs, from_left), F.array(done))
+
+            return F.aggregate(F.sequence(F.lit(1), F.lit(intervals)), start, one_round)[0]
+
+        costs = F.transform(F.sequence(F.lit(0), last - 1), lambda left: F.transform(
+            F.sequence(left + 1, last), lambda right: _interval_cost(points, left, right, estimator)))
+        return F.struct(points.alias("points"), _bind(costs, rounds).alias("best"))
 
     fitted = gathered.withColumn("fit", _bind(F.concat(F.array(origin), F.array_sort("points")), solve))
     return fitted.select(*keys, F.col("fit.points").alias("points"), F.col("fit.best.bounds").alias("bounds"),

@@ -14,6 +14,21 @@ def replicate(df: DataFrame, salts: int) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
+def join_spreading_hot_keys(rows: DataFrame, facts: DataFrame, key: str, row_count: str, hot_rows: int = 1_000_000,
+                            salts: int = REPLICATION_SALTS) -> DataFrame:
+    """Inner join of rows to one-row-per-key facts that know how many rows each key has.
+
+    Keys with more than ``hot_rows`` rows are spread over ``salts`` copies of their fact row. There is
+    at most one such key per ``hot_rows`` rows, which bounds the broadcast list of hot keys.
+    """
+    is_hot = F.col(row_count) > hot_rows
+    hot = F.broadcast(facts.filter(is_hot).select(key, F.lit(True).alias("is_hot")))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    place = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    spread = rows.join(hot, key, "left").withColumn("salt", F.when(F.col("is_hot"), place).otherwise(F.lit(0))).drop("is_hot")
+    return spread.join(facts.withColumn("salt", F.explode(copies)), [key, "salt"]).drop("salt")
+
+
 def ip_range_join(sessions: DataFrame, blocks: DataFrame, how: str = "inner", session_key: str = "session_id",
                   salts: int | None = None) -> DataFrame:
     """Join addresses to the block that holds them.

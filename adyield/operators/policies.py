@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adyield.functions import policy as p
 from adyield.functions.text import clean_zip, hashed_contact
+from adyield.operators.joins import join_spreading_hot_keys
 
 
 def first_known(value: Column, order: Column) -> Column:
@@ -22,41 +23,56 @@ def last_known(value: Column, order: Column) -> Column:
     return F.max(F.when(value.isNotNull(), entry))["value"]
 
 
+def _is_bad() -> Column:
+    return F.coalesce(F.col("status").isin("FAKE", "VOID"), F.lit(False)) | F.coalesce(F.col("agency_id").ilike("%test%"), F.lit(False))
+
+
 def excluded_policies(applications: DataFrame) -> DataFrame:
     """Ids of fake, void and test policies."""
-    bad = F.col("status").isin("FAKE", "VOID") | F.col("agency_id").ilike("%test%")
-    return applications.filter(bad & F.col("app_pid").isNotNull()).select("app_pid").distinct()
+    return applications.filter(_is_bad() & F.col("app_pid").isNotNull()).select("app_pid").distinct()
 
 
-def health_defaults(applications: DataFrame) -> DataFrame:
-    """First known health product and premium of each policy, to fill gaps on its other rows."""
-    health = applications.filter(F.upper("product_type").isin(*p.HEALTH) & F.col("app_pid").isNotNull())
-    return health.groupBy("app_pid").agg(
-        first_known(F.col("product_type"), F.col("effective_date")).alias("product_type_base"),
-        first_known(F.col("premium_amount"), F.col("effective_date")).alias("premium_amount_base"))
+def policy_facts(applications: DataFrame) -> DataFrame:
+    """Everything known per policy id, from one pass: validity, health defaults, lapses, row count.
+
+    A row without a product counts as health where the policy has a health row, which is what the
+    default product makes of it.
+    """
+    product = F.upper("product_type")
+    health, addon, blank = product.isin(*p.HEALTH), product.isin(*p.ADDONS), F.col("product_type").isNull()
+    ended = F.coalesce("termination_date", "date_cancelled").isNotNull()
+    end = F.least("termination_date", "date_cancelled")
+    earliest = [F.min(F.when(ended & rows, value)).alias(f"{name}_{what}")
+                for name, rows in (("known", health), ("blank", blank), ("addon", addon))
+                for what, value in (("start", F.col("effective_date")), ("end", end))]
+    by_start = F.col("effective_date")
+    facts = applications.filter(F.col("app_pid").isNotNull()).groupBy("app_pid").agg(
+        F.count("*").alias("policy_rows"), F.max(_is_bad()).alias("bad"),
+        first_known(F.when(health, F.col("product_type")), by_start).alias("product_type_base"),
+        first_known(F.when(health, F.col("premium_amount")), by_start).alias("premium_amount_base"), *earliest)
+    has_health = F.col("product_type_base").isNotNull()
+    return facts.filter(~F.col("bad")).select(
+        "app_pid", "policy_rows", "product_type_base", "premium_amount_base",
+        *[F.when(has_health, F.least(f"known_{a}", f"blank_{a}")).alias(b)
+          for a, b in (("start", "health_min_effective_date"), ("end", "health_lapse_date"))],
+        F.col("addon_start").alias("addon_min_effective_date"), F.col("addon_end").alias("addon_lapse_date"))
 
 
 def clean_applications(applications: DataFrame) -> DataFrame:
-    """Rows of valid policies with product, premium and coverage filled in."""
-    kept = applications.filter(F.col("app_pid").isNotNull()).join(
-        excluded_policies(applications), "app_pid", "left_anti").join(health_defaults(applications), "app_pid", "left")
+    """Rows of valid policies with product, premium and coverage filled in and the policy's lapses."""
+    rows = applications.filter(F.col("app_pid").isNotNull())
+    kept = join_spreading_hot_keys(rows, policy_facts(applications), "app_pid", "policy_rows")
     return kept.withColumns({
         "product_fixed": F.upper(F.coalesce("product_type", "product_type_base")),
         "coverage_duration": p.coverage_days(F.col("effective_date"), F.col("expiration_date")),
         "premium_fixed": F.coalesce("premium_amount", "premium_amount_base"),
-    }).filter(F.col("product_fixed").isNotNull()).drop("product_type_base", "premium_amount_base")
+    }).filter(F.col("product_fixed").isNotNull()).drop("product_type_base", "premium_amount_base", "policy_rows")
 
 
-def lapse_dates(cleaned: DataFrame) -> DataFrame:
-    """Earliest start and end of ended health and add-on rows per policy, in one pass."""
-    ended = F.coalesce("termination_date", "date_cancelled").isNotNull()
-    end = F.least("termination_date", "date_cancelled")
-    columns = []
-    for name, products in (("health", p.HEALTH), ("addon", p.ADDONS)):
-        mine = F.col("product_fixed").isin(*products)
-        columns += [F.min(F.when(mine, F.col("effective_date"))).alias(f"{name}_min_effective_date"),
-                    F.min(F.when(mine, end)).alias(f"{name}_lapse_date")]
-    return cleaned.filter(ended).groupBy("app_pid").agg(*columns)
+def lapse_dates(applications: DataFrame) -> DataFrame:
+    """Earliest start and end of ended health and add-on rows per policy."""
+    return policy_facts(applications).select(
+        "app_pid", "health_min_effective_date", "health_lapse_date", "addon_min_effective_date", "addon_lapse_date")
 
 
 def as_of_date(applications: DataFrame) -> Column:
@@ -65,9 +81,8 @@ def as_of_date(applications: DataFrame) -> Column:
 
 
 def fixed_applications(applications: DataFrame) -> DataFrame:
-    """Cleaned rows with lapses, days in force and monthly premium."""
-    cleaned = clean_applications(applications)
-    rows = cleaned.join(lapse_dates(cleaned), "app_pid", "left").withColumn("asof_date", as_of_date(applications))
+    """Cleaned rows with days in force and monthly premium."""
+    rows = clean_applications(applications).withColumn("asof_date", as_of_date(applications))
     prepaid = p.is_prepaid(F.col("payment_frequency"))
     return rows.withColumns({
         "foreign_pid": F.coalesce("foreign_pid", F.col("app_pid").cast("string")),
@@ -80,51 +95,72 @@ def fixed_applications(applications: DataFrame) -> DataFrame:
     })
 
 
-def _coverage_weighted(column: str) -> Column:
-    return F.try_divide(F.sum(F.col(column) * F.col("coverage_duration")), F.sum("coverage_duration"))
+def _is_health() -> Column:
+    return F.col("product_fixed").isin(*p.HEALTH)
 
 
-def base_policies(fixed: DataFrame) -> DataFrame:
-    """Health rows folded to one row per policy and outside id."""
+def _is_addon() -> Column:
+    return F.col("product_fixed").isin(*p.ADDONS) & F.col("premium_amount").isNotNull()
+
+
+def _shared_aggregates(rows: Column, lapse: str) -> dict[str, Column]:
+    def of(name: str) -> Column:
+        return F.when(rows, F.col(name))
+
+    return {"carrier_id": F.min(of("carrier_id")), "product_type": F.min(of("product_fixed")),
+            "datetime_created": F.min(of("datetime_created")), "datetime_modified": F.max(of("datetime_modified")),
+            "effective_date": F.min(of("effective_date")), "termination_date": F.min(of(lapse)),
+            "is_prepaid": F.max(of("is_prepaid"))}
+
+
+def _base_aggregates(rows: Column) -> dict[str, Column]:
+    """Health columns of a policy, over the rows where ``rows`` holds."""
+    days = F.when(rows, F.col("coverage_duration"))
+
+    def weighted(name: str) -> Column:
+        return F.try_divide(F.sum(F.col(name) * days), F.sum(days))
+
     def zero_to_null(c: Column) -> Column:
         return F.nullif(c, F.lit(0.0))
 
-    return fixed.filter(F.col("product_fixed").isin(*p.HEALTH)).groupBy("app_pid", "foreign_pid").agg(
-        F.min("carrier_id").alias("carrier_id"), F.min("product_fixed").alias("product_type"),
-        F.min("datetime_created").alias("datetime_created"), F.max("datetime_modified").alias("datetime_modified"),
-        F.min("effective_date").alias("effective_date"), F.min("health_lapse_date").alias("termination_date"),
-        F.max("expiration_date").alias("expiration_date"), F.sum("coverage_duration").alias("duration_sold"),
-        F.sum("health_duration_inforce").alias("duration_inforce"), F.max("is_prepaid").alias("is_prepaid"),
-        F.count(F.nullif("coverage_duration", F.lit(0))).alias("sequence_max"),
-        _coverage_weighted("premium_amount").alias("premium_health"),
-        zero_to_null(_coverage_weighted("billing_fee")).alias("billing_fee_health"),
-        zero_to_null(_coverage_weighted("association_fee")).alias("association_fee_health"),
-        zero_to_null(_coverage_weighted("admin_fee")).alias("admin_fee_health"),
-        zero_to_null(F.max("application_fee")).alias("enrollment_fee_health"),
-        zero_to_null(_coverage_weighted("extras_amount")).alias("premium_rider"))
+    return _shared_aggregates(rows, "health_lapse_date") | {
+        "expiration_date": F.max(F.when(rows, F.col("expiration_date"))), "duration_sold": F.sum(days),
+        "duration_inforce": F.sum(F.when(rows, F.col("health_duration_inforce"))),
+        "sequence_max": F.count(F.nullif(days, F.lit(0))), "premium_health": weighted("premium_amount"),
+        "billing_fee_health": zero_to_null(weighted("billing_fee")),
+        "association_fee_health": zero_to_null(weighted("association_fee")),
+        "admin_fee_health": zero_to_null(weighted("admin_fee")),
+        "enrollment_fee_health": zero_to_null(F.max(F.when(rows, F.col("application_fee")))),
+        "premium_rider": zero_to_null(weighted("extras_amount"))}
 
 
-def addon_policies(fixed: DataFrame) -> DataFrame:
-    """Add-on rows folded to one row per policy and outside id."""
+def _addon_aggregates(rows: Column) -> dict[str, Column]:
+    """Add-on columns of a policy, over the rows where ``rows`` holds."""
+    names = {"dental": "DENTAL", "vision": "VISION", "supp": "SUPPLEMENTAL"}
+
     def only(product: str, value: Column) -> Column:
-        return F.when(F.col("product_fixed") == product, value)
+        return F.when(rows & (F.col("product_fixed") == product), value)
 
-    kept = fixed.filter(F.col("product_fixed").isin(*p.ADDONS) & F.col("premium_amount").isNotNull())
-    names = {"dental": "DENTAL", "vision": "VISION", "supp": "SUPPLEMENTAL"}
-    fee = F.nullif("association_fee", F.lit(0.0))
-    enrollment = F.nullif("application_fee", F.lit(0.0))
-    return kept.groupBy("app_pid", "foreign_pid").agg(
-        F.min("product_fixed").alias("product_type"), F.min("carrier_id").alias("carrier_id"),
-        F.min("datetime_created").alias("datetime_created"), F.max("datetime_modified").alias("datetime_modified"),
-        F.min("effective_date").alias("effective_date"), F.min("addon_lapse_date").alias("termination_date"),
-        F.avg(F.nullif("addon_duration_inforce", F.lit(0))).alias("duration_inforce"),
-        F.max("is_prepaid").alias("is_prepaid"),
-        *[F.max((F.col("product_fixed") == v).cast("int")).alias(f"has_{k}") for k, v in names.items()],
-        *[F.sum(only(v, F.col("premium_amount"))).alias(f"premium_{k}") for k, v in names.items()],
-        F.sum(only("DENTAL", fee)).alias("association_fee_dental"),
-        F.sum(only("DENTAL", enrollment)).alias("enrollment_fee_dental"),
-        F.sum(only("DENTAL", F.col("admin_fee"))).alias("admin_fee_dental"),
-        F.sum(only("VISION", F.col("admin_fee"))).alias("admin_fee_vision"))
+    return _shared_aggregates(rows, "addon_lapse_date") | {
+        "duration_inforce": F.avg(F.when(rows, F.nullif("addon_duration_inforce", F.lit(0)))),
+        **{f"has_{k}": F.max(F.when(rows, (F.col("product_fixed") == v).cast("int"))) for k, v in names.items()},
+        **{f"premium_{k}": F.sum(only(v, F.col("premium_amount"))) for k, v in names.items()},
+        "association_fee_dental": F.sum(only("DENTAL", F.nullif("association_fee", F.lit(0.0)))),
+        "enrollment_fee_dental": F.sum(only("DENTAL", F.nullif("application_fee", F.lit(0.0)))),
+        "admin_fee_dental": F.sum(only("DENTAL", F.col("admin_fee"))),
+        "admin_fee_vision": F.sum(only("VISION", F.col("admin_fee")))}
+
+
+def base_policies(fixed: DataFrame) -> DataFrame:
+    """Health rows folded to one row per policy and outside id."""
+    return fixed.filter(_is_health()).groupBy("app_pid", "foreign_pid").agg(
+        *[c.alias(n) for n, c in _base_aggregates(F.lit(True)).items()])
+
+
+def addon_policies(fixed: DataFrame) -> DataFrame:
+    """Add-on rows folded to one row per policy and outside id."""
+    return fixed.filter(_is_addon()).groupBy("app_pid", "foreign_pid").agg(
+        *[c.alias(n) for n, c in _addon_aggregates(F.lit(True)).items()])
 
 
 def contact_details(applications: DataFrame) -> DataFrame:
@@ -140,26 +176,38 @@ def contact_details(applications: DataFrame) -> DataFrame:
 
 
 def combined_policies(applications: DataFrame) -> DataFrame:
-    """Base policies and add-ons side by side (full join) with contact details."""
-    fixed = fixed_applications(applications)
-    s, a = base_policies(fixed).alias("s"), addon_policies(fixed).alias("a")
-    key = (F.col("s.app_pid") == F.col("a.app_pid")) & (F.col("s.foreign_pid") == F.col("a.foreign_pid"))
-    stand_alone = F.when(F.col("a.has_dental") == 1, "DENTAL - SA").when(F.col("a.has_supp") == 1, "SUPPLEMENTAL - SA")
+    """Base policies and add-ons side by side with contact details.
+
+    Both roll-ups have the same keys and the same input, so their full join is one aggregate with
+    conditional columns: the rows are read and shuffled once.
+    """
+    health, addon = _is_health(), _is_addon()
+    both = fixed_applications(applications).filter(health | addon).groupBy("app_pid", "foreign_pid").agg(
+        *[c.alias(f"s_{n}") for n, c in _base_aggregates(health).items()],
+        *[c.alias(f"a_{n}") for n, c in _addon_aggregates(addon).items()])
+    stand_alone = F.when(F.col("a_has_dental") == 1, "DENTAL - SA").when(F.col("a_has_supp") == 1, "SUPPLEMENTAL - SA")
+    is_base = F.col("s_product_type").isNotNull()
+
+    def base(*names: str) -> list[Column]:
+        return [F.col(f"s_{n}").alias(n) for n in names]
+
+    def added(*names: str) -> list[Column]:
+        return [F.col(f"a_{n}").alias(n) for n in names]
 
     def either(*names: str) -> list[Column]:
-        return [F.coalesce(f"s.{n}", f"a.{n}").alias(n) for n in names]
-
-    joined = s.join(a, key, "full").select(
-        *either("app_pid", "foreign_pid", "datetime_created", "carrier_id"),
-        F.coalesce("s.product_type", stand_alone).alias("product_type"),
-        *[F.coalesce(f"a.{n}", F.lit(0)).alias(n) for n in ("has_dental", "has_vision", "has_supp")],
-        *either("effective_date", "termination_date"), "s.expiration_date", "s.duration_sold",
-        F.coalesce(F.col("s.duration_inforce").cast("double"), "a.duration_inforce").alias("duration_inforce"),
-        *either("is_prepaid"), "s.sequence_max", "s.premium_health", "s.premium_rider", "a.premium_dental",
-        "a.premium_vision", "a.premium_supp", "s.billing_fee_health", "s.association_fee_health",
-        "a.association_fee_dental", "s.admin_fee_health", "a.admin_fee_dental", "a.admin_fee_vision",
-        "s.enrollment_fee_health", "a.enrollment_fee_dental",
-        F.least("s.datetime_modified", "a.datetime_modified").alias("datetime_modified"))
+        return [F.coalesce(f"s_{n}", f"a_{n}").alias(n) for n in names]
+
+    joined = both.select(
+        "app_pid", "foreign_pid", *either("datetime_created", "carrier_id"),
+        F.coalesce("s_product_type", stand_alone).alias("product_type"),
+        *[F.coalesce(f"a_{n}", F.lit(0)).alias(n) for n in ("has_dental", "has_vision", "has_supp")],
+        *either("effective_date", "termination_date"), *base("expiration_date", "duration_sold"),
+        F.coalesce(F.col("s_duration_inforce").cast("double"), "a_duration_inforce").alias("duration_inforce"),
+        *either("is_prepaid"), F.when(is_base, F.col("s_sequence_max")).alias("sequence_max"),
+        *base("premium_health", "premium_rider"), *added("premium_dental", "premium_vision", "premium_supp"),
+        *base("billing_fee_health", "association_fee_health"), *added("association_fee_dental"), *base("admin_fee_health"),
+        *added("admin_fee_dental", "admin_fee_vision"), *base("enrollment_fee_health"), *added("enrollment_fee_dental"),
+        F.least("s_datetime_modified", "a_datetime_modified").alias("datetime_modified"))
     return joined.join(contact_details(applications), "app_pid", "left")
 
 

@@ -19,14 +19,17 @@ from adyield.functions.numeric import floor_to_twentieth
 Targets = Mapping[str, tuple[str, str | None]]
 Transform = Callable[[DataFrame, Sequence[str], str, Targets], DataFrame]
 TINY = 1e-12
+NO_RESIDUAL = 1e-9
 
 
 def _fold(spread: DataFrame, keys: Sequence[str], target: str, at_home: Column, carried: Sequence[str],
           sums: Mapping[str, Column]) -> DataFrame:
-    """Sum per target row; the target's own columns ride along on the copy that stayed at home."""
-    home = F.first(F.when(at_home, F.struct(*carried)), ignorenulls=True).alias("own_row")
-    return spread.groupBy(*keys, target).agg(home, *[c.alias(n) for n, c in sums.items()]).select(
-        *keys, target, "own_row.*", *sums)
+    """Sum per target row; the target's own columns ride along on the copy that stayed at home.
+
+    They ride as single values, so that the aggregate stays a hash aggregate.
+    """
+    own = [F.first(F.when(at_home, F.col(c)), ignorenulls=True).alias(c) for c in carried]
+    return spread.groupBy(*keys, target).agg(*own, *[c.alias(n) for n, c in sums.items()])
 
 
 def spread_outliers(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str],
@@ -104,7 +107,8 @@ def _reach(anchor: Column, n: Column, k: Column) -> Column:
 
 def _tricube(anchor: Column, point: Column, n: Column, k: Column) -> Column:
     share = F.least(F.abs(anchor - point) / _reach(anchor, n, k), F.lit(1.0))
-    return F.pow(F.lit(1.0) - F.pow(share, F.lit(3.0)), F.lit(3.0))
+    left = F.lit(1.0) - share * share * share
+    return left * left * left
 
 
 def lowess(df: DataFrame, keys: Sequence[str], index: str, columns: Mapping[str, str], frac: float,
@@ -114,7 +118,7 @@ def lowess(df: DataFrame, keys: Sequence[str], index: str, columns: Mapping[str,
     Each anchor's line uses its floor(n*frac) nearest slots with tricube weights normalised per slot.
     The normalisation cancels graded robustness weights, so a pass either keeps a slot or drops it:
     its residual must stay under a multiple of the series' 68.2 % residual quantile (``first_limit``
-    after the first fit, ``limit`` later). A series without residuals keeps every slot.
+    after the first fit, ``limit`` later). A residual that is only rounding noise keeps its slot.
     """
     outs = list(columns)
     first = first_limit if isinstance(first_limit, Mapping) else {o: first_limit for o in outs}
@@ -129,7 +133,10 @@ def lowess(df: DataFrame, keys: Sequence[str], index: str, columns: Mapping[str,
     carried = [*kept, "n_slots", "near", *[f"{o}_{s}" for o in outs for s in ("y", "keep")]]
 
     def spread(frame: DataFrame) -> DataFrame:
-        others = F.sequence(F.greatest(x - k, F.lit(0)), F.least(x + k, n - 1))
+        # only anchors near the ends of the series reach further than half the neighbours
+        inner = (x >= k * 2) & (x < n - k * 2)
+        width = F.when(inner, F.ceil(k / F.lit(2)).cast("int")).otherwise(k)
+        others = F.sequence(F.greatest(x - width, F.lit(0)), F.least(x + width, n - 1))
         return frame.withColumn("other", F.explode(others))
 
     # how much weight all anchors together give to a slot
@@ -164,7 +171,7 @@ def lowess(df: DataFrame, keys: Sequence[str], index: str, columns: Mapping[str,
             rows = rows.withColumns({
                 f"{o}_sd": F.percentile(F.col(f"{o}_res"), F.lit(0.682)).over(series) for o in outs})
             rows = rows.withColumns({
-                f"{o}_keep": F.when((F.col(f"{o}_sd") == 0) | (
+                f"{o}_keep": F.when((F.col(f"{o}_res") < NO_RESIDUAL) | (
                     F.col(f"{o}_res") < F.col(f"{o}_sd") * F.lit(float(first[o] if i == 0 else limit))), F.lit(1.0)
                 ).otherwise(F.lit(0.0)) for o in outs})
     return rows.select(*keys, *kept, *[F.col(f"{o}_fit").alias(o) for o in outs])

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adyield.operators.sessions import rare_to_null, trailing_daily_mean
@@ -31,7 +31,7 @@ class TreeClusters:
 
     def transform(self, rows: DataFrame) -> DataFrame:
         """Rows with the leaf they fall into as ``clust``; unseen attribute values count as none of the known."""
-        text = rows.withColumns({f"{c}_in": F.coalesce(F.col(c).cast("string"), F.lit("")) for c in self.attributes})
+        text = rows.withColumns({f"{c}_in": _label(c) for c in self.attributes})
         scored = self.model.transform(text)
         return scored.select(*rows.columns, F.col("leaf").cast("int").alias("clust"))
 
@@ -42,6 +42,11 @@ class TreeClusters:
         self.model.write().overwrite().save(path)
 
 
+def _label(name: str) -> Column:
+    """Attribute value as text; missing and blank values are one category."""
+    return F.coalesce(F.nullif(F.col(name).cast("string"), F.lit("")), F.lit("(none)"))
+
+
 def _leaf_paths(spark: SparkSession, tree) -> list[tuple[int, int, int]]:
     """Leaf ordinals (pre-order) with their ancestors, read from the saved node table of the model."""
     path = f"{shared_folder(spark)}/tree-{uuid.uuid4().hex}"
@@ -69,7 +74,7 @@ def fit_tree(rows: DataFrame, attributes: Sequence[str], clusters: int | None =
     smooth = smooth.withColumn("rps", F.try_divide("revenue", "sessions")).filter(F.col("sessions") > 0)
     smooth = rare_to_null(smooth, attributes, min_sessions)
     text = checkpointed(smooth.select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"{c}_in") for c in attributes], "rps", "sessions"))
+        *[_label(c).alias(f"{c}_in") for c in attributes], "rps", "sessions"))
     known = [f"{c}_in" for c in attributes]
     stages = [
         StringIndexer(inputCols=known, outputCols=[f"{c}_no" for c in attributes], handleInvalid="keep",

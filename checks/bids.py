@@ -251,7 +251,7 @@ register("keyword_bid_summary", lambda spark, sf: keyword_bids.window_summary(bi
 
 register("keyword_bid_check", lambda spark, sf: keyword_bids.bid_check(bids(spark, sf)), with_views(BID_VIEWS, """
 SELECT *, CASE WHEN total_roas < 1 OR rel_roas_miss_delta >= 0.25 THEN 'WARN' ELSE 'PASS' END AS status
-FROM (SELECT *, abs(roas_miss_delta) / least(abs(roas_miss), abs(total_roas_delta_est)) AS rel_roas_miss_delta
+FROM (SELECT *, abs(roas_miss_delta) / nullif(least(abs(roas_miss), abs(total_roas_delta_est)), 0) AS rel_roas_miss_delta
   FROM (SELECT *, roas_miss - total_roas_delta_est AS roas_miss_delta
     FROM (SELECT *, 1.02 - total_roas AS roas_miss, (rev + total_rev_delta_est) / (cost + total_cost_delta_est) - total_roas
         AS total_roas_delta_est

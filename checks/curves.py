@@ -79,7 +79,7 @@ def lowess_sql(name: str, source: str, key: str, frac: float, first: float = 6.0
     FROM {name}_w w JOIN {points} p ON p.{key} = w.{key} AND p.x = w.p GROUP BY 1, 2)))""")
         limit = first if i == 1 else 6.0
         parts.append(f"""{name}_f{i} AS MATERIALIZED (
-  SELECT *, CASE WHEN sd = 0 OR res < sd * {limit} THEN 1.0 ELSE 0.0 END AS keep
+  SELECT *, CASE WHEN res < 1e-9 OR res < sd * {limit} THEN 1.0 ELSE 0.0 END AS keep
   FROM (SELECT *, quantile_cont(res, 0.682) OVER (PARTITION BY {key}) AS sd
     FROM (SELECT p.{key}, p.x, p.y, f.fit, abs(p.y - f.fit) AS res FROM {points} p JOIN (
         SELECT w.{key}, w.p, sum(w.w * (l.b0 + l.b1 * w.p)) AS fit FROM {name}_w w

@@ -133,7 +133,7 @@ register("policies_cleaned", lambda spark, sf: op.clean_applications(view(spark,
     "app_pid", "session_id", "product_fixed", F.col("coverage_duration").cast("long").alias("coverage_duration"), "premium_fixed"),
     with_views("applications", "SELECT app_pid, session_id, product_fixed, cov AS coverage_duration, premium_fixed FROM cleaned", CLEAN),
     "premium_fixed:6")
-register("policies_lapse_dates", lambda spark, sf: op.lapse_dates(op.clean_applications(view(spark, sf, "applications"))).select(
+register("policies_lapse_dates", lambda spark, sf: op.lapse_dates(view(spark, sf, "applications")).select(
     "app_pid", "health_lapse_date", "addon_lapse_date", "health_min_effective_date", "addon_min_effective_date").filter(
         "coalesce(health_lapse_date, addon_lapse_date) IS NOT NULL"),
     with_views("applications", """
@@ -201,14 +201,14 @@ register("durations_group_summary", lambda spark, sf: op.group_summary(
     ended(spark, sf), ["plan_type_order", "plan_group"], ["inforce_percent", "duration_inforce"]), with_views(VIEWS, """
 SELECT plan_type_order, plan_group, count(*) AS policies, avg(inforce_percent) AS inforce_percent_mean, stddev_samp(inforce_percent) AS inforce_percent_std,
   avg(duration_inforce) AS duration_inforce_mean, stddev_samp(duration_inforce) AS duration_inforce_std FROM ended GROUP BY 1, 2""", ENDED),
-    "inforce_percent_mean:9 inforce_percent_std:9 duration_inforce_mean:8 duration_inforce_std:8")
+    "inforce_percent_mean:10 inforce_percent_std:10 duration_inforce_mean:8 duration_inforce_std:8")
 register("durations_by_age_band", lambda spark, sf: op.group_summary(ended(spark, sf).withColumn(
     "age_est", p.round_to_tens(F.col("primary_age"))), ["plan_type", "age_est"], ["inforce_percent"]), with_views(VIEWS, """
 SELECT plan_type, round_even(primary_age / 10, 0) * 10 AS age_est, count(*) AS policies, avg(inforce_percent) AS inforce_percent_mean,
-  stddev_samp(inforce_percent) AS inforce_percent_std FROM ended GROUP BY 1, 2""", ENDED), "inforce_percent_mean:9 inforce_percent_std:9")
+  stddev_samp(inforce_percent) AS inforce_percent_std FROM ended GROUP BY 1, 2""", ENDED), "inforce_percent_mean:10 inforce_percent_std:10")
 register("durations_by_state", lambda spark, sf: op.group_summary(ended(spark, sf), ["state"], ["inforce_percent"]), with_views(VIEWS, """
 SELECT state, count(*) AS policies, avg(inforce_percent) AS inforce_percent_mean, stddev_samp(inforce_percent) AS inforce_percent_std
-FROM ended GROUP BY 1""", ENDED), "inforce_percent_mean:9 inforce_percent_std:9")
+FROM ended GROUP BY 1""", ENDED), "inforce_percent_mean:10 inforce_percent_std:10")
 register("durations_take_rate", lambda spark, sf: op.share_of_total(
     ended(spark, sf).filter("sold_year = 1997"), ["sold_month"], ["plan_group"]), with_views(VIEWS, """
 SELECT sold_month, plan_group, policies, CAST(sum(policies) OVER (PARTITION BY sold_month) AS BIGINT) AS month_total,
