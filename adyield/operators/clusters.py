@@ -153,9 +153,10 @@ def similarity_table(rows: DataFrame, bucket: Sequence[str], **options) -> DataF
 def hybrid_clusters(rows: DataFrame, attributes: Sequence[str], clusters: int = 8, min_sessions: float = 100,
                     kpis: Sequence[str] = KPIS) -> tuple[TreeClusters, DataFrame]:
     """Curve clusters per attribute, then a tree on the cluster labels; returns the tree and clustered rows."""
-    labelled = rows
+    daily = checkpointed(rows)
+    labelled = daily
     for a in attributes:
-        labels = curve_clusters(rows, [a], clusters, kpis).select(a, F.col("clust").alias(f"{a}_clust"))
+        labels = curve_clusters(daily, [a], clusters, kpis).select(a, F.col("clust").alias(f"{a}_clust"))
         labelled = labelled.join(labels, a, "left")
     names = [f"{a}_clust" for a in attributes]
     tree = fit_tree(labelled, names, clusters, min_sessions=min_sessions)

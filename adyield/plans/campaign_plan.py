@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from adyield.operators import clusters as cl
 from adyield.operators import structure as st
 from adyield.operators.tree import fit_tree
+from adyield.session import checkpointed
 
 METHODS = ("mean", "tree", "curve", "hybrid")
 
@@ -37,8 +38,9 @@ def method_report(splits: Mapping[str, tuple[DataFrame, Sequence[str]]], evaluat
     """Hold-out report of every split and clustering, one row each."""
     out = None
     for name, (rows, split) in splits.items():
+        daily = checkpointed(rows)
         for method in methods:
-            clustered = clustered_rows(rows, split, method, evaluation_date, clusters)
+            clustered = checkpointed(clustered_rows(daily, split, method, evaluation_date, clusters))
             factor = cl.split_factor(clustered, split)
             report = cl.holdout_report(clustered, split, evaluation_date).select(
                 F.lit(method).alias("method"), F.lit(name).alias("split"), "*", F.lit(factor).alias("split_factor"))

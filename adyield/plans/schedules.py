@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adyield.functions.numeric import round_to_twentieth, scaled_modifier
-from adyield.functions.timeparts import monday_first
+from adyield.functions.timeparts import SLOTS_PER_DAY, monday_first
 from adyield.operators import intervals, ordered, smoothing as sm, slots
 
 ALL = "ALL"
@@ -62,14 +62,18 @@ def bag_curves(facts: DataFrame, keys: Sequence[str] = (), ts: str = "user_ts",
 
 def weekly_schedule(curves: DataFrame, keys: Sequence[str], day: str, hour: str, fraction: str,
                     modifier: str) -> DataFrame:
-    """Monday-first nested lists: days of hours of quarter-hour modifiers."""
-    hours = curves.groupBy(*keys, monday_first(F.col(day)).alias("day"), F.col(hour).cast("int").alias("hour")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(fraction).alias("f"), F.col(modifier).alias("m")))).alias("quarters"))
-    days = hours.groupBy(*keys, "day").agg(F.array_sort(F.collect_list(
-        F.struct("hour", F.col("quarters.m").alias("quarters")))).alias("hours"))
-    return days.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.struct("day", F.col("hours.quarters").alias("hours")))).alias("days")).select(
-        *keys, F.col("days.hours").alias("schedule"))
+    """Monday-first 7 x 24 x 4 lists of modifiers; a quarter hour without sessions holds NULL."""
+    slot = monday_first(F.col(day)) * SLOTS_PER_DAY + F.col(hour) * 4 + F.col(fraction) * 4
+    known = curves.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
+        F.struct(slot.cast("int").alias("slot"), F.col(modifier).alias("modifier")))).alias("known"))
+
+    def quarters(day_no: Column, hour_no: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(3)), lambda q: F.try_element_at(
+            "known", day_no * SLOTS_PER_DAY + hour_no * 4 + q))
+
+    week = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda d: F.transform(
+        F.sequence(F.lit(0), F.lit(23)), lambda h: quarters(d, h)))
+    return known.select(*keys, week.alias("schedule"))
 
 
 def spline_schedule(series: DataFrame, keys: Sequence[str], rps_error: float, sessions_error: float,

@@ -149,16 +149,22 @@ def curves(spark, sf):
     return sm.add_modifiers(series(spark, sf), ["product"], "int_ix", "rps", "sessions", sm.cema_transform(), "cema")
 
 
-def interval_sql(source: str, value: str, weight: str, keys: str, intervals_no: int = 7) -> str:
+# interval value and the slot it may be read from, per estimator
+ESTIMATES = {"wavg": ("(b.wx - a.wx) / (b.w - a.w)", "a.i + 1"), "left": ("v.x", "a.i + 1"), "mid": ("v.x", "(a.i + b.i) // 2 + 1")}
+
+
+def interval_sql(source: str, value: str, weight: str, keys: str, intervals_no: int = 7, estimator: str = "wavg") -> str:
+    estimate, slot = ESTIMATES[estimator]
     rounds = [f"""pts AS MATERIALIZED (SELECT {keys}, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY hourofday) AS INT) AS i,
   hourofday, CAST({value} AS DOUBLE) AS x, CAST({weight} AS DOUBLE) AS w, count(*) OVER (PARTITION BY {keys}) AS n FROM {source})""",
               f"""pre AS MATERIALIZED (SELECT {keys}, n, i, hourofday, sum(w) OVER o AS w, sum(w * x) OVER o AS wx, sum(w * x * x) OVER o AS wxx
   FROM pts WINDOW o AS (PARTITION BY {keys} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
   UNION ALL SELECT DISTINCT {keys}, n, CAST(0 AS INT), -1.0, 0.0, 0.0, 0.0 FROM pts)""",
               f"""costs AS MATERIALIZED (SELECT {', '.join('a.' + k.strip() for k in keys.split(','))}, a.i AS l, b.i AS r, a.n,
-    (b.wx - a.wx) / (b.w - a.w) AS m, CAST(round(1e9 * ((b.wxx - a.wxx) - 2.0 * ((b.wx - a.wx) / (b.w - a.w)) * (b.wx - a.wx)
-      + (b.wx - a.wx) / (b.w - a.w) * ((b.wx - a.wx) / (b.w - a.w)) * (b.w - a.w))) AS BIGINT) AS c
-  FROM pre a JOIN pre b USING ({keys}) WHERE a.i < b.i)""",
+    {estimate} AS m, CAST(round(1e9 * ((b.wxx - a.wxx) - 2.0 * ({estimate}) * (b.wx - a.wx)
+      + {estimate} * ({estimate}) * (b.w - a.w))) AS BIGINT) AS c
+  FROM pre a JOIN pre b USING ({keys}) JOIN pts v ON {' AND '.join(f'v.{k.strip()} = a.{k.strip()}' for k in keys.split(','))} AND v.i = {slot}
+  WHERE a.i < b.i)""",
               f"k0 AS MATERIALIZED (SELECT DISTINCT {keys}, CAST(n AS INT) AS l, "
               f"{{'e': CAST(0 AS BIGINT), 'b': CAST([] AS INT[])}} AS best FROM pts)"]
     for i in range(1, intervals_no + 1):
@@ -205,7 +211,10 @@ FROM mods m JOIN ({TABLE}) t ON t.product = m.product AND t.weekday_index = m.da
 for _estimator in ("left", "mid"):
     register(f"interval_fit_{_estimator}", lambda spark, sf, e=_estimator: intervals.interval_fit(
         curves(spark, sf), ["product", "dayofweek"], "hourofday", "rps_cema_modifier", "sessions_cema", 4, e).select(
-        "product", "dayofweek", F.size("bounds").alias("intervals"), "error"))
+        "product", "dayofweek", F.concat_ws(",", F.col("bounds").cast("array<string>")).alias("bounds"), "error"),
+        with_views(GEO, """
+SELECT product, dayofweek, array_to_string(bounds, ',') AS bounds, error FROM fit""", f"{MODS},\n" + interval_sql(
+            "mods", "rps_cema_modifier", "sessions_cema", "product, dayofweek", 4, _estimator)), "error:6")
 
 register("tod_interval_modifiers", lambda spark, sf: schedules.interval_modifiers(
     facts(spark, sf), "BING", "2024-01-31 00:00:00").withColumn(
@@ -262,12 +271,13 @@ def _weekly(spark, sf):
     days = week.select("product", F.posexplode("schedule").alias("day", "hours"))
     return days.select("product", "day", F.posexplode("hours").alias("hour_no", "quarters")).select(
         "product", "day", "hour_no", F.size("quarters").alias("quarters"),
-        F.aggregate("quarters", F.lit(0.0), lambda a, b: a + b).alias("total"))
+        F.aggregate("quarters", F.lit(0.0), lambda a, b: a + F.coalesce(b, F.lit(0.0))).alias("total"))
 
 
 register("tod_weekly_schedule", _weekly, with_views(GEO, """
-SELECT product, CAST((weekday + 6) % 7 AS INT) AS day, CAST(hourofday AS INT) AS hour_no, CAST(count(*) AS INT) AS quarters,
-  sum(modifier) AS total FROM curve GROUP BY 1, 2, hourofday""", BAG), "total:5")
+SELECT p.product, CAST(d.day AS INT) AS day, CAST(h.hour AS INT) AS hour_no, CAST(4 AS INT) AS quarters, coalesce(sum(modifier), 0.0) AS total
+FROM (SELECT DISTINCT product FROM curve) p CROSS JOIN (SELECT unnest(range(7)) AS day) d CROSS JOIN (SELECT unnest(range(24)) AS hour) h
+LEFT JOIN curve c ON c.product = p.product AND (c.weekday + 6) % 7 = d.day AND c.hourofday = h.hour GROUP BY 1, 2, 3""", BAG), "total:5")
 
 SPLINE = """spl_n AS MATERIALIZED (SELECT product, int_ix, CAST(rps AS DOUBLE) AS y, count(*) OVER (PARTITION BY product) AS n FROM series),
 spl_c AS MATERIALIZED (SELECT product, f, n, sum(y * (CASE WHEN f = 0 THEN sqrt(1.0 / n) ELSE sqrt(2.0 / n) END) * cos(pi() * f * (int_ix + 0.5) / n)) AS c,

@@ -94,6 +94,15 @@ def test_salted_and_plain_range_join_agree(spark, sf):
     assert left.count() == sessions.count()
 
 
+def test_hot_keys_are_spread_without_losing_rows(spark):
+    rows = spark.range(900).select(F.col("id"), F.when(F.col("id") < 300, F.lit(7)).otherwise(F.col("id") % 50 + 100).alias("k"))
+    facts = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    spread = joins.join_spreading_hot_keys(rows, facts, "k", "n", hot_rows=100, salts=4)
+    plain = rows.join(facts, "k")
+    columns = ["id", "k", "n", "top"]
+    assert sorted(map(tuple, spread.select(columns).collect())) == sorted(map(tuple, plain.select(columns).collect()))
+
+
 def test_rules_apply_in_order(spark):
     body = ('{"id": "1", "activity_schedule": {"mode": "CUSTOM", "rules": ['
             '{"type": "INCLUDE", "day": "Monday", "from_hour": 6, "until_hour": 20},'
