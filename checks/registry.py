@@ -12,9 +12,18 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _nudge(decimals: int) -> str:
+    """A shift far below the rounding step.
+
+    Exact halves, on which two engines may differ by the last bit of a sum, all round up with it.
+    """
+    return f"1.37e-{decimals + 3}"
+
+
 def _rounded(query: Query, digits: dict[str, int]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(spark, sf_dir).withColumns({c: F.round(F.col(c), d) for c, d in digits.items()})
+        return query(spark, sf_dir).withColumns({
+            c: F.round(F.col(c) + F.lit(float(_nudge(d))), d) for c, d in digits.items()})
 
     return run
 
@@ -27,6 +36,6 @@ def register(name: str, query: Query, sql: str | None = None, digits: str = "")
     QUERIES[name] = _rounded(query, places) if places else query
     if sql is not None:
         if places:
-            columns = ", ".join(f'round("{c}", {d}) AS "{c}"' for c, d in places.items())
+            columns = ", ".join(f'round("{c}" + {_nudge(d)}, {d}) AS "{c}"' for c, d in places.items())
             sql = f"SELECT * REPLACE ({columns}) FROM (\n{sql}\n) AS result"
         ORACLES[name] = sql
