@@ -4,9 +4,11 @@ A document keeps two collections of ``m`` band keys, each made of ``r`` minhashe
 collection with one of the second, which gives m * m tables from 2 * m * r minhashes instead of m * m * 2 * r. With m = 12 and
 r = 3 two documents of similarity 0.8 share a key with probability 0.9996, at 0.85 with 0.99998; texts of one set are one class.
 
-Documents that share a key form a run. Members are first compared with the run's smallest document; the few that belong to no
+Documents that share a key form a run. Members are first compared with the run's smallest document; those that belong to no
 component with it are then compared with every other member outside their own component. Links inside a component are not
-needed to find it, so no group is expanded into its pairs, and no candidate is left out.
+needed to find it, so no group is expanded into its pairs. The second comparison runs in blocks on parity sketches: of each
+set's hashes, the parity of the count in each of 2048 cells. Cells that differ are at most the elements in which two sets
+differ, so a pair with more of them than the similarity allows is no link, and only the others go on to the whole sets.
 """
 
 from __future__ import annotations
@@ -30,6 +32,11 @@ BUCKET_KEYS = 600_000
 MIN_BUCKETS = 64
 #: Fixed size of the filter that spares unlinked texts a shuffle; more documents only make it let more pass.
 FILTER_BITS = 1 << 22
+PARITY_CELLS = 2048
+#: Side of a block of candidate pairs, rows that one bucket of blocks holds on average, and pairs compared at a time.
+BLOCK_ROWS = 2_000
+BLOCK_BUCKET_ROWS = 20_000
+PAIRS_AT_A_TIME = 40_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -185,21 +192,28 @@ def _let_through(docs: DataFrame, ids: DataFrame) -> DataFrame:
         .drop("word", "bits")
 
 
+def _parity(values: np.ndarray) -> bytes:
+    odd = np.bincount((values >> np.uint64(40)).astype(np.int64) % PARITY_CELLS, minlength=PARITY_CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """Whole shingle sets of the given nodes: (node, items)."""
+    """Whole shingle sets of the given nodes and their parity sketches: (node, items, parity)."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in text_slices(batch, "text"):
                 values, at = shingle_sets(piece.column("text"), shingle)
                 a, b = _digests(values, at)
                 same = (a == piece.column("a").to_numpy()) & (b == piece.column("b").to_numpy())
+                items = [values[at[i]:at[i + 1]] for i in np.flatnonzero(same)]
                 yield pa.RecordBatch.from_pydict({
                     "node": piece.column("node").filter(pa.array(same)),
-                    "items": pa.array([values[at[i]:at[i + 1]].tobytes() for i in np.flatnonzero(same)], pa.binary())})
+                    "items": pa.array([x.tobytes() for x in items], pa.binary()),
+                    "parity": pa.array([_parity(x) for x in items], pa.binary())})
 
     named = nodes.select(F.col("rep").alias("id"), "node", "a", "b")
     rows = _let_through(docs, named).join(named, "id")
-    return rows.mapInArrow(build, "node long, items binary").dropDuplicates(["node"])
+    return rows.mapInArrow(build, "node long, items binary, parity binary").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,6 +232,60 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("x", "y", "p", "q").mapInArrow(compare, "x long, y long"))
 
 
+def _across_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a run, from two components, that the parity sketches do not rule out: (x, y).
+
+    Pairs with the run's hub have been compared before. A large run is cut into blocks, so no task holds it whole.
+    """
+    outside = F.col("label") != F.col("hub_label")
+    per_run = members.groupBy("run").agg(F.count(F.when(outside, 1)).alias("n_out"), F.count("*").alias("n_all"))
+    rows = members.filter("node <> hub").join(per_run.filter("n_out > 0 and n_all > 2"), "run")
+    rows = rows.join(sets.select("node", "parity"), "node")
+    across, down = (F.ceil(F.col(c) / BLOCK_ROWS).cast("int") for c in ("n_out", "n_all"))
+    place = F.xxhash64("node")
+
+    def spread(side: int, own, other):
+        copies = F.explode(F.sequence(F.lit(0), other - 1))
+        blocks = [F.pmod(place, own).cast("int"), copies] if side == 0 else [copies, F.pmod(place, own).cast("int")]
+        chosen = rows.filter(outside) if side == 0 else rows
+        return chosen.select("run", blocks[0].alias("i"), blocks[1].alias("j"), F.lit(side).alias("side"), "node", "label", "n",
+                             outside.alias("out"), "parity")
+
+    blocks = checkpointed(spread(0, across, down).union(spread(1, down, across)))
+    buckets = max(MIN_BUCKETS, -(-blocks.count() // BLOCK_BUCKET_ROWS))
+
+    def compare(table: pa.Table) -> pa.Table:
+        run, i, j, side, node, label, n, out = (
+            table.column(c).to_numpy() for c in ("run", "i", "j", "side", "node", "label", "n", "out"))
+        parity = np.frombuffer(b"".join(table.column("parity").to_pylist()), np.uint64).reshape(len(node), -1)
+        _, group = np.unique(np.stack([run, i, j]), axis=1, return_inverse=True)
+        group = group.ravel()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        right = right[np.argsort(group[right], kind="stable")]
+        low = np.searchsorted(group[right], group[left])
+        many = np.searchsorted(group[right], group[left], side="right") - low
+        upto = np.cumsum(many)
+        found = []
+        start = 0
+        while start < len(left):
+            stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + PAIRS_AT_A_TIME)))
+            count = many[start:stop]
+            p = np.repeat(left[start:stop], count)
+            q = right[np.repeat(low[start:stop], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+            use = (label[p] != label[q]) & ((node[p] < node[q]) | ~out[q])
+            use &= 100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q])
+            p, q = p[use], q[use]
+            apart = np.bitwise_count(parity[p] ^ parity[q]).sum(axis=1, dtype=np.int64)
+            use = apart * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
+            found.append(np.stack([node[p[use]], node[q[use]]]))
+            start = stop
+        pairs = np.unique(np.sort(np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1), axis=0), axis=1)
+        return pa.table({"x": pairs[0], "y": pairs[1]})
+
+    return blocks.withColumn("bucket", F.pmod(F.xxhash64("run", "i", "j"), F.lit(buckets))) \
+        .groupBy("bucket").applyInArrow(compare, "x long, y long").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """Group documents whose sets of word shingles have a Jaccard similarity of at least ``percent`` / 100.
@@ -246,12 +314,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn(label, F.coalesce(label, node))
 
     members = checkpointed(labelled(labelled(runs, "node", "label"), "hub", "hub_label"))
-    apart = members.filter("label <> hub_label").select(
-        "run", F.col("node").alias("x"), F.col("label").alias("x_label"), F.col("n").alias("x_n"))
-    others = members.filter("node <> hub").select("run", "node", "label", "n", "hub_label")
-    crossing = apart.join(others, "run").filter(
-        f"label <> x_label and (x < node or label = hub_label) and 100 * least(n, x_n) >= {percent} * greatest(n, x_n)")
-    crossing = checkpointed(crossing.select(F.least("x", "node").alias("x"), F.greatest("x", "node").alias("y")).distinct())
+    crossing = checkpointed(_across_components(members, sets, percent))
     more = checkpointed(_confirmed(crossing, sets, percent))
     if more.limit(1).count():
         labels = component_labels(links.union(more))
