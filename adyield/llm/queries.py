@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adyield.llm import near_dedup, suffix_dedup
+from adyield.llm import language_id, near_dedup, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,21 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+def held_out():
+    """Whether a document's checksum keeps it out of training."""
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+def learned(docs: DataFrame) -> list[tuple[str, int, int]]:
+    """Language profiles from the documents that are not held out; as many rows as profiles hold."""
+    training = docs.filter(F.coalesce(~held_out(), F.lit(True)))
+    return [tuple(row) for row in language_id.learn_profiles(training).collect()]
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, learned(docs))
+    return found.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
