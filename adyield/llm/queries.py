@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adyield.llm import language_id, near_dedup, packing, suffix_dedup
+from adyield.llm import language_id, licences, mixing, near_dedup, packing, suffix_dedup, unit_dedup
+from adyield.llm.licence_texts import KNOWN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +24,32 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+ORACLES["op2_minhash_near_dedup"] = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN CASE WHEN len(w) = 1 THEN [w[1]] ELSE [] END
+         ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS items
+  FROM words),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_shared
+  FROM (SELECT doc_id, unnest(items) AS item FROM sets) a JOIN (SELECT doc_id, unnest(items) AS item FROM sets) b
+    ON a.item = b.item AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+  WHERE 100 * n_shared >= 80 * (len(a.items) + len(b.items) - n_shared)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, y FROM reached r JOIN links ON r.other = x)
+SELECT s.doc_id, CAST(len(s.items) AS BIGINT) AS n_shingles, min(r.other) AS component_id, s.doc_id = min(r.other) AS kept
+FROM sets s JOIN reached r ON r.doc_id = s.doc_id
+GROUP BY s.doc_id, s.items"""
+
+
 @query
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -55,3 +82,85 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans as text: start:end of each removed line, in characters, apart by blanks."""
+    found = unit_dedup.remove_repeated_units(table(spark, sf_dir, "documents"))
+    spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
+    return found.select("doc_id", "n_units", "n_removed", "n_chars_removed", F.concat_ws(" ", spans).alias("removed_spans"))
+
+
+ORACLES["op3_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS unit, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+placed AS (
+  SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+         trim(regexp_replace(lower(line), '\\s+', ' ', 'g')) AS plain
+  FROM lines),
+judged AS (
+  SELECT *, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, unit) > 1 AS gone FROM placed)
+SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+       CAST(coalesce(sum(length(line)) FILTER (gone), 0) AS BIGINT) AS n_chars_removed,
+       coalesce(string_agg(start || ':' || (start + length(line)), ' ' ORDER BY unit) FILTER (gone), '') AS removed_spans
+FROM judged GROUP BY doc_id"""
+
+
+@query
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"), licences.known_licences(spark))
+    return found.withColumn("notices", F.concat_ws(",", "notices"))
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    words = f"trim(regexp_replace(regexp_replace(lower({text}), {_literal(licences._COPYRIGHT)}, '', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    for odd, usual in sorted(licences.SPELLINGS.items(), key=lambda pair: " " in pair[0]):
+        words = f"regexp_replace({words}, '\\b{odd}\\b', '{usual}', 'g')"
+    return words
+
+
+_KNOWN_SQL = ", ".join(f"({_literal(name)}, {_literal(text)})" for name, wordings in KNOWN.items() for text in wordings)
+ORACLES["op4_licence_scan"] = f"""
+WITH known AS (
+  SELECT md5({_canonical_sql('body')}) AS digest, min(name) AS licence FROM (VALUES {_KNOWN_SQL}) AS t(name, body) GROUP BY 1),
+whole AS (
+  SELECT doc_id, {_canonical_sql('text')} AS plain FROM documents),
+lines AS (
+  SELECT doc_id, {_canonical_sql('line')} AS plain
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+notices AS (
+  SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS notices
+  FROM lines JOIN known ON plain <> '' AND md5(plain) = digest GROUP BY doc_id)
+SELECT whole.doc_id, CASE WHEN plain <> '' THEN md5(plain) END AS digest, licence, coalesce(notices, '') AS notices
+FROM whole LEFT JOIN known ON plain <> '' AND md5(plain) = known.digest LEFT JOIN notices ON notices.doc_id = whole.doc_id"""
+
+
+@query
+def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole corpus, sources weighted by the square root of their size, about as many bytes as before."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_poisson_mixing"] = """
+WITH sizes AS (
+  SELECT source, CAST(sum(strlen(text)) AS DOUBLE) AS size FROM documents GROUP BY source),
+rates AS (
+  SELECT source, sqrt(size) * (sum(size) OVER () / sum(sqrt(size)) OVER ()) / size AS rate FROM sizes WHERE size > 0),
+sums AS (
+  SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS upto
+  FROM rates, range(0, 60) AS t(k)),
+drawn AS (
+  SELECT d.doc_id, d.source, ('0x' || substr(md5('0:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM documents d),
+counted AS (
+  SELECT doc_id, CAST(count(*) AS INTEGER) AS n FROM drawn JOIN sums ON drawn.source IS NOT DISTINCT FROM sums.source AND upto <= u
+  GROUP BY doc_id)
+SELECT d.*, CAST(c.copy AS INTEGER) AS copy, md5('0:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || c.copy) AS place
+FROM documents d JOIN (SELECT doc_id, unnest(range(1, n + 1)) AS copy FROM counted) c ON c.doc_id = d.doc_id"""
