@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adyield.llm import language_id, licences, mixing, near_dedup, packing, suffix_dedup, unit_dedup
+from adyield.llm import ann, exact_topk, language_id, licences, mixing, near_dedup, packing, suffix_dedup, unit_dedup
 from adyield.llm.licence_texts import KNOWN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,27 @@ counted AS (
   GROUP BY doc_id)
 SELECT d.*, CAST(c.copy AS INTEGER) AS copy, md5('0:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || c.copy) AS place
 FROM documents d JOIN (SELECT doc_id, unnest(range(1, n + 1)) AS copy FROM counted) c ON c.doc_id = d.doc_id"""
+
+
+@query
+def op5_cross_polytope_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query
+def op7_histogram_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+ORACLES["op7_histogram_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 5"""
