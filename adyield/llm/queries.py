@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adyield.llm import ann, exact_topk, language_id, licences, mixing, near_dedup, packing, suffix_dedup, unit_dedup
+from adyield.llm import ann, exact_topk, language_id, licences, mixing, near_dedup, packing, suffix_dedup, unit_dedup, url_filter
 from adyield.llm.licence_texts import KNOWN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,12 @@ ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
   FROM scored)
 SELECT * FROM ranked WHERE rank <= 5"""
+
+
+# The rules this query is asked to apply.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("words")
