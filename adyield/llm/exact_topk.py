@@ -20,6 +20,8 @@ from adyield.session import checkpointed
 BINS = 64
 QUERY_ROWS = 1_024
 ITEM_ROWS = 2_048
+#: Item blocks that one task scores with a block of queries.
+ITEM_BLOCKS = 8
 #: Rounds end when no query has more scores than this many times k at or above its lower bound.
 SLACK = 8
 
@@ -38,6 +40,10 @@ def _blocks(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
     return checkpointed(numbered.groupBy("block").applyInArrow(pack, "block long, ids binary, values binary")), count
 
 
+def _each(count: int) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+
+
 def _scores(query: np.ndarray, item: np.ndarray) -> np.ndarray:
     """Inner products as whole numbers; in floating point where every partial sum is exact there."""
     top = int(np.abs(query).max(initial=0)) * int(np.abs(item).max(initial=0)) * max(1, query.shape[1])
@@ -55,11 +61,16 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
     No vectors or no queries give an empty result. Other columns may have any name. Products must fit 64 bits.
     """
     rows = checkpointed(usable(df, id_col, vector_col).select("id", "vector", is_query.alias("asks")))
-    items, _ = _blocks(rows, ITEM_ROWS)
+    items, item_blocks = _blocks(rows, ITEM_ROWS)
     queries, query_blocks = _blocks(rows.filter("asks"), QUERY_ROWS)
-    items = items.select("ids", "values", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("block"))
+    strips = -(-item_blocks // ITEM_BLOCKS)
+    items = items.select("ids", "values", F.pmod("block", F.lit(strips)).alias("strip"), _each(query_blocks).alias("block"))
     queries = queries.select("block", F.col("ids").alias("query_ids"), F.col("values").alias("query_values"))
 
+    def pairs(questions: DataFrame) -> DataFrame:
+        """Every block of queries with every block of items, dealt by query block and strip of items."""
+        return questions.withColumn("strip", _each(strips)).join(items, ["block", "strip"])
+
     def scored(batch: pa.RecordBatch) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Per pair of blocks: its row, query ids, item ids, scores, and which of them are of a row with itself."""
         for row in batch.to_pylist():
@@ -78,17 +89,26 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
                     "high": pa.array(np.where(own, least, scores)[some].max(axis=1))})
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, total = None, np.zeros(0, np.int64), np.zeros((0, BINS + 1), np.int64)
+
+        def counted() -> pa.RecordBatch:
+            q, part = np.nonzero(total)
+            return pa.RecordBatch.from_pydict({
+                "query_id": pa.array(ids[q]), "part": pa.array(part.astype(np.int64)), "many": pa.array(total[q, part])})
+
         for batch in batches:
             for row, query, item, scores, own in scored(batch):
                 low, width = _aligned(query, row["state"])
                 place = (scores - low[:, None]) // width[:, None]
                 # scores above the range count as its last part, those below it not at all
                 place = np.where(own | (place < 0), -1, np.minimum(place, BINS))
-                flat = np.bincount(((place + 1) + np.arange(len(query))[:, None] * (BINS + 2)).ravel(), minlength=len(query) * (BINS + 2))
-                counts = flat.reshape(len(query), -1)[:, 1:]
-                q, part = np.nonzero(counts)
-                yield pa.RecordBatch.from_pydict({
-                    "query_id": pa.array(query[q]), "part": pa.array(part.astype(np.int64)), "many": pa.array(counts[q, part])})
+                flat = ((place + 1) + np.arange(len(query))[:, None] * (BINS + 2)).ravel()
+                counts = np.bincount(flat, minlength=len(query) * (BINS + 2)).reshape(len(query), -1)[:, 1:]
+                if row["block"] != block:
+                    yield counted()
+                    block, ids, total = row["block"], query, np.zeros_like(counts)
+                total += counts
+        yield counted()
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,11 +122,10 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
 
     def with_state(state: DataFrame) -> DataFrame:
         packed = state.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("query_id", "low", "width"))).alias("state"))
-        return pairs.join(packed, "block")
+        return pairs(queries.join(packed, "block"))
 
-    pairs = items.join(queries, "block")
     # the first histogram's range is that of the scores themselves
-    state = pairs.mapInArrow(limits, "query_id long, block long, low long, high long").groupBy("query_id", "block").agg(
+    state = pairs(queries).mapInArrow(limits, "query_id long, block long, low long, high long").groupBy("query_id", "block").agg(
         F.min("low").alias("low"), F.max("high").alias("high"))
     state = checkpointed(state.select("query_id", "block", "low", F.expr(f"(high - low) div {BINS} + 1").alias("width")))
     while True:
