@@ -5,32 +5,61 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adyield.llm import near_dedup, suffix_dedup
+from adyield.llm import language_id, mixing, near_dedup, packing, suffix_dedup
 from adyield.session import shared_folder
 
-#: No SQL twin: shingle similarity, passage removal, Poisson draws and packing are tested against brute force.
+#: No SQL twin: n-gram ranks, passage removal and packing are tested against brute force.
 ORACLE_SQL = None
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A text that shares fewer ranks than this with its best language is in none of them.
+MIN_LANGUAGE_SCORE = 0.05
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reject documents without a letter and those of a language unlike all that the labelled documents teach."""
+    profiles = [tuple(row) for row in language_id.learn_profiles(docs).collect()]
+    judged = language_id.identify(docs, profiles, keep=tuple(COLUMNS[1:]))
+    return judged.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(COLUMNS)
+
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of every group of near-duplicates: five-word shingles, similarity 0.8."""
-    groups = near_dedup.near_duplicates(docs)
-    return docs.join(groups.filter("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    """Keep the smallest id of every group of near-duplicates (five-word shingles, similarity 0.8), and of repeated rows one.
+
+    Rows without an id are in no group and stay.
+    """
+    kept = near_dedup.near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang")
+    named = docs.join(kept, "doc_id", "left_semi").withColumn("nth", F.row_number().over(same)).filter("nth = 1")
+    return named.select(COLUMNS).union(docs.filter("doc_id is null").select(COLUMNS))
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut byte strings of 400 bytes that stand more than once; documents stay, with what is left of their text."""
     cut = suffix_dedup.remove_repeats(docs, keep=("lang", "source"), as_text=True)
-    return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source",
-                      F.length("kept").cast("long").alias("n_chars"))
+    return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat documents so that sources weigh as the square root of their size, and shuffle."""
+    return mixing.mix(docs).select(COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokenise and pack into sequences of 1024."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", known_language),
     ("minhash_near_dedup", one_of_each_group),
     ("suffix_array_dedup", without_repeated_passages),
+    ("poisson_mixing", mixed_sources),
+    ("best_fit_packing", packed),
 ]
 
 
