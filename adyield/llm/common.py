@@ -10,8 +10,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adyield.session import checkpointed
+
+#: Rows of a small table that go into one checkpoint file, if its shuffle has more partitions than that needs.
+FILE_ROWS = 25_000
+
 #: Text that one vectorised step works on; it bounds the arrays of a Python worker, not the result.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -25,6 +30,11 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return plain.select(*[F.col(f"c{have.index(old)}").alias(new) for new, old in names.items()])
 
 
+def checkpointed_in(df: DataFrame, rows: int) -> DataFrame:
+    """Checkpoint a table of about ``rows`` short rows in as few files as that takes."""
+    return checkpointed(df.coalesce(max(1, -(-rows // FILE_ROWS))))
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of text each; one longer text is a run of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -66,7 +76,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Running polynomial hash; ``window_hash`` reads any substring's hash off it."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_CODES[data] * powers(len(data))[0], dtype=np.uint64, out=out[1:])
+    terms = _BYTE_CODES[data]
+    terms *= powers(len(data))[0]
+    np.cumsum(terms, dtype=np.uint64, out=out[1:])
     return out
 
 

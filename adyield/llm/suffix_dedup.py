@@ -89,8 +89,8 @@ class _Block:
         self.bytes, self.offsets = text_bytes(self.batch.column("text"))
         self.prefix = prefix_hash(self.bytes)
         sizes = np.diff(self.offsets)
-        self.within = np.arange(len(self.bytes), dtype=np.int64) - np.repeat(self.offsets[:-1], sizes)
-        self.left = np.repeat(sizes, sizes) - self.within
+        self.within = np.arange(len(self.bytes), dtype=np.int32) - np.repeat(self.offsets[:-1].astype(np.int32), sizes)
+        self.left = np.repeat(sizes.astype(np.int32), sizes) - self.within
 
     def cover_samples(self, window: int) -> np.ndarray:
         member = np.zeros(COVER_MODULUS, bool)
@@ -202,7 +202,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 whole = block.bytes[a:b]
                 whole = whole if totals[a] == totals[b] else whole[~removed[a:b]]
                 kept.append(whole.tobytes().decode("utf-8", "ignore") if as_text else whole.tobytes())
-            spans = pa.StructArray.from_arrays([pa.array(block.within[first]), pa.array(last - first)], fields=list(span_type))
+            spans = pa.StructArray.from_arrays([pa.array(block.within[first], pa.int64()), pa.array(last - first)], fields=list(span_type))
             columns = {"id": block.batch.column("id")}
             columns |= {f"keep_{i}": block.batch.column(f"keep_{i}") for i in range(len(keep))}
             columns |= {
