@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adyield.llm.common import (mixed, pack_sorted, pack_words, pick, prefix_hash, text_bytes, text_slices, unpack_sorted,
+from adyield.llm.common import (checkpointed_in, mixed, pack_sorted, pack_words, pick, prefix_hash, text_bytes, text_slices, unpack_sorted,
                                 unpack_words, window_hash)
 from adyield.llm.components import component_labels
 from adyield.session import checkpointed
@@ -118,15 +118,14 @@ def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.mapInArrow(sketch, f"id {docs.schema['id'].dataType.simpleString()}, n long, a long, b long, bands array<long>")
 
 
-def _classes(sketches: DataFrame) -> DataFrame:
+def _classes(sketches: DataFrame, rows: int) -> DataFrame:
     """One node for each distinct set. Its name is its smallest id, or a hash where another set has the same smallest id."""
     sets = sketches.filter("n > 0 and id is not null").groupBy("a", "b").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
-    sets = checkpointed(sets)
     owners = sets.groupBy("rep").agg(F.min(F.struct("a", "b")).alias("owner"))
     mine = F.col("owner") == F.struct("a", "b")
-    return checkpointed(sets.join(owners, "rep").select(
-        "a", "b", "rep", "n", "bands", F.when(mine, F.col("rep")).otherwise(F.xxhash64("a", "b", "rep")).alias("node")))
+    node = F.when(mine, F.col("rep")).otherwise(F.xxhash64("a", "b", "rep")).alias("node")
+    return checkpointed_in(sets.join(owners, "rep").select("a", "b", "rep", "n", "bands", node), rows)
 
 
 def _runs(nodes: DataFrame) -> DataFrame:
@@ -251,8 +250,8 @@ def _across_components(members: DataFrame, sets: DataFrame, percent: int) -> Dat
         return chosen.select("run", blocks[0].alias("i"), blocks[1].alias("j"), F.lit(side).alias("side"), "node", "label", "n",
                              outside.alias("out"), "parity")
 
-    blocks = checkpointed(spread(0, across, down).union(spread(1, down, across)))
-    buckets = max(MIN_BUCKETS, -(-blocks.count() // BLOCK_BUCKET_ROWS))
+    blocks = spread(0, across, down).union(spread(1, down, across))
+    buckets = max(MIN_BUCKETS, -(-members.count() // BLOCK_BUCKET_ROWS))
 
     def compare(table: pa.Table) -> pa.Table:
         run, i, j, side, node, label, n, out = (
@@ -300,27 +299,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = pick(docs, id=id_col, text=text_col)
     sketches = checkpointed(_sketches(rows, shingle))
-    nodes = _classes(sketches)
+    n_rows = sketches.count()
+    nodes = _classes(sketches, n_rows)
     runs = checkpointed(_runs(nodes))
     close = f"100 * least(n, hub_n) >= {percent} * greatest(n, hub_n)"
     involved = nodes.select("node", "rep", "a", "b").join(runs.select("node").distinct(), "node")
     sets = checkpointed(_sets(rows, involved, shingle))
     stars = runs.filter(f"node <> hub and {close}").select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct()
-    links = checkpointed(_confirmed(checkpointed(stars), sets, percent))
+    links = checkpointed(_confirmed(stars, sets, percent))
     labels = component_labels(links)
 
     def labelled(df: DataFrame, node: str, label: str) -> DataFrame:
         return df.join(labels.select(F.col("node").alias(node), F.col("label").alias(label)), node, "left") \
             .withColumn(label, F.coalesce(label, node))
 
-    members = checkpointed(labelled(labelled(runs, "node", "label"), "hub", "hub_label"))
-    crossing = checkpointed(_across_components(members, sets, percent))
-    more = checkpointed(_confirmed(crossing, sets, percent))
+    members = checkpointed_in(labelled(labelled(runs, "node", "label"), "hub", "hub_label"), runs.count())
+    more = checkpointed(_confirmed(_across_components(members, sets, percent), sets, percent))
     if more.limit(1).count():
         labels = component_labels(links.union(more))
     least = labels.join(nodes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("component"))
-    linked = checkpointed(labels.join(least, "label").select("node", "component"))
-    classes = checkpointed(nodes.join(linked, "node", "left").select("a", "b", F.coalesce("component", "rep").alias("component")))
+    linked = labels.join(checkpointed_in(least, n_rows), "label").select("node", "component")
+    classes = nodes.join(linked, "node", "left").select("a", "b", F.coalesce("component", "rep").alias("component"))
+    classes = checkpointed_in(classes, n_rows)
     empty = F.col("n") == 0
     named = sketches.filter("n > 0 and id is not null").join(classes, ["a", "b"]).select("id", "n", "component")
     alone = sketches.filter("n = 0 or id is null").select("id", "n", F.when(empty, F.col("id")).alias("component"))
