@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 # Weekday names of the modifier table, Sunday first.
 WEEKDAYS = ["SUN", "MON", "TUE", "WED", "THR", "FRI", "SAT"]
+# Costs are shares of the day's weighted sum of squares, so neither large weights nor large values move a bound.
 COST_STEPS = 1e9
-UNREACHABLE = 1 << 60
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -30,12 +30,16 @@ def _interval_value(points: Column, left: Column, right: Column, estimator: str)
     return F.try_divide(_between(points, "wx", left, right), _between(points, "w", left, right))
 
 
+def _day_total(points: Column) -> Column:
+    return points[F.size(points) - 1]["wxx"]
+
+
 def _interval_cost(points: Column, left: Column, right: Column, estimator: str) -> Column:
-    """Weighted squared error of one interval in whole 1e-9 steps, so that equal splits tie exactly."""
+    """Weighted squared error of one interval in whole 1e-9 shares of the day's total, so that equal splits tie exactly."""
     value = _interval_value(points, left, right, estimator)
     error = (_between(points, "wxx", left, right) - F.lit(2.0) * value * _between(points, "wx", left, right)
              + value * value * _between(points, "w", left, right))
-    return F.coalesce(F.round(error * F.lit(COST_STEPS)).cast("long"), F.lit(0).cast("long"))
+    return F.coalesce(F.rint(F.try_divide(error, _day_total(points)) * F.lit(COST_STEPS)), F.lit(0.0))
 
 
 def interval_fit(days: DataFrame, keys: Sequence[str], order: str, value: str, weight: str, intervals: int = 7,
@@ -58,18 +62,19 @@ def interval_fit(days: DataFrame, keys: Sequence[str], order: str, value: str, w
 
     def solve(points: Column) -> Column:
         last = F.size(points) - 1
-        done = F.struct(F.lit(0).cast("long").alias("error"), empty.alias("bounds"))
+        done = F.struct(F.lit(False).alias("short"), F.lit(0.0).alias("error"), empty.alias("bounds"))
+        # a split that does not reach the day's end is short, which counts before any error
         start = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-            F.when(i == last, F.lit(0)).otherwise(F.lit(UNREACHABLE)).cast("long").alias("error"), empty.alias("bounds")))
+            (i < last).alias("short"), F.lit(0.0).alias("error"), empty.alias("bounds")))
 
         def rounds(costs: Column) -> Column:
             def one_round(best: Column, _round: Column) -> Column:
                 def from_left(row: Column, left: Column) -> Column:
                     # right bounds differ between candidates, so they settle every tie
                     choice = F.array_min(F.transform(row, lambda cost, i: F.struct(
-                        (cost + best[left + i + 1]["error"]).alias("error"), (left + i + 1).alias("right"))))
+                        best[left + i + 1]["short"].alias("short"), (cost + best[left + i + 1]["error"]).alias("error"), (left + i + 1).alias("right"))))
                     return _bind(choice, lambda c: F.struct(
-                        c["error"].alias("error"), F.concat(F.array(c["right"]), best[c["right"]]["bounds"]).alias("bounds")))
+                        c["short"].alias("short"), c["error"].alias("error"), F.concat(F.array(c["right"]), best[c["right"]]["bounds"]).alias("bounds")))
 
                 return F.concat(F.transform(costs, from_left), F.array(done))
 
@@ -81,7 +86,7 @@ def interval_fit(days: DataFrame, keys: Sequence[str], order: str, value: str, w
 
     fitted = gathered.withColumn("fit", _bind(F.concat(F.array(origin), F.array_sort("points")), solve))
     return fitted.select(*keys, F.col("fit.points").alias("points"), F.col("fit.best.bounds").alias("bounds"),
-                         (F.col("fit.best.error") / F.lit(COST_STEPS)).alias("error"))
+                         (F.col("fit.best.error") / F.lit(COST_STEPS) * _day_total(F.col("fit.points"))).alias("error"))
 
 
 def interval_table(days: DataFrame, keys: Sequence[str], order: str, value: str, weight: str, intervals: int = 7,

@@ -161,17 +161,18 @@ def interval_sql(source: str, value: str, weight: str, keys: str, intervals_no:
   FROM pts WINDOW o AS (PARTITION BY {keys} ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
   UNION ALL SELECT DISTINCT {keys}, n, CAST(0 AS INT), -1.0, 0.0, 0.0, 0.0 FROM pts)""",
               f"""costs AS MATERIALIZED (SELECT {', '.join('a.' + k.strip() for k in keys.split(','))}, a.i AS l, b.i AS r, a.n,
-    {estimate} AS m, CAST(round(1e9 * ((b.wxx - a.wxx) - 2.0 * ({estimate}) * (b.wx - a.wx)
-      + {estimate} * ({estimate}) * (b.w - a.w))) AS BIGINT) AS c
-  FROM pre a JOIN pre b USING ({keys}) JOIN pts v ON {' AND '.join(f'v.{k.strip()} = a.{k.strip()}' for k in keys.split(','))} AND v.i = {slot}
+    {estimate} AS m, round_even(1e9 * ((b.wxx - a.wxx) - 2.0 * ({estimate}) * (b.wx - a.wx)
+      + {estimate} * ({estimate}) * (b.w - a.w)) / t.wxx, 0) AS c
+  FROM pre a JOIN pre b USING ({keys}) JOIN pre t ON {' AND '.join(f't.{k.strip()} = a.{k.strip()}' for k in keys.split(','))} AND t.i = a.n JOIN pts v ON {' AND '.join(f'v.{k.strip()} = a.{k.strip()}' for k in keys.split(','))} AND v.i = {slot}
   WHERE a.i < b.i)""",
               f"k0 AS MATERIALIZED (SELECT DISTINCT {keys}, CAST(n AS INT) AS l, "
-              f"{{'e': CAST(0 AS BIGINT), 'b': CAST([] AS INT[])}} AS best FROM pts)"]
+              f"{{'e': CAST(0 AS DOUBLE), 'b': CAST([] AS INT[])}} AS best FROM pts)"]
     for i in range(1, intervals_no + 1):
         rounds.append(f"""k{i} AS MATERIALIZED (SELECT {keys}, l, min({{'e': c + best.e, 'b': [r] || best.b}}) AS best
   FROM costs JOIN (SELECT {keys}, l AS r, best FROM k{i - 1}) USING ({keys}, r) GROUP BY {keys}, l
   UNION ALL SELECT * FROM k0)""")
-    rounds.append(f"fit AS MATERIALIZED (SELECT {keys}, best.b AS bounds, best.e / 1e9 AS error FROM k{intervals_no} WHERE l = 0)")
+    rounds.append(f"fit AS MATERIALIZED (SELECT {keys}, best.b AS bounds, best.e / 1e9 * wxx AS error "
+                  f"FROM k{intervals_no} JOIN (SELECT {keys}, wxx FROM pre WHERE i = n) USING ({keys}) WHERE l = 0)")
     return ",\n".join(rounds)
 
 

@@ -1,4 +1,5 @@
 import functools
+import math
 import random
 
 import numpy as np
@@ -93,18 +94,19 @@ def test_spline_error_stays_within_bound(spark):
 def best_split(x, w, k):
     """Smallest (error, bounds) over all splits into at most k intervals."""
     n = len(x)
+    total = float((np.array(w) * np.array(x) ** 2).sum())
 
     def cost(a, b):
         xs, ws = np.array(x[a:b]), np.array(w[a:b])
         mean = (xs * ws).sum() / ws.sum()
-        return int(round(1e9 * float((ws * (xs - mean) ** 2).sum())))
+        return round(1e9 * float((ws * (xs - mean) ** 2).sum()) / total)
 
     @functools.cache
     def solve(a, left):
         if a == n:
             return 0, ()
         if left == 0:
-            return 1 << 60, ()
+            return math.inf, ()
         best = None
         for b in range(a + 1, n + 1):
             e, bounds = solve(b, left - 1)
@@ -112,7 +114,8 @@ def best_split(x, w, k):
             best = candidate if best is None or candidate < best else best
         return best
 
-    return solve(0, k)
+    steps, bounds = solve(0, k)
+    return steps / 1e9 * total, bounds
 
 
 def test_interval_fit_is_optimal(spark):
@@ -123,10 +126,21 @@ def test_interval_fit_is_optimal(spark):
     got = {r["dayofweek"]: (r["error"], tuple(r["bounds"])) for r in intervals.interval_fit(df, ["dayofweek"], "hourofday", "x", "w", 4).collect()}
     for day, rows in days.items():
         error, bounds = best_split([r[1] for r in rows], [r[2] for r in rows], 4)
-        assert got[day][0] == pytest.approx(error / 1e9, abs=1e-8)
+        assert got[day][0] == pytest.approx(error, rel=1e-6, abs=1e-8)
         assert got[day][1] == bounds
 
 
+@pytest.mark.parametrize("estimator", ["wavg", "left", "mid"])
+def test_interval_bounds_do_not_depend_on_scale(spark, estimator):
+    rnd = random.Random(8)
+    slots = [(i / 4, 1 + 0.5 * math.sin(i / 9) + rnd.random() / 10, rnd.randrange(1, 9)) for i in range(96)]
+    scales = [(1.0, 1.0), (1e9, 1.0), (1e12, 1.0), (1e-9, 1.0), (1.0, 1e8)]
+    df = spark.createDataFrame([(day, h, x * by, w * much) for day, (much, by) in enumerate(scales) for h, x, w in slots],
+                               "dayofweek int, hourofday double, x double, w double")
+    bounds = [tuple(r["bounds"]) for r in intervals.interval_fit(df, ["dayofweek"], "hourofday", "x", "w", 7, estimator).collect()]
+    assert len(bounds) == len(scales) and len(set(bounds)) == 1 and bounds[0][-1] == 96
+
+
 def test_interval_table_covers_each_day(spark):
     rows = [(day, h / 4, 1.0 + (h // 10) % 3, 5.0) for day in range(7) for h in range(96)]
     df = spark.createDataFrame(rows, "dayofweek int, hourofday double, x double, w double")
