@@ -11,35 +11,59 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adyield.operators.sessions import rare_to_null, trailing_daily_mean
 from adyield.session import checkpointed, shared_folder
 
-MAX_DEPTH = 12
+# Levels that one fit of Spark's tree can have; deeper trees are grown on from its lowest leaves.
+FIT_DEPTH = 30
+
+
+@dataclass
+class _Part:
+    """One fitted tree of at most FIT_DEPTH levels; ``grafts`` maps its leaves to the parts that go on below them."""
+
+    model: DecisionTreeRegressionModel
+    leaves: list[list[int]]  # for each leaf its node and those above it, up to the part's root
+    grafts: dict[int, int]
 
 
 @dataclass
 class TreeClusters:
-    """A fitted tree: its transformer, its attributes and each leaf's path to the root."""
+    """A fitted tree: its features, parts, attributes and each leaf's path to the root."""
 
-    model: PipelineModel
+    features: PipelineModel
+    parts: list[_Part]
     attributes: list[str]
     paths: list[tuple[int, int, int]]  # leaf ordinal, node id, steps above the leaf
 
     def transform(self, rows: DataFrame) -> DataFrame:
         """Rows with the leaf they fall into as ``clust``; unseen attribute values count as none of the known."""
-        text = rows.withColumns({f"{c}_in": _label(c) for c in self.attributes})
-        scored = self.model.transform(text)
-        return scored.select(*rows.columns, F.col("leaf").cast("int").alias("clust"))
+        scored = self.features.transform(rows.withColumns({f"{c}_in": _label(c) for c in self.attributes}))
+        for part in self.parts:
+            scored = part.model.transform(scored)
+        ordinals = {place: i for i, place in enumerate(_ends(self.parts))}
+
+        def leaf(number: int) -> Column:
+            part = self.parts[number]
+            own = F.col(part.model.getLeafCol()).cast("int")
+            plain = F.element_at(F.array(*[F.lit(ordinals.get((number, i), -1)) for i in range(len(part.leaves))]), own + 1)
+            for end, below in part.grafts.items():
+                plain = F.when(own == end, leaf(below)).otherwise(plain)
+            return plain
+
+        return scored.select(*rows.columns, leaf(0).alias("clust"))
 
     def path_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.paths, "clust int, node int, above int")
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        self.features.write().overwrite().save(f"{path}/features")
+        for number, part in enumerate(self.parts):
+            part.model.write().overwrite().save(f"{path}/part-{number}")
 
 
 def _label(name: str) -> Column:
@@ -47,27 +71,54 @@ def _label(name: str) -> Column:
     return F.coalesce(F.nullif(F.col(name).cast("string"), F.lit("")), F.lit("(none)"))
 
 
-def _leaf_paths(spark: SparkSession, tree) -> list[tuple[int, int, int]]:
-    """Leaf ordinals (pre-order) with their ancestors, read from the saved node table of the model."""
+def _read_leaves(spark: SparkSession, tree: DecisionTreeRegressionModel) -> tuple[list[list[int]], set[int]]:
+    """Leaves (pre-order) with their ancestors, read from the saved node table, and which of them are not pure.
+
+    The table has one row per node, at most twice the leaves that the tree was allowed to have.
+    """
     path = f"{shared_folder(spark)}/tree-{uuid.uuid4().hex}"
     tree.save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("id", "leftChild", "rightChild").collect()
+    nodes = spark.read.parquet(f"{path}/data").select("id", "leftChild", "rightChild", "impurity").collect()
     parent = {child: n["id"] for n in nodes for child in (n["leftChild"], n["rightChild"]) if child >= 0}
-    leaves = sorted(n["id"] for n in nodes if n["leftChild"] < 0)
-    paths = []
-    for ordinal, node in enumerate(leaves):
-        above = 0
-        while node is not None:
-            paths.append((ordinal, node, above))
-            node, above = parent.get(node), above + 1
-    return paths
+    ends = sorted((n["id"], n["impurity"]) for n in nodes if n["leftChild"] < 0)
+    leaves = []
+    for node, _ in ends:
+        way = [node]
+        while way[-1] in parent:
+            way.append(parent[way[-1]])
+        leaves.append(way)
+    return leaves, {ordinal for ordinal, (_, impurity) in enumerate(ends) if impurity > 0}
+
+
+def _ends(parts: list[_Part]) -> list[tuple[int, int]]:
+    """Leaves of the whole tree as (part, leaf of the part), in pre-order."""
+    def walk(number: int) -> list[tuple[int, int]]:
+        part = parts[number]
+        return [end for leaf in range(len(part.leaves))
+                for end in (walk(part.grafts[leaf]) if leaf in part.grafts else [(number, leaf)])]
+
+    return walk(0)
+
+
+def _paths(parts: list[_Part]) -> list[tuple[int, int, int]]:
+    sizes = [max((max(way) for way in part.leaves), default=0) + 1 for part in parts]
+    base = [sum(sizes[:number]) for number in range(len(parts))]
+    above = {below: (number, leaf) for number, part in enumerate(parts) for leaf, below in part.grafts.items()}
+
+    def way(number: int, leaf: int) -> list[int]:
+        own = [base[number] + node for node in parts[number].leaves[leaf]]
+        # a graft's root is the leaf it hangs under
+        return own[:-1] + way(*above[number]) if number in above else own
+
+    return [(ordinal, node, steps) for ordinal, end in enumerate(_ends(parts)) for steps, node in enumerate(way(*end))]
 
 
 def fit_tree(rows: DataFrame, attributes: Sequence[str], clusters: int | None = None, smooth_days: int = 7,
-             min_sessions: float = 100, max_depth: int = MAX_DEPTH) -> TreeClusters:
+             min_sessions: float = 100, fit_depth: int = FIT_DEPTH) -> TreeClusters:
     """Regress smoothed revenue per session on one-hot attributes, weighted by sessions.
 
-    With ``clusters`` given, a leaf holds at least half an even share of the sessions.
+    With ``clusters`` given, a leaf holds at least half an even share of the sessions. Depth has no limit: where a fit ends at
+    ``fit_depth`` levels in a leaf that is not pure, its rows are fitted on and the subtree is hung under it.
     """
     attributes = list(attributes)
     smooth = trailing_daily_mean(rows, attributes, ["sessions", "revenue"], smooth_days)
@@ -76,16 +127,37 @@ def fit_tree(rows: DataFrame, attributes: Sequence[str], clusters: int | None =
     text = checkpointed(smooth.select(
         *[_label(c).alias(f"{c}_in") for c in attributes], "rps", "sessions"))
     known = [f"{c}_in" for c in attributes]
-    stages = [
+    features = Pipeline(stages=[
         StringIndexer(inputCols=known, outputCols=[f"{c}_no" for c in attributes], handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=[f"{c}_no" for c in attributes], outputCols=[f"{c}_hot" for c in attributes]),
         VectorAssembler(inputCols=[f"{c}_hot" for c in attributes], outputCol="features"),
-        DecisionTreeRegressor(featuresCol="features", labelCol="rps", weightCol="sessions", leafCol="leaf",
-                              maxDepth=max_depth, minWeightFractionPerNode=0.5 / clusters if clusters else 0.0, seed=1),
-    ]
-    model = Pipeline(stages=stages).fit(text)
-    return TreeClusters(model, attributes, _leaf_paths(rows.sparkSession, model.stages[-1]))
+    ]).fit(text)
+    points = features.transform(text).select("features", "rps", "sessions")
+    least = 0.5 / clusters * (points.agg(F.sum("sessions")).first()[0] or 0) if clusters else 0.0
+    parts: list[_Part] = []
+    waiting: list[tuple[DataFrame, tuple[int, int] | None]] = [(points, None)]
+    while waiting:
+        here, under = waiting.pop(0)
+        weight = here.agg(F.sum("sessions")).first()[0] if least else 1.0
+        if under and 2 * least > weight:
+            continue
+        number = len(parts)
+        tree = DecisionTreeRegressor(
+            featuresCol="features", labelCol="rps", weightCol="sessions", leafCol=f"leaf_{number}", seed=1,
+            predictionCol=f"prediction_{number}", maxDepth=fit_depth, minWeightFractionPerNode=min(0.499, least / weight))
+        model = tree.fit(here)
+        leaves, mixed = _read_leaves(rows.sparkSession, model)
+        if under and len(leaves) == 1:
+            continue
+        parts.append(_Part(model, leaves, {}))
+        if under:
+            parts[under[0]].grafts[under[1]] = number
+        lowest = [leaf for leaf, way in enumerate(leaves) if len(way) > fit_depth and leaf in mixed]
+        scored = model.transform(here)
+        waiting += [(scored.filter(F.col(f"leaf_{number}") == leaf).select("features", "rps", "sessions"), (number, leaf))
+                    for leaf in lowest]
+    return TreeClusters(features, parts, attributes, _paths(parts))
 
 
 def rollup(rows: DataFrame, paths: DataFrame, measures: Mapping[str, str], weight: str, threshold: float) -> DataFrame:

@@ -38,6 +38,22 @@ def test_tree_leaves_hold_enough_sessions(rows):
     assert leaves >= set(per_leaf)
 
 
+@pytest.mark.parametrize("fit_depth", [30, 5])
+def test_tree_has_no_depth_limit(spark, fit_depth):
+    data = [(f"k{i:02d}", DAY, 10 + i % 7, 0.0, (10.0 + i % 7) * (1 + i * i)) for i in range(40)]
+    rows = spark.createDataFrame(data, "keyword string, utc_dt date, sessions long, leads double, revenue double")
+    model = tree.fit_tree(rows, ["keyword"], smooth_days=1, min_sessions=1, fit_depth=fit_depth)
+    found = model.transform(rows).select("keyword", "clust").collect()
+    assert len({r.clust for r in found}) == 40 and {r.clust for r in found} == set(range(40))
+    ways = {}
+    for leaf, node, above in model.paths:
+        ways.setdefault(leaf, {})[above] = node
+    assert all(sorted(way) == list(range(len(way))) and way[max(way)] == 0 for way in ways.values())
+    nodes = {node for way in ways.values() for node in way.values()}
+    assert len(nodes) == 2 * 40 - 1 and len({way[0] for way in ways.values()}) == 40
+    assert max(map(len, ways.values())) > fit_depth
+
+
 def dense_rollup(leaf_days, paths, threshold):
     """Sequential form: per leaf and day walk from the leaf to the root."""
     route = {}
