@@ -64,8 +64,8 @@ def activity_hours(bodies: DataFrame, keys: Sequence[str] = ("id",)) -> DataFram
     return parsed.select(*keys, F.inline(states)).withColumn("value", F.col("on").cast("int")).drop("on")
 
 
-def flatten_campaigns(bodies: DataFrame) -> DataFrame:
-    """Long table (id, section, key, value): attributes, targeting, hours, publisher modifiers.
+def flatten_campaigns(bodies: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """Long table (keys, section, key, value): attributes, targeting, hours, publisher modifiers.
 
     Sections a campaign does not have give no rows; an empty targeting list gives one blank value.
     Entries stay typed inside the array and become text after it is unfolded.
@@ -91,15 +91,16 @@ def flatten_campaigns(bodies: DataFrame) -> DataFrame:
         "publisher_bid_modifier", v["target"], v["bid_modification"].cast("string")))
     none = F.array().cast(f"array<{shape}>")
     parts = [attributes, *[targeted(t) for t in TARGETING], hours, strategies, modifiers]
-    return parse_bodies(bodies).select(F.col("c.id").alias("id"), F.inline(F.concat(*[F.coalesce(p, none) for p in parts]))).select(
-        "id", "section", F.concat_ws(":", "head", F.col("hour").cast("string"), "tail").alias("key"), "value")
+    parsed = parse_bodies(bodies).withColumn("id", F.col("c.id"))
+    return parsed.select(*keys, F.inline(F.concat(*[F.coalesce(p, none) for p in parts]))).select(
+        *keys, "section", F.concat_ws(":", "head", F.col("hour").cast("string"), "tail").alias("key"), "value")
 
 
-def sparsity(flat: DataFrame) -> DataFrame:
+def sparsity(flat: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Share of empty or zero cells of the campaign x key matrix the long table stands for."""
     filled = F.sum(F.when(F.col("value").isNotNull() & (F.col("value") != "0"), 1).otherwise(0))
     columns = flat.select("section", "key").distinct().agg(F.count("*")).scalar()
-    return flat.agg(F.countDistinct("id").alias("campaigns"), filled.alias("filled")).withColumn("columns", columns).withColumn(
+    return flat.agg(F.countDistinct(*keys).alias("campaigns"), filled.alias("filled")).withColumn("columns", columns).withColumn(
         "sparsity", 1 - F.col("filled") / (F.col("campaigns") * F.col("columns")))
 
 

@@ -88,9 +88,9 @@ def quarter_hour_unadjusted(facts: DataFrame, keys: list[str] | None = None) ->
     return with_row_index(_rate_columns(totals, F.col("n"), keys), ["dayofweek", "hourofday"], keys=keys)
 
 
-def compare_zone_adjustment(adjusted: DataFrame, unadjusted: DataFrame) -> DataFrame:
+def compare_zone_adjustment(adjusted: DataFrame, unadjusted: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Both revenue-per-session curves side by side on the slot."""
-    slot = ["dayofweek", "hourofday"]
+    slot = [*(keys or []), "dayofweek", "hourofday"]
     return adjusted.select(*slot, F.col("rps").alias("rps_adj")).join(
         unadjusted.select(*slot, F.col("rps").alias("rps_unadj")), slot)
 

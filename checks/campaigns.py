@@ -20,37 +20,36 @@ PARSED = """parsed AS (
     from_json(json_extract(body, '$.activity_schedule.rules'), '[{"type":"VARCHAR","day":"VARCHAR","from_hour":"INTEGER","until_hour":"INTEGER"}]') AS rules
   FROM campaign_bodies)"""
 HOURS = f"""{PARSED},
-grid AS (SELECT p.*, d.day, h.hour FROM parsed p CROSS JOIN (SELECT unnest({DAY_LIST}) AS day) d CROSS JOIN (SELECT unnest(range(24)) AS hour) h),
-hits AS (SELECT id, version, day, hour, rule, no FROM (SELECT *, unnest(rules) AS rule, unnest(range(len(rules))) AS no FROM grid)
-  WHERE upper(rule.day) = day AND hour >= rule.from_hour AND hour < rule.until_hour),
-last_hit AS (SELECT id, version, day, hour, arg_max(rule.type, no) AS type FROM hits GROUP BY 1, 2, 3, 4),
-hours AS (SELECT g.id, g.version, g.day, CAST(g.hour AS INT) AS hour,
-    CAST(CASE WHEN mode = 'ALWAYS' OR l.type = 'INCLUDE' THEN 1 ELSE 0 END AS INT) AS value
-  FROM grid g LEFT JOIN last_hit l USING (id, version, day, hour))"""
+slots AS (SELECT id, version, mode, unnest(range(168)) AS slot FROM parsed),
+ruled AS (SELECT id, version, (list_position({DAY_LIST}, upper(rule.day)) - 1) * 24 + unnest(range(rule.from_hour, rule.until_hour)) AS slot,
+    arg_max(rule.type, no) AS type
+  FROM (SELECT id, version, unnest(rules) AS rule, unnest(range(len(rules))) AS no FROM parsed) GROUP BY 1, 2, 3),
+hours AS (SELECT id, version, {DAY_LIST}[slot // 24 + 1] AS day, CAST(slot % 24 AS INT) AS hour,
+    CAST(CASE WHEN mode = 'ALWAYS' OR type = 'INCLUDE' THEN 1 ELSE 0 END AS INT) AS value
+  FROM slots LEFT JOIN ruled USING (id, version, slot))"""
 
 register("campaign_activity_hours", lambda spark, sf: cp.activity_hours(view(spark, sf, "campaign_bodies"), ["id", "version"]),
          with_views("campaign_bodies", "SELECT id, version, day, hour, value FROM hours", HOURS))
 
-register("campaign_flatten", lambda spark, sf: cp.flatten_campaigns(view(spark, sf, "campaign_bodies").filter("version = 1")),
+VERSION = ["id", "version"]
+register("campaign_flatten", lambda spark, sf: cp.flatten_campaigns(view(spark, sf, "campaign_bodies"), VERSION),
          with_views("campaign_bodies", f"""
-SELECT id, 'attrs' AS section, key, json_extract_string(body, '$.' || key) AS value FROM parsed
-  CROSS JOIN (SELECT unnest({cp.ATTRIBUTES!r}) AS key) WHERE version = 1
-UNION ALL SELECT id, 'platform_targeting', json_extract_string(body, '$.platform_targeting.type') || ':' ||
-  unnest(from_json(json_extract(body, '$.platform_targeting.value'), '["VARCHAR"]')), '1' FROM parsed WHERE version = 1
-UNION ALL SELECT id, 'activity_schedule', day || ':' || hour, CAST(value AS VARCHAR) FROM hours WHERE version = 1
-UNION ALL SELECT id, 'publisher_bid_modifier', json_extract_string(body, '$.publisher_bid_modifier.values[0].target'),
-  json_extract_string(body, '$.publisher_bid_modifier.values[0].bid_modification') FROM parsed WHERE version = 1""", HOURS))
-
-register("campaign_sparsity", lambda spark, sf: cp.sparsity(cp.flatten_campaigns(
-    view(spark, sf, "campaign_bodies").filter("version = 1")).filter("section <> 'attrs'")).select("campaigns", "columns", "sparsity"),
-    with_views("campaign_bodies", """
-SELECT (SELECT count(DISTINCT id) FROM flat) AS campaigns, (SELECT count(*) FROM (SELECT DISTINCT section, key FROM flat)) AS columns,
-  1 - (SELECT count(*) FROM flat WHERE value <> '0') / ((SELECT count(DISTINCT id) FROM flat) * (SELECT count(*) FROM (SELECT DISTINCT section, key FROM flat)))
-    AS sparsity""", HOURS + """,
-flat AS (SELECT id, 'platform_targeting' AS section, unnest(from_json(json_extract(body, '$.platform_targeting.value'), '["VARCHAR"]')) AS key, '1' AS value
-    FROM parsed WHERE version = 1
-  UNION ALL SELECT id, 'activity_schedule', day || ':' || hour, CAST(value AS VARCHAR) FROM hours WHERE version = 1
-  UNION ALL SELECT id, 'publisher_bid_modifier', json_extract_string(body, '$.publisher_bid_modifier.values[0].target'), '1.5' FROM parsed WHERE version = 1)"""),
+SELECT id, version, 'attrs' AS section, key, json_extract_string(body, '$.' || key) AS value FROM parsed
+  CROSS JOIN (SELECT unnest({cp.ATTRIBUTES!r}) AS key)
+UNION ALL SELECT id, version, 'platform_targeting', json_extract_string(body, '$.platform_targeting.type') || ':' ||
+  unnest(from_json(json_extract(body, '$.platform_targeting.value'), '["VARCHAR"]')), '1' FROM parsed
+UNION ALL SELECT id, version, 'activity_schedule', day || ':' || hour, CAST(value AS VARCHAR) FROM hours
+UNION ALL SELECT id, version, 'publisher_bid_modifier', json_extract_string(body, '$.publisher_bid_modifier.values[0].target'),
+  json_extract_string(body, '$.publisher_bid_modifier.values[0].bid_modification') FROM parsed""", HOURS))
+
+register("campaign_sparsity", lambda spark, sf: cp.sparsity(cp.flatten_campaigns(view(spark, sf, "campaign_bodies"), VERSION).filter(
+    "section <> 'attrs'"), VERSION).select("campaigns", "columns", "sparsity"), with_views("campaign_bodies", """
+SELECT campaigns, columns, 1 - filled / (campaigns * columns) AS sparsity
+FROM (SELECT count(DISTINCT (id, version)) AS campaigns, count(DISTINCT (section, key)) AS columns, count(*) FILTER (value <> '0') AS filled FROM flat)""", HOURS + """,
+flat AS (SELECT id, version, 'platform_targeting' AS section, unnest(from_json(json_extract(body, '$.platform_targeting.value'), '["VARCHAR"]')) AS key,
+    '1' AS value FROM parsed
+  UNION ALL SELECT id, version, 'activity_schedule', day || ':' || hour, CAST(value AS VARCHAR) FROM hours
+  UNION ALL SELECT id, version, 'publisher_bid_modifier', json_extract_string(body, '$.publisher_bid_modifier.values[0].target'), '1.5' FROM parsed)"""),
     "sparsity:9")
 
 register("campaign_latest_updates", lambda spark, sf: cp.latest_updates(view(spark, sf, "campaign_updates"), order="version"),

@@ -84,30 +84,30 @@ FROM (SELECT product, traffic_source, dayofweek(user_ts) AS dow, {slot_of('user_
 
 def rate_sql(ts: str, sessions: str) -> str:
     return f"""
-SELECT CAST(dow AS INT) AS dayofweek, hourofday, days_samplesize, {sessions} AS sessions, conversions,
+SELECT product, CAST(dow AS INT) AS dayofweek, hourofday, days_samplesize, {sessions} AS sessions, conversions,
   {ratio('conversions * 10000', 'n')} AS conv_rate, {ratio('u', 'conversions')} AS avg_conv_value,
-  {ratio('u', 'ns')} AS rps, CAST(row_number() OVER (ORDER BY dow, hourofday) - 1 AS INT) AS int_ix
-FROM (SELECT dayofweek({ts}) AS dow, {slot_of(ts)} AS hourofday,
+  {ratio('u', 'ns')} AS rps, CAST(row_number() OVER (PARTITION BY product ORDER BY dow, hourofday) - 1 AS INT) AS int_ix
+FROM (SELECT product, dayofweek({ts}) AS dow, {slot_of(ts)} AS hourofday,
     count(DISTINCT CAST({ts} AS DATE)) AS days_samplesize, count(session_id) AS n,
     count(units) AS conversions, CAST(sum(units) AS BIGINT) AS u, count(DISTINCT session_id) AS ns
-  FROM facts WHERE product = 'HEALTH' GROUP BY 1, 2)"""
+  FROM facts GROUP BY 1, 2, 3)"""
 
 
-register("slots_tz_adjusted", lambda spark, sf: slots.quarter_hour_tz_adjusted(facts(spark, sf, product="HEALTH")),
+register("slots_tz_adjusted", lambda spark, sf: slots.quarter_hour_tz_adjusted(facts(spark, sf), ["product"]),
          with_views(GEO, rate_sql("user_ts", "n // days_samplesize"), GEO_FACTS),
          "conv_rate:4 avg_conv_value:4 rps:4")
-register("slots_unadjusted", lambda spark, sf: slots.quarter_hour_unadjusted(facts(spark, sf, product="HEALTH")),
+register("slots_unadjusted", lambda spark, sf: slots.quarter_hour_unadjusted(facts(spark, sf), ["product"]),
          with_views(GEO, rate_sql("utc_ts", "n"), GEO_FACTS), "conv_rate:4 avg_conv_value:4 rps:4")
 
 
 def _compare(spark, sf):
-    rows = facts(spark, sf, product="HEALTH")
-    return slots.compare_zone_adjustment(slots.quarter_hour_tz_adjusted(rows), slots.quarter_hour_unadjusted(rows))
+    rows, keys = facts(spark, sf), ["product"]
+    return slots.compare_zone_adjustment(slots.quarter_hour_tz_adjusted(rows, keys), slots.quarter_hour_unadjusted(rows, keys), keys)
 
 
 register("slots_zone_comparison", _compare, with_views(GEO, f"""
-SELECT a.dayofweek, a.hourofday, a.rps AS rps_adj, u.rps AS rps_unadj
-FROM ({rate_sql('user_ts', 'n')}) a JOIN ({rate_sql('utc_ts', 'n')}) u USING (dayofweek, hourofday)""", GEO_FACTS),
+SELECT product, a.dayofweek, a.hourofday, a.rps AS rps_adj, u.rps AS rps_unadj
+FROM ({rate_sql('user_ts', 'n')}) a JOIN ({rate_sql('utc_ts', 'n')}) u USING (product, dayofweek, hourofday)""", GEO_FACTS),
          "rps_adj:4 rps_unadj:4")
 
 register("slots_hourly_rollup", lambda spark, sf: slots.hourly_rollup(slots.quarter_hour_user_tz(facts(spark, sf))),
@@ -123,15 +123,14 @@ FROM (SELECT dow, hour4, days, sessions, conversions, {ratio('u', 'n')} AS rps
       CAST(sum(units) AS BIGINT) AS u, count(DISTINCT session_id) AS n
     FROM facts GROUP BY 1, 2)) GROUP BY dow, floor(hour4)""", GEO_FACTS), "revenue:4 rps:9")
 
-register("session_conversions", lambda spark, sf: facts(spark, sf, product="HEALTH", revenue_source="mediaalpha").select(
+register("session_conversions", lambda spark, sf: facts(spark, sf).select(
     "session_id", "utc_offset", F.date_format("user_ts", "yyyy-MM-dd HH:mm:ss").alias("user_ts"), "state", "revenue",
     "hourfraction", "hourofday", "weekday"), with_views(GEO, """
 SELECT session_id, CAST(date_diff('minute', utc_ts, user_ts) / 60.0 AS INT) AS utc_offset,
   strftime(user_ts, '%Y-%m-%d %H:%M:%S') AS user_ts, state, revenue,
   floor(extract(minute FROM user_ts) / 15.0) * 0.25 AS hourfraction, CAST(extract(hour FROM user_ts) AS INT) AS hourofday,
   CAST(dayofweek(user_ts) AS INT) AS weekday
-FROM facts WHERE product = 'HEALTH'""", GEO_FACTS.replace(REV, rev_where("upper(traffic_source) = 'MEDIAALPHA'"))),
-         "revenue:4")
+FROM facts""", GEO_FACTS), "revenue:4")
 
 register("session_revenue_sum", lambda spark, sf: joins.revenue_per_session(
     view(spark, sf, "session_revenue")).select("session_id", "revenue"),
