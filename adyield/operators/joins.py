@@ -35,10 +35,13 @@ def ip_range_join(sessions: DataFrame, blocks: DataFrame, how: str = "inner", se
 
     The equality on the first two octets makes it a hash join with the range as residual. One bucket
     (a carrier gateway) may hold a large share of the sessions: where the blocks are too large to
-    broadcast they are replicated over ``salts`` copies and the sessions spread over them.
+    broadcast they are replicated over ``salts`` copies and the sessions spread over them. Without
+    ``salts`` the blocks are counted to decide.
     """
-    if salts is None:
-        salts = 1 if fits_broadcast(blocks) else REPLICATION_SALTS
+    if salts is None and fits_broadcast(blocks):
+        blocks = F.broadcast(blocks)
+        salts = 1
+    salts = salts or REPLICATION_SALTS
     left = sessions.withColumns({
         "s_index": ip_index(F.col("ip_address")), "s_ip": inet_aton(F.col("ip_address"))})
     match = (F.col("s_index") == F.col("ip_index")) & F.col("s_ip").between(F.col("start_int"), F.col("end_int"))
@@ -59,8 +62,10 @@ def locate_sessions(sessions: DataFrame, blocks: DataFrame, locations: DataFrame
     """
     if country is not None:
         locations = locations.filter(F.col("country_iso_code") == country)
+    # decided on both tables: the optimizer's estimate of their join is the product of their sizes
+    small = fits_broadcast(blocks, locations)
     places = blocks.join(locations, "maxmind_id", "inner" if how == "inner" else "left")
-    return ip_range_join(sessions, places, how)
+    return ip_range_join(sessions, F.broadcast(places) if small else places, how, salts=1 if small else REPLICATION_SALTS)
 
 
 def revenue_per_session(revenue: DataFrame) -> DataFrame:
@@ -93,7 +98,9 @@ def zip_located_revenue(revenue: DataFrame, blocks: DataFrame, locations: DataFr
         (F.col("country_iso_code") == "US") & (F.col("subdivision_1_iso_code") != "") & (F.col("metro_code") != ""))
     rows = revenue.withColumn("zipcode", zip_code).filter(F.col("zipcode") != "")
     match = F.col("zipcode") == F.col("postal_code")
-    if not fits_broadcast(places):
+    if fits_broadcast(blocks, locations):
+        places = F.broadcast(places)
+    else:
         # a popular postal code may hold a third of the rows
         spread = F.pmod(F.xxhash64("session_id", "revenue"), F.lit(REPLICATION_SALTS)).cast("int")
         rows = rows.withColumn("row_salt", spread)

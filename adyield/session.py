@@ -7,6 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 REPLICATION_SALTS = 16
+NUMBERS = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
 
 
 def build_session(app: str = "adyield", master: str | None = None, **conf: str) -> SparkSession:
@@ -15,6 +16,7 @@ def build_session(app: str = "adyield", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -45,13 +47,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the optimizer's size estimate is under the session's broadcast threshold."""
-    spark = df.sparkSession
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit_bytes = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)) \
-        if not limit.lstrip("-").isdigit() else int(limit)
-    if limit_bytes < 0:
-        return False
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= limit_bytes
+def fits_broadcast(*tables: DataFrame) -> bool:
+    """True when each table, counted, stays under the session's broadcast threshold.
+
+    Counting stops at the first row too many. A row is taken as 8 bytes per number and 48 per text or nested value.
+    """
+    for table in tables:
+        limit = table.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower().removesuffix("b")
+        unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(limit[-1:], 1)
+        limit_bytes = int(limit.rstrip("kmg")) * unit
+        width = sum(8 if field.dataType.simpleString() in NUMBERS else 48 for field in table.schema.fields)
+        rows = limit_bytes // max(8, width)
+        if rows <= 0 or table.limit(rows + 1).count() > rows:
+            return False
+    return True

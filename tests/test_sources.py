@@ -126,3 +126,20 @@ def test_modifier_slices(spark):
 def test_management_table_defaults(spark):
     row = cp.management_table(spark.createDataFrame([(False, "7")], "created boolean, id string"), "2024-01-31 10:00:00").first()
     assert (row["created_date"], row["baseline_cpc"], row["active"], row["automatically_managed"]) == (dt.date(2024, 1, 31), 1.0, False, True)
+
+
+def test_address_tables_are_broadcast_when_small_and_salted_when_large(spark):
+    sessions = spark.createDataFrame([("a", "10.0.0.5"), ("b", "10.0.9.9")], "session_id string, ip_address string")
+    blocks = spark.createDataFrame([("10.0", 167772160, 167772415, 1)], "ip_index string, start_int long, end_int long, maxmind_id long")
+    places = spark.createDataFrame([(1, "US", "NY")], "maxmind_id long, country_iso_code string, subdivision_1_iso_code string")
+    small = joins.locate_sessions(sessions, blocks, places)
+    assert "BroadcastHashJoin" in plan_of(small) and "Generate explode" not in plan_of(small)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20b")
+    try:
+        large = joins.locate_sessions(sessions, blocks, places)
+        assert "Generate explode" in plan_of(large) and "BroadcastHashJoin" not in plan_of(large)
+        assert [r.session_id for r in large.collect()] == ["a"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [r.session_id for r in small.collect()] == ["a"]
