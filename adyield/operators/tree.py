@@ -160,11 +160,13 @@ def fit_tree(rows: DataFrame, attributes: Sequence[str], clusters: int | None =
     return TreeClusters(features, parts, attributes, _paths(parts))
 
 
-def rollup(rows: DataFrame, paths: DataFrame, measures: Mapping[str, str], weight: str, threshold: float) -> DataFrame:
+def rollup(rows: DataFrame, paths: DataFrame, measures: Mapping[str, str], weight: str, threshold: float,
+           last_whole: bool = True) -> DataFrame:
     """Volumes per (cluster, day), widened towards the root until ``weight`` reaches the threshold.
 
     ``measures`` map an output column to its input column. A node adds what its day total exceeds the
-    deeper nodes on the path by; the last node counts in part. Rows are folded to (cluster, day)
+    deeper nodes on the path by, and where that passes the threshold it counts in part. With ``last_whole``
+    the tree's last leaf counts whole, however large it is. Rows are folded to (cluster, day)
     first: all rows of a leaf share path and totals.
     """
     inputs = {**{f"{out}_all": c for out, c in measures.items()}, "w_all": weight}
@@ -180,7 +182,9 @@ def rollup(rows: DataFrame, paths: DataFrame, measures: Mapping[str, str], weigh
     reached = F.sum("w_add").over(upward.rowsBetween(Window.unboundedPreceding, 0))
     steps = steps.withColumn("reached", reached)
     before = F.col("reached") - F.col("w_add")
-    share = F.when(F.col("reached") < threshold, F.lit(1.0)).when(
+    last = paths.agg(F.max("clust")).scalar()
+    whole = (F.col("clust") == last) & (F.col("above") == 0) if last_whole else F.lit(False)
+    share = F.when(whole | (F.col("reached") < threshold), F.lit(1.0)).when(
         before < threshold, F.try_divide(F.lit(float(threshold)) - before, F.col("w_add"))).otherwise(F.lit(0.0))
     return steps.withColumn("share", share).groupBy("clust", "utc_dt").agg(
         *[F.sum(F.col(f"{out}_add") * F.col("share")).alias(out) for out in measures])

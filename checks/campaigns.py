@@ -236,6 +236,30 @@ def _tree_estimates(spark, sf):
         "campaign_id", *SPLIT, "utc_dt", "clust", "rps_est")
 
 
+# a given tree: twelve leaves under three nodes under the root
+GIVEN_PATHS = """SELECT CAST(id AS INT) AS clust, CAST(above AS INT) AS above,
+  CAST(CASE above WHEN 0 THEN 100 + id WHEN 1 THEN 10 + id % 3 ELSE 0 END AS INT) AS node
+FROM range(12) LATERAL VIEW explode(array(0, 1, 2)) AS above"""
+
+
+def _tree_rollup(spark, sf, last_whole):
+    rows = rps_daily(spark, sf).withColumn("clust", (F.col("campaign_id") % 12).cast("int"))
+    return tree.rollup(rows, spark.sql(GIVEN_PATHS), {"lead_volume": "leads", "lead_revenue": "revenue"}, "leads", 15, last_whole)
+
+
+for _last in (True, False):
+    register(f"tree_rollup_{'whole' if _last else 'part'}", lambda spark, sf, w=_last: _tree_rollup(spark, sf, w), with_views(ALL, f"""
+SELECT clust, utc_dt, a0 * s0 + a1 * s1 + a2 * s2 AS lead_volume, b0 * s0 + b1 * s1 + b2 * s2 AS lead_revenue
+FROM (SELECT *, CASE WHEN ({_last} AND clust = 11) OR a0 < 15 THEN 1 ELSE 15 / a0 END AS s0,
+    CASE WHEN a0 + a1 < 15 THEN 1 WHEN a0 < 15 THEN (15 - a0) / a1 ELSE 0 END AS s1,
+    CASE WHEN a0 + a1 + a2 < 15 THEN 1 WHEN a0 + a1 < 15 THEN (15 - a0 - a1) / a2 ELSE 0 END AS s2
+  FROM (SELECT clust, utc_dt, w AS a0, greatest(w1 - w, 0) AS a1, greatest(w2 - greatest(w, w1), 0) AS a2,
+      y AS b0, greatest(y1 - y, 0) AS b1, greatest(y2 - greatest(y, y1), 0) AS b2
+    FROM (SELECT *, sum(w) OVER (PARTITION BY utc_dt, clust % 3) AS w1, sum(y) OVER (PARTITION BY utc_dt, clust % 3) AS y1,
+        sum(w) OVER (PARTITION BY utc_dt) AS w2, sum(y) OVER (PARTITION BY utc_dt) AS y2
+      FROM (SELECT CAST(campaign_id % 12 AS INT) AS clust, utc_dt,
+          CAST(sum(leads) AS DOUBLE) AS w, CAST(sum(revenue) AS DOUBLE) AS y FROM rows GROUP BY 1, 2))))""", FIXED), "lead_volume:6 lead_revenue:6")
+
 register("tree_clusters", _tree_clusters)
 register("tree_estimates", _tree_estimates)
 register("clusters_hybrid", lambda spark, sf: cl.hybrid_clusters(rps_daily(spark, sf), ["state", "device"], 4, 10)[1].groupBy("clust").agg(

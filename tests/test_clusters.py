@@ -54,7 +54,7 @@ def test_tree_has_no_depth_limit(spark, fit_depth):
     assert max(map(len, ways.values())) > fit_depth
 
 
-def dense_rollup(leaf_days, paths, threshold):
+def dense_rollup(leaf_days, paths, threshold, last_whole):
     """Sequential form: per leaf and day walk from the leaf to the root."""
     route = {}
     for leaf, node, above in paths:
@@ -71,7 +71,8 @@ def dense_rollup(leaf_days, paths, threshold):
             y, w = totals[(route[leaf][above], day)]
             add_y, add_w = max(0.0, y - deep_y), max(0.0, w - deep_w)
             deep_y, deep_w = max(deep_y, y), max(deep_w, w)
-            share = 1.0 if total_w + add_w < threshold else max(0.0, min(1.0, (threshold - total_w) / add_w)) if add_w else float(total_w < threshold)
+            whole = last_whole and leaf == max(route) and above == 0
+            share = 1.0 if whole or total_w + add_w < threshold else max(0.0, min(1.0, (threshold - total_w) / add_w)) if add_w else float(total_w < threshold)
             total_w, total_y = total_w + add_w * share, total_y + add_y * share
         out[(leaf, day)] = total_y
     return out
@@ -82,10 +83,11 @@ def test_rollup_equals_walk_to_the_root(spark):
     rnd = random.Random(1)
     leaf_days = {(leaf, DAY + dt.timedelta(d)): (float(rnd.randrange(50)), float(rnd.randrange(12))) for leaf in range(3) for d in range(5)}
     df = spark.createDataFrame([(leaf, day, y, w) for (leaf, day), (y, w) in leaf_days.items()], "clust int, utc_dt date, y double, w double")
-    got = tree.rollup(df, spark.createDataFrame(paths, "clust int, node int, above int"), {"out": "y"}, "w", 15)
-    expected = dense_rollup(leaf_days, paths, 15)
-    for r in got.collect():
-        assert r["out"] == pytest.approx(expected[(r["clust"], r["utc_dt"])])
+    for last_whole in (True, False):
+        got = tree.rollup(df, spark.createDataFrame(paths, "clust int, node int, above int"), {"out": "y"}, "w", 15, last_whole)
+        expected = dense_rollup(leaf_days, paths, 15, last_whole)
+        for r in got.collect():
+            assert r["out"] == pytest.approx(expected[(r["clust"], r["utc_dt"])])
 
 
 def test_estimates_wait_for_full_windows(rows):
