@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from adyield.llm.common import (checkpointed_in, mixed, pack_sorted, pack_words, pick, prefix_hash, text_bytes, text_slices, unpack_sorted,
                                 unpack_words, window_hash)
 from adyield.llm.components import component_labels
+from adyield.operators.joins import join_spreading_hot_keys
 from adyield.session import checkpointed
 
 BANDS = 12
@@ -30,6 +31,10 @@ ROWS = 3
 #: Keys that one bucket holds on average.
 BUCKET_KEYS = 600_000
 MIN_BUCKETS = 64
+#: A band on more nodes than this, and than a thousandth of all, is hot; there are at most 24,000 of them.
+HOT_ROWS = 100_000
+#: Runs of hot keys that may be broadcast; beyond it they are joined by key, hot keys spread.
+BROADCAST_RUNS = 100_000
 #: Fixed size of the filter that spares unlinked texts a shuffle; more documents only make it let more pass.
 FILTER_BITS = 1 << 22
 PARITY_CELLS = 2048
@@ -128,20 +133,56 @@ def _classes(sketches: DataFrame, rows: int) -> DataFrame:
     return checkpointed_in(sets.join(owners, "rep").select("a", "b", "rep", "n", "bands", node), rows)
 
 
+def _table_keys(bands: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Table keys of each node, and which of them are made of two hot bands."""
+    pairs = bands[:, :BANDS, None] * np.uint64(0x9E3779B97F4A7C15) + bands[:, None, BANDS:]
+    is_hot = np.isin(bands, hot)
+    both = is_hot[:, :BANDS, None] & is_hot[:, None, BANDS:]
+    salt = mixed(np.arange(1, BANDS * BANDS + 1, dtype=np.uint64))
+    return mixed(pairs.reshape(len(bands), -1) ^ salt), both.reshape(len(bands), -1)
+
+
+def _hot_runs(nodes: DataFrame, hot: np.ndarray) -> DataFrame:
+    """Runs of the keys made of two hot bands. No task gathers one: hubs are pre-aggregated, members find theirs by a join."""
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, len(whole), 4096):
+                batch = whole.slice(start, 4096)
+                table, both = _table_keys(batch.column("bands").flatten().to_numpy().reshape(-1, 2 * BANDS).view(np.uint64), hot)
+                row, place = np.nonzero(both)
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array(table[row, place].view(np.int64)),
+                    "node": batch.column("node").take(pa.array(row)), "n": batch.column("n").take(pa.array(row))})
+
+    sent = nodes.select("node", "n", "bands").mapInArrow(keys, "key long, node long, n long")
+    shared = sent.groupBy("key").agg(
+        F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"), F.bit_xor(F.xxhash64("node")).alias("run"),
+        F.count("*").alias("many")).filter("many > 1").dropDuplicates(["run"])
+    shared = checkpointed(shared)
+    if shared.count() <= BROADCAST_RUNS:
+        found = sent.join(F.broadcast(shared), "key")
+    else:
+        found = join_spreading_hot_keys(sent, shared, "key", "many", HOT_ROWS)
+    return found.select("run", "hub", "hub_n", "node", "n")
+
+
 def _runs(nodes: DataFrame) -> DataFrame:
     """Documents that share a table key, one run for each distinct group: (run, hub, hub_n, node, n)."""
-    buckets = max(MIN_BUCKETS, -(-nodes.count() * BANDS * BANDS // BUCKET_KEYS))
+    n_nodes = nodes.count()
+    buckets = max(MIN_BUCKETS, -(-n_nodes * BANDS * BANDS // BUCKET_KEYS))
+    frequent = nodes.select(F.explode("bands").alias("band")).groupBy("band").agg(F.count("*").alias("many")) \
+        .filter(F.col("many") > max(HOT_ROWS, n_nodes // 1_000))
+    hot = np.array(sorted(row[0] for row in frequent.select("band").collect()), np.int64).view(np.uint64)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = (np.arange(1, buckets, dtype=object) * 2**64 // buckets).astype(np.uint64)
-        salt = mixed(np.arange(1, BANDS * BANDS + 1, dtype=np.uint64))
         for whole in batches:
             for start in range(0, len(whole), 4096):
                 batch = whole.slice(start, 4096)
-                bands = batch.column("bands").flatten().to_numpy().reshape(-1, 2 * BANDS).view(np.uint64)
-                pairs = bands[:, :BANDS, None] * np.uint64(0x9E3779B97F4A7C15) + bands[:, None, BANDS:]
-                table = mixed(pairs.reshape(len(batch), -1) ^ salt).ravel()
+                table, both = _table_keys(batch.column("bands").flatten().to_numpy().reshape(-1, 2 * BANDS).view(np.uint64), hot)
+                table = table.ravel()
                 order = np.argsort(table)
+                order = order[~both.ravel()[order]]
                 table = table[order]
                 cuts = np.concatenate([[0], np.searchsorted(table, edges), [len(table)]])
                 node, n = (batch.column(c).to_numpy()[order // (BANDS * BANDS)] for c in ("node", "n"))
@@ -174,8 +215,10 @@ def _runs(nodes: DataFrame) -> DataFrame:
                          "node": node[rows], "n": n[rows]})
 
     sent = nodes.select("node", "n", "bands").mapInArrow(keys, "bucket long, keys binary, nodes binary, ns binary")
-    return sent.groupBy("bucket").applyInArrow(find, "run long, hub long, hub_n long, node long, n long") \
-        .dropDuplicates(["run", "node"])
+    found = sent.groupBy("bucket").applyInArrow(find, "run long, hub long, hub_n long, node long, n long")
+    if len(hot):
+        found = found.union(_hot_runs(nodes, hot))
+    return found.dropDuplicates(["run", "node"])
 
 
 def _let_through(docs: DataFrame, ids: DataFrame) -> DataFrame:

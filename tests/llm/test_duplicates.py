@@ -5,6 +5,7 @@ import random
 from itertools import combinations, groupby
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -68,6 +69,15 @@ def test_near_duplicates_equal_brute_force(spark):
         assert sorted(tuple(r) for r in found) == groups(rows, k)
 
 
+@pytest.mark.parametrize("runs", [0, near_dedup.BROADCAST_RUNS])
+def test_near_duplicates_with_hot_bands(spark, monkeypatch, runs):
+    monkeypatch.setattr(near_dedup, "HOT_ROWS", 4)
+    monkeypatch.setattr(near_dedup, "BROADCAST_RUNS", runs)
+    rows = corpus()
+    found = near_dedup.near_duplicates(frame(spark, rows), shingle=2).collect()
+    assert sorted(tuple(r) for r in found) == groups(rows, 2)
+
+
 def test_near_duplicates_edge_cases(spark):
     rows = [(1, None), (2, ""), (3, "a b c"), (3, "a b c"), (None, "a b c"), (3, "x y z"), (4, "X  Y z"), (5, "long " * 20_000)]
     found = near_dedup.near_duplicates(frame(spark, rows), shingle=2).collect()
