@@ -35,11 +35,6 @@ def wstd(value: Column, weight: Column) -> Column:
     return F.sqrt(wvar(value, weight))
 
 
-def wavg_over(value: Column, weight: Column, window) -> Column:
-    """Weighted mean as a transform over a window."""
-    return F.try_divide(F.sum(value * weight).over(window), F.sum(weight).over(window))
-
-
 def floor_to_twentieth(value: Column) -> Column:
     return F.floor(value * F.lit(20)) / F.lit(20.0)
 

@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SLOTS_PER_DAY = 96
-SLOTS_PER_WEEK = 672
 
 
 def quarter_hour(ts: Column) -> Column:
@@ -41,7 +40,3 @@ def utc_offset(utc: Column, local: Column) -> Column:
 def eastern_standard_date(ts: Column) -> Column:
     """Date five hours behind UTC all year (no daylight saving)."""
     return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit("-05:00"), ts))
-
-
-def days_between(later: Column, earlier: Column) -> Column:
-    return F.datediff(later, earlier)

@@ -63,21 +63,29 @@ def mutual_information(rps: DataFrame, bucket: Sequence[str]) -> DataFrame:
                      (F.sum(F.when(F.col("high"), F.col("n"))) / F.first("total")).alias("high_share"))
 
 
-def weighted_density(df: DataFrame, value: str, weight: str, low: float = 0.0, high: float = 2.0, points: int = 100) -> DataFrame:
-    """Gaussian kernel density of a weighted column on a fixed grid, bandwidth by Scott's rule."""
-    rows = df.select(F.col(value).cast("double").alias("x"), F.col(weight).cast("double").alias("w")).na.drop().groupBy("x").agg(
-        F.sum("w").alias("w"), F.sum(F.col("w") * F.col("w")).alias("w2"))
-    sums = rows.agg(F.struct(
+def weighted_density(df: DataFrame, value: str, weight: str, low: float = 0.0, high: float = 2.0, points: int = 100,
+                     keys: Sequence[str] = ()) -> DataFrame:
+    """Gaussian kernel density of a weighted column on a fixed grid, bandwidth by Scott's rule.
+
+    With ``keys`` each of their combinations has a density and a bandwidth of its own; rows with a null key take no part.
+    """
+    rows = df.select(*keys, F.col(value).cast("double").alias("x"), F.col(weight).cast("double").alias("w")).na.drop() \
+        .groupBy(*keys, "x").agg(F.sum("w").alias("w"), F.sum(F.col("w") * F.col("w")).alias("w2"))
+    sums = F.struct(
         F.sum("w").alias("w"), F.sum("w2").alias("w2"), F.sum(F.col("w") * F.col("x")).alias("wx"),
-        F.sum(F.col("w") * F.col("x") * F.col("x")).alias("wxx"))).scalar()
+        F.sum(F.col("w") * F.col("x") * F.col("x")).alias("wxx")).alias("s")
+    if keys:
+        summed = rows.join(rows.groupBy(*keys).agg(sums), list(keys))
+    else:
+        summed = rows.withColumn("s", rows.agg(sums).scalar())
     s = F.col("s")
     mean = s["wx"] / s["w"]
     effective = s["w"] * s["w"] / s["w2"]
     variance = (s["wxx"] / s["w"] - mean * mean) / (F.lit(1.0) - F.lit(1.0) / effective)
     bandwidth = F.pow(effective, F.lit(-0.2)) * F.sqrt(variance)
     grid = F.array(*[F.lit(low + (high - low) * i / (points - 1)) for i in range(points)])
-    placed = rows.withColumn("s", sums).select(
-        "x", (F.col("w") / s["w"]).alias("p"), bandwidth.alias("h"), F.posexplode(grid).alias("point", "at"))
+    placed = summed.select(
+        *keys, "x", (F.col("w") / s["w"]).alias("p"), bandwidth.alias("h"), F.posexplode(grid).alias("point", "at"))
     z = (F.col("at") - F.col("x")) / F.col("h")
     kernel = F.exp(F.lit(-0.5) * z * z) / (F.col("h") * F.lit(2.5066282746310002))
-    return placed.groupBy("point", "at").agg(F.sum(F.col("p") * kernel).alias("density"))
+    return placed.groupBy(*keys, "point", "at").agg(F.sum(F.col("p") * kernel).alias("density"))

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adyield.functions.numeric import money_ratio
+from adyield.functions.numeric import money_ratio, wavg
 from adyield.functions.text import DEVICE_NAMES, OPERATING_SYSTEM_NAMES, blank_to_null, recode
 from adyield.functions.timeparts import day_of_week, quarter_hour, to_local, utc_offset
 from adyield.operators.joins import locate_sessions, revenue_per_session
 from adyield.sources.schemas import LEAD_SCORE_BODY
-from adyield.sources.scans import between_dates
 
 RANDOM_SPLITS = (4, 8, 16, 32, 64, 128)
 AVERAGES = ("lps_avg", "rpl_avg", "rps_avg", "score_null_avg", "score_adv_avg", "score_supp_avg")
@@ -55,9 +54,9 @@ def latest_scores(scores: DataFrame, start, end) -> DataFrame:
 # --- unified sessions --------------------------------------------------------------------
 
 def uniform_draw(key: Column, stream: int) -> Column:
-    """Number in [0, 1) fixed by the key: a retried task draws the same value again."""
-    bits = F.shiftrightunsigned(F.xxhash64(key, F.lit(stream)), 11)
-    return bits.cast("double") / F.lit(float(1 << 53))
+    """Number in [0, 1) of 52 bits, the md5 of key and stream: a retried task, or another engine, draws the same value again."""
+    digits = F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(stream)))), 1, 13)
+    return F.conv(digits, 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
 def random_splits(key: Column) -> dict[str, Column]:
@@ -188,20 +187,24 @@ def trailing_daily_mean(rps: DataFrame, keys: Sequence[str], measures: Sequence[
 
 
 def rolling_mean(daily: DataFrame, measures: Sequence[str], spans: Sequence[int], order: str,
-                 keys: Sequence[str] = ()) -> DataFrame:
-    """Mean of the last n rows, NULL until n rows are there, for a daily table."""
+                 keys: Sequence[str] = (), relative: bool = False) -> DataFrame:
+    """Mean of the last n rows, NULL until n rows are there, for a daily table; ``relative`` divides it by its own mean."""
     out = {}
     for n in spans:
         window = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(n - 1), 0)
         for m in measures:
             out[f"{m}_{n}d_avg"] = F.when(F.count(m).over(window) == n, F.avg(m).over(window))
-    return daily.withColumns(out)
+    rolled = daily.withColumns(out)
+    if not relative:
+        return rolled
+    whole = Window.partitionBy(*keys)
+    return rolled.withColumns({c: F.try_divide(F.col(c), F.avg(c).over(whole)) for c in out})
 
 
-def random_split_report(unified: DataFrame, column: str) -> DataFrame:
-    """Sessions and revenue per session of one random split, for A/A comparisons."""
-    return agg_rps(unified, [column]).select(column, "sessions", "revenue", "rps_avg")
+def attach_weighted_mean(df: DataFrame, keys: Sequence[str], value: str, weight: str, name: str) -> DataFrame:
+    """Each row with its group's weighted mean. Groups are aggregated and joined back, so none is gathered in one task.
 
-
-def filtered_window(df: DataFrame, ts: str, start, end) -> DataFrame:
-    return df.filter(between_dates(F.col(ts), start, end))
+    Rows with a null key get NULL.
+    """
+    means = df.groupBy(*keys).agg(wavg(F.col(value), F.col(weight)).alias(name))
+    return df.join(means, list(keys), "left").select(*df.columns, name)

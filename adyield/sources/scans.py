@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +29,11 @@ def member_if(column: Column, values: str | Iterable[str] | None) -> Column:
 def between_dates(ts: Column, start, end) -> Column:
     """Inclusive date range as a half-open range on the timestamp itself.
 
-    A predicate on the bare column is pushed to the files; one on ``to_date(ts)`` is not.
+    A predicate on the bare column is pushed to the files; one on ``to_date(ts)`` is not. The bounds are text, which takes
+    the column's type, with or without a zone.
     """
-    first = F.lit(str(start)).cast("timestamp_ntz")
-    past = F.date_add(F.lit(str(end)).cast("date"), 1).cast("timestamp_ntz")
-    return (ts >= first) & (ts < past)
+    past = date.fromisoformat(str(end)[:10]) + timedelta(days=1)
+    return (ts >= F.lit(str(start))) & (ts < F.lit(str(past)))
 
 
 def scan_sessions(sessions: DataFrame, start, end, product: str | None = None,

@@ -20,7 +20,7 @@ ACTIVE_CAMPAIGNS = (
 )
 LEAD_SCORES = "prob double"
 LEAD_SCORE_BODY = (
-    "sessionid bigint, on string, jornayaid string, score double, response struct<meta: struct<model: string>>"
+    "sessionid bigint, on string, score double, response struct<meta: struct<model: string>>"
 )
 KEYWORD_BIDS = (
     "account_id bigint, campaign_id bigint, adgroup_id bigint, keyword_id bigint, max_cpc_old double, "

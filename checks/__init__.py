@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES: list[str] = [
-    "slots", "sessions", "bids", "curves", "lifetime", "places", "campaigns",
+    "slots", "sessions", "bids", "curves", "lifetime", "places", "campaigns", "files",
 ]
 
 

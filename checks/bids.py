@@ -10,7 +10,7 @@ from adyield.plans import channel_bids, keyword_bids
 from adyield.sources import scans
 from checks.registry import register
 from checks.slots import END, GEO, GEO_FACTS, REV, START, facts, slot_of
-from checks.views import view, with_views
+from checks.views import drawn, view, with_views
 
 # --- bags --------------------------------------------------------------------------------
 
@@ -164,6 +164,25 @@ FROM (SELECT date, coalesce(sum(rev), 0.0) AS rev, coalesce(sum(cost), 0.0) AS c
     f"w{n} AS (ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (3, 7, 14, 30)), ROWS),
          "rev:8 cost:8 " + " ".join(f"{c}_{n}d_avg:8" for n in (3, 7, 14, 30) for c in ("rev", "cost", "clicks")))
 
+FIGURES = ("rev", "cost", "clicks", "max_cpc", "roas")
+MEANS = [f"{c}_{n}d_avg" for n in (3, 7, 14, 30) for c in FIGURES]
+
+
+def _rolling_relative(spark, sf):
+    from adyield.operators.sessions import rolling_mean
+    daily = kw.daily_kpis(perf_rows(spark, sf))
+    return rolling_mean(daily, FIGURES, [3, 7, 14, 30], "date", relative=True).select("date", *MEANS)
+
+
+register("keyword_rolling_relative", _rolling_relative, with_views("keyword_perf", "SELECT date, " + ", ".join(
+    f"{m} / avg({m}) OVER () AS {m}" for m in MEANS) + " FROM (SELECT date, " + ", ".join(
+    f"CASE WHEN count({c}) OVER w{n} = {n} THEN avg({c}) OVER w{n} END AS {c}_{n}d_avg" for n in (3, 7, 14, 30) for c in FIGURES) + """
+FROM (SELECT date, coalesce(sum(rev), 0.0) AS rev, coalesce(sum(cost), 0.0) AS cost, coalesce(sum(clicks), 0.0) AS clicks,
+    avg(max_cpc) AS max_cpc, coalesce(sum(rev), 0.0) / nullif(sum(cost), 0) AS roas
+  FROM kw_rows GROUP BY 1) WINDOW """ + ", ".join(
+    f"w{n} AS (ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (3, 7, 14, 30)) + ")", ROWS),
+         " ".join(f"{m}:8" for m in MEANS))
+
 
 # --- keyword bids ------------------------------------------------------------------------
 def bids(spark, sf, days=84):
@@ -282,7 +301,9 @@ JOIN (SELECT geo, sum(clicks) AS clicks, sum(rev) AS rev, sum(cost) AS cost FROM
   WHERE date >= DATE '{AS_OF}' - 7 GROUP BY 1) r ON b.geo = r.geo""", BIDS), "clicks_gap:8 rev_gap:8 cost_gap:8")
 
 register("keyword_bid_jitter", lambda spark, sf: keyword_bids.jittered_bids(bids(spark, sf)).select(
-    "keyword_id", "max_cpc_old", "max_cpc_test"))
+    "keyword_id", "max_cpc_old", "max_cpc_test"), with_views(BID_VIEWS, f"""
+SELECT keyword_id, max_cpc_old, round_even(max_cpc_old + {drawn('keyword_id', 1)} * 0.02::DOUBLE - 0.01::DOUBLE, 2) AS max_cpc_test
+FROM bids""", BIDS), "max_cpc_old:6 max_cpc_test:4")
 
 register("keyword_rate_error", lambda spark, sf: keyword_bids.roas_error(bids(spark, sf)), with_views(BID_VIEWS, """
 SELECT keyword_id, rpc_est, rev / clicks AS rpc_observed,

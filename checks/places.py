@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from adyield.operators import joins, locations as loc, ordered, sampling
-from adyield.operators.sessions import deduplicate_sessions
+from adyield.operators.sessions import attach_weighted_mean, deduplicate_sessions
 from checks.registry import register
 from checks.sessions import ALL, DEVICE, UNIFIED, daily_sql, rps_daily, zip_rows
 from checks.slots import GEO, LOCATED, REV, inputs
-from checks.views import view, with_views
+from checks.views import drawn, view, with_views
 
 FACTS = f"""{LOCATED},
 {REV},
@@ -172,7 +172,12 @@ FROM (SELECT *, CAST(least(CAST(floor((rps - low) / (high - low) * 7) AS INT), 6
 GROUP BY product, bin, low, high""", FACTS), "left:8")
 register("bootstrap_error", lambda spark, sf: sampling.bootstrap_error(view(spark, sf, "lead_score_sample"), "lead_score", ["row_id"]))
 register("resampled_histogram", lambda spark, sf: sampling.resampled_counts(
-    view(spark, sf, "lead_score_sample").withColumn("band", F.bround("lead_score", 1)), "band", ["row_id"]))
+    view(spark, sf, "lead_score_sample").withColumn("band", F.bround("lead_score", 1)), "band", ["row_id"]), with_views("lead_score_sample", f"""
+SELECT band, count(*) AS n
+FROM (SELECT CAST(floor({drawn('draw', 7)} * (SELECT count(*) FROM lead_score_sample)) AS BIGINT) AS place
+  FROM (SELECT unnest(range(100000)) AS draw))
+JOIN (SELECT row_number() OVER (ORDER BY row_id) - 1 AS place, round_even(lead_score, 1) AS band FROM lead_score_sample) USING (place)
+GROUP BY 1"""), "band:3")
 
 DAILY = daily_sql("campaign_id, state, device, keyword, utc_dt", f"{DEVICE} AS device")
 register("mutual_information", lambda spark, sf: sampling.mutual_information(rps_daily(spark, sf), ["state", "device"]), with_views(ALL, f"""
@@ -188,3 +193,19 @@ FROM (SELECT rps_avg AS x, sessions / sum(sessions) OVER () AS p,
       (sum(sessions * rps_avg * rps_avg) OVER () / sum(sessions) OVER () - pow(sum(sessions * rps_avg) OVER () / sum(sessions) OVER (), 2))
       / (1 - sum(sessions * sessions) OVER () / pow(sum(sessions) OVER (), 2))) AS h
   FROM ({DAILY})) CROSS JOIN (SELECT unnest(range(100)) AS point) GROUP BY 1, 2""", UNIFIED), "at:9 density:9")
+
+register("weighted_density_by_device", lambda spark, sf: sampling.weighted_density(
+    rps_daily(spark, sf), "rps_avg", "sessions", keys=["device"]), with_views(ALL, f"""
+SELECT device, CAST(point AS INT) AS point, 2.0 * point / 99 AS at,
+  sum(sessions / n * exp(-0.5 * pow((2.0 * point / 99 - rps_avg) / h, 2)) / (h * sqrt(2 * pi()))) AS density
+FROM (SELECT device, rps_avg, sessions FROM ({DAILY})) JOIN (
+  SELECT device, n, pow(n * n / n2, -0.2) * sqrt((xx / n - pow(x / n, 2)) / (1 - n2 / (n * n))) AS h FROM (
+    SELECT device, CAST(sum(sessions) AS DOUBLE) AS n, CAST(sum(sessions * sessions) AS DOUBLE) AS n2, sum(sessions * rps_avg) AS x,
+      sum(sessions * rps_avg * rps_avg) AS xx FROM ({DAILY}) GROUP BY 1)) USING (device),
+  (SELECT unnest(range(100)) AS point) GROUP BY 1, 2, 3""", UNIFIED), "at:9 density:9")
+
+register("device_means_attached", lambda spark, sf: attach_weighted_mean(
+    rps_daily(spark, sf), ["device"], "rps_avg", "sessions", "device_mean").select(
+    "campaign_id", "state", "device", "keyword", "utc_dt", "sessions", "device_mean"), with_views(ALL, f"""
+SELECT campaign_id, state, device, keyword, utc_dt, sessions, d.mean AS device_mean FROM ({DAILY}) LEFT JOIN (
+  SELECT device, sum(rps_avg * sessions) / sum(sessions) AS mean FROM ({DAILY}) GROUP BY 1) d USING (device)""", UNIFIED), "device_mean:9")

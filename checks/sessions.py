@@ -9,7 +9,7 @@ from adyield.functions import text
 from adyield.sources import scans
 from checks.registry import register
 from checks.slots import END, GEO, LOCATED, REV, START, inputs, slot_of
-from checks.views import view, with_views
+from checks.views import drawn, view, with_views
 
 WINDOW_END = "2024-02-01"
 RPS_DIGITS = ("revenue:4 lps_avg:9 rpl_avg:9 rps_:4 rps_avg:9 rps_std:9 rps_var:5 "
@@ -88,7 +88,11 @@ SELECT session_id, traffic_source, browser, operating_system, device, product, k
 FROM unified""", UNIFIED), "revenue:4")
 
 register("unified_random_splits", lambda spark, sf: unified(spark, sf, splits=True).select(
-    "session_id", *[c for n in sessions.RANDOM_SPLITS for c in (f"random_split_{n}", f"random_normal_split_{n}")]))
+    "session_id", *[c for n in sessions.RANDOM_SPLITS for c in (f"random_split_{n}", f"random_normal_split_{n}")]),
+    with_views(ALL, "SELECT session_id, " + ", ".join(
+        f"CAST(floor({drawn('session_id', n)} * {n}) AS INT) AS random_split_{n}, "
+        f"CAST(floor(bell * ({n} / 16.0::DOUBLE)) AS INT) AS random_normal_split_{n}" for n in sessions.RANDOM_SPLITS) + f"""
+FROM (SELECT session_id, {" + ".join(drawn("session_id", stream) for stream in range(100, 116))} AS bell FROM unified)""", UNIFIED))
 
 for _name, _cols in (("agg_rps_by_campaign", ["campaign_id", "state", "device", "keyword", "utc_dt"]),
                      ("agg_rps_by_device_os", ["device", "operating_system"]),

@@ -211,6 +211,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text)
 
 
+def drawn(key: str, stream: int) -> str:
+    """The number that ``uniform_draw`` gives, in SQL."""
+    return f"(('0x' || substr(md5({key} || ':{stream}'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
 def with_views(names: str, body: str, extra: str = "") -> str:
     """SQL text with the named views (blank-separated) as leading common table expressions."""
     parts = [f"{name} AS ({VIEWS[name].strip()})" for name in names.split()]
