@@ -7,6 +7,8 @@ no equal and needs no sorting. The suffixes that are left are sorted one bucket
 ``length`` bytes. Sorting is by 64-bit fingerprint, not by byte order: equal strings become neighbours either way, and a
 suffix costs eight bytes of shuffle instead of its text. A bucket is a range of fingerprints, so its size follows the data's
 volume and not its repetitions: each block of documents sends a fingerprint once.
+
+A passage can be asked for in words too: every run of so many words has a fingerprint, which is sorted along with the suffixes.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 #: Fingerprints that one bucket holds on average.
 BUCKET_ITEMS = 1_500_000
 MIN_BUCKETS = 64
+#: Bytes of text that a word takes at least, on average, for the number of buckets.
+WORD_BYTES = 4
+#: Sets the fingerprints of runs of words apart from those of byte strings.
+_WORDS = np.uint64(0xA5A5A5A55A5A5A5A)
 
 _SENT = "bucket long, block long, items binary"
 _FLAGS = "block long, bucket long, flags binary"
@@ -108,6 +114,30 @@ class _Block:
         np.add.at(reach, samples + 1, -1)
         return np.flatnonzero((np.cumsum(reach[:-1]) > 0) & (self.left >= length))
 
+    def word_runs(self, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each run of ``words`` words of one document begins and ends, and its fingerprint, blanks between words alike."""
+        blank = (self.bytes == 32) | ((self.bytes >= 9) & (self.bytes <= 13))
+        before, after = np.ones_like(blank), np.ones_like(blank)
+        before[1:], after[:-1] = blank[:-1], blank[1:]
+        starts = np.flatnonzero(~blank & (before | (self.within == 0)))
+        ends = np.flatnonzero(~blank & (after | (self.left == 1))) + 1
+        first, last = starts[:max(len(starts) - words + 1, 0)], ends[words - 1:]
+        inside = last - first <= self.left[first]
+        first, last = first[inside], last[inside]
+        kept = ~blank | ~before
+        place = np.concatenate([[0], np.cumsum(kept)])
+        prefix = prefix_hash(np.where(blank, np.uint8(32), self.bytes)[kept])
+        return first, last, window_hash(prefix, place[first], place[last]) ^ _WORDS
+
+    def candidates(self, suffixes: np.ndarray, length: int, words: int | None) -> tuple[np.ndarray, np.ndarray, tuple]:
+        """Where each string that may be repeated begins and ends, and the distinct fingerprints of all, as ``fingerprints`` gives them."""
+        if words is None:
+            return suffixes, suffixes + length, self.fingerprints(suffixes, length)
+        first, last, runs = self.word_runs(words)
+        names = np.concatenate([window_hash(self.prefix, suffixes, suffixes + length), runs])
+        found = np.unique(names, return_inverse=True, return_counts=True)
+        return np.concatenate([suffixes, first]), np.concatenate([suffixes + length, last]), found
+
 
 def _blocks(docs: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,9 +155,12 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
-                   keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+                   keep: tuple[str, ...] = (), as_text: bool = False, words: int | None = None) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts anywhere else in the corpus.
 
+    With ``words``, also every run of so many words that stands anywhere else, however few bytes it has. Words are set apart by
+    ASCII white space, any amount of which counts as one blank.
+
     Texts are taken as UTF-8 bytes; matches lie within one document, may overlap and may stand in the same document; strings
     are judged on the input. Returns ``id_col``, the columns named in ``keep``, n_bytes, n_removed, n_spans (maximal removed
     runs), spans (start and length of each, in bytes of the input) and kept: the remaining bytes, or with ``as_text`` a
@@ -142,7 +175,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     window = length - COVER_MODULUS + 1
     rows = pick(docs, id=id_col, text=text_col, **{f"keep_{i}": c for i, c in enumerate(keep)})
     volume = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(MIN_BUCKETS, -(-volume * len(COVER) // (COVER_MODULUS * BUCKET_ITEMS)))
+    items = volume * len(COVER) // COVER_MODULUS + (volume // WORD_BYTES if words else 0)
+    buckets = max(MIN_BUCKETS, -(-items // BUCKET_ITEMS))
     blocks = _blocks(rows).repartition("block")
 
     def rank_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +198,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for number, data in zip(blocks.column("block").to_pylist(), blocks.column("data").to_pylist()):
             block = _Block(data)
             suffixes = tied_suffixes(block, number, bits)
-            names, _, _ = block.fingerprints(suffixes, length)
+            _, _, (names, _, _) = block.candidates(suffixes, length, words)
             rows += _send(number, names, buckets)
             mask = np.zeros(len(block.bytes), bool)
             mask[suffixes] = True
@@ -185,11 +219,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for a, b in zip(starts, ends):
                 mask[a:b] = True
             suffixes = np.flatnonzero(mask)
-            names, name_of, count = block.fingerprints(suffixes, length)
-            repeated = suffixes[(_received(names, buckets, bits) | (count > 1))[name_of]]
+            first, last, (names, name_of, count) = block.candidates(suffixes, length, words)
+            repeated = (_received(names, buckets, bits) | (count > 1))[name_of]
             reach = np.zeros(len(block.bytes) + 1, np.int32)
-            np.add.at(reach, repeated, 1)
-            np.add.at(reach, repeated + length, -1)
+            np.add.at(reach, first[repeated], 1)
+            np.add.at(reach, last[repeated], -1)
             removed = np.cumsum(reach[:-1]) > 0
             before, after = np.zeros_like(removed), np.zeros_like(removed)
             before[1:], after[:-1] = removed[:-1], removed[1:]

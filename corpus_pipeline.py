@@ -18,6 +18,8 @@ ORACLE_SQL = None
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text that shares fewer ranks than this with its best language is in none of them.
 MIN_LANGUAGE_SCORE = 0.05
+#: A passage of more than 50 words that stands more than once is cut, whatever its bytes.
+PASSAGE_WORDS = 51
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +41,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut byte strings of 400 bytes that stand more than once; documents stay, with what is left of their text."""
-    cut = suffix_dedup.remove_repeats(docs, keep=("lang", "source"), as_text=True)
+    """Cut passages of 400 bytes or 51 words that stand more than once; documents stay, with what is left of their text."""
+    cut = suffix_dedup.remove_repeats(docs, keep=("lang", "source"), as_text=True, words=PASSAGE_WORDS)
     return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
 

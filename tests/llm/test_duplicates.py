@@ -2,13 +2,17 @@
 
 import hashlib
 import random
+import re
+from collections import Counter
 from itertools import combinations, groupby
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from adyield.llm import common, near_dedup, queries, suffix_dedup, unit_dedup
 from adyield.llm.components import component_labels
 
@@ -144,6 +148,41 @@ def test_passages_equal_brute_force(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def word_repeats(rows, length, words):
+    """What is left of each text without repeated strings of bytes and runs of words."""
+    seen, found = Counter(), []
+    for key, text in rows:
+        data = (text or "").encode()
+        spans = [(i, i + length, data[i:i + length]) for i in range(len(data) - length + 1)]
+        at = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t-\r]+", data)]
+        spans += [(at[i][0], at[i + words - 1][1], tuple(data[a:b] for a, b in at[i:i + words])) for i in range(len(at) - words + 1)]
+        seen.update(s[2] for s in spans)
+        found.append((key, data, spans))
+    for key, data, spans in found:
+        gone = {i for a, b, s in spans if seen[s] > 1 for i in range(a, b)}
+        yield key, bytes(c for i, c in enumerate(data) if i not in gone)
+
+
+def test_passages_of_words_equal_brute_force(spark):
+    draw = random.Random(8)
+    text = lambda n: " ".join("".join(draw.choice("abcdéf") for _ in range(draw.randint(1, 6))) for _ in range(n))
+    shared = [text(n) for n in (50, 51, 52, 70, 200)]
+    rows = [(i, text(draw.randint(0, 60)) + " " + draw.choice(shared) + " " + text(draw.randint(0, 60))) for i in range(30)]
+    rows += [(40, shared[1].replace(" ", "\n \t")), (41, None), (42, " "), (43, "a " * 60), (44, shared[1] + "x"), (None, shared[4]),
+             (45, "\n" + shared[2]), (46, text(30)), (46, text(30)), (47, "q" * 900)]
+    found = suffix_dedup.remove_repeats(frame(spark, rows).repartition(3), words=51).collect()
+    assert sorted((r[0] or 0, bytes(r.kept)) for r in found) == sorted((k or 0, t) for k, t in word_repeats(rows, 400, 51))
+
+
+@pytest.mark.parametrize("size", [1, 5])
+def test_pipeline_cuts_51_words_of_any_bytes(spark, size):
+    shared = " ".join(f"{i:0{size}d}" if size > 2 else chr(0x61 + i % 26) for i in range(51))
+    assert len(shared.encode()) == 51 * (size + 1) - 1 < 400
+    rows = [(1, f"first {shared} one"), (2, f"other {shared} two"), (3, "unique " + shared[:-2 * size])]
+    found = {r.doc_id: r.text for r in corpus_pipeline.without_repeated_passages(spark, frame(spark, rows).withColumn("source", F.lit("s")), "").collect()}
+    assert found == {1: "first  one", 2: "other  two", 3: rows[2][1]}
+
+
 def test_passage_spans_and_kept_columns(spark):
     rows = [(1, "é" + "q" * 399 + "tail"), (2, "q" * 399 + "other")]
     found = {r.doc_id: r for r in suffix_dedup.remove_repeats(frame(spark, rows), keep=("lang", "kept"), length=300, as_text=True)
