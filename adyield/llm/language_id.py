@@ -7,11 +7,12 @@ counts as ``size`` places.
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adyield.llm.common import pick, text_slices
@@ -23,6 +24,17 @@ SLICE_BYTES = 1 << 19
 
 UNKNOWN = "und"
 
+#: Labelled documents of a language and length whose scores lie below the rest, as a share of all.
+LOW_QUANTILE = 0.01
+#: A text may score so much of that quantile's score before it is in none of the languages.
+LEAST_SHARE = 0.8
+#: A length with fewer labelled documents than this does not raise the language's own limit.
+LEAST_DOCUMENTS = 20
+#: Score steps that the labelled documents are counted in.
+STEPS = 200
+#: Powers of two of letters that a text can have.
+SIZES = 32
+
 
 def _letters(points: np.ndarray) -> np.ndarray:
     """The lower-case letter of each code point, a blank for anything that is not a letter."""
@@ -122,8 +134,8 @@ def learn_profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
 
 
 def identify(docs: DataFrame, profiles: list[tuple[str, int, int]], id_col: str = "doc_id", text_col: str = "text",
-             keep: tuple[str, ...] = (), size: int = SIZE) -> DataFrame:
-    """Name the language of every whole text: ``id_col``, the columns in ``keep``, lang_pred and score.
+             keep: tuple[str, ...] = (), size: int = SIZE, letters: bool = False) -> DataFrame:
+    """Name the language of every whole text: ``id_col``, the columns in ``keep``, lang_pred, score and with ``letters`` n_letters.
 
     ``profiles`` are rows of ``learn_profiles``: ``size`` rows for each language, which bounds what is sent to executors.
     score is 1 less the distance's share of the greatest possible one: 1 for a text ranked as its profile, 0 where no n-gram
@@ -157,8 +169,46 @@ def identify(docs: DataFrame, profiles: list[tuple[str, int, int]], id_col: str
                 yield pa.RecordBatch.from_pydict({
                     "id": piece.column("id"), **{f"keep_{i}": piece.column(f"keep_{i}") for i in range(len(keep))},
                     "lang_pred": pa.array([langs[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
-                    "score": pa.array(score, pa.float64())})
+                    "score": pa.array(score, pa.float64()),
+                    **({"n_letters": pa.array(np.bincount(owner[chars != 32], minlength=len(piece)))} if letters else {})})
 
     schema = ", ".join([f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns if c != "text"]
-                       + ["lang_pred string", "score double"])
-    return rows.mapInArrow(judge, schema).toDF(id_col, *keep, "lang_pred", "score")
+                       + ["lang_pred string", "score double"] + ["n_letters long"] * letters)
+    return rows.mapInArrow(judge, schema).toDF(id_col, *keep, "lang_pred", "score", *["n_letters"] * letters)
+
+
+def size_class(n_letters: Column) -> Column:
+    """Texts of about the same length: the power of two below their number of letters."""
+    return F.floor(F.log2(F.greatest(n_letters, F.lit(1)))).cast("int")
+
+
+def least_scores(judged: DataFrame, lang_col: str = "lang") -> list[tuple[str, int, float]]:
+    """(language, size class, least score) for every length, learned from all labelled texts that are named as labelled.
+
+    ``judged`` has lang_pred, score and n_letters of ``identify`` beside the label. The least score is ``LEAST_SHARE`` of the
+    score at ``LOW_QUANTILE`` among a language's texts of that length. With fewer than ``LEAST_DOCUMENTS`` of them it is the
+    smaller of that and the one over all lengths. What is collected are counts by language, size class and step of score.
+    """
+    counts = judged.filter(F.col(lang_col) == F.col("lang_pred")).groupBy(
+        "lang_pred", size_class(F.col("n_letters")).alias("size"), F.floor(F.col("score") * STEPS).alias("step")).count().collect()
+    steps: dict[tuple[str, int | None], Counter] = defaultdict(Counter)
+    for lang, size, step, count in counts:
+        steps[lang, size][step] += count
+        steps[lang, None][step] += count
+
+    def least(of: Counter) -> float:
+        under = 0
+        for step in sorted(of):
+            under += of[step]
+            if under > LOW_QUANTILE * of.total():
+                return LEAST_SHARE * step / STEPS
+        return 0.0
+
+    rows = []
+    for lang in sorted({lang for lang, _ in steps}):
+        usual = least(steps[lang, None])
+        for size in range(SIZES):
+            here = steps.get((lang, size), Counter())
+            own = least(here) if here else usual
+            rows.append((lang, size, own if here.total() >= LEAST_DOCUMENTS else min(own, usual)))
+    return rows

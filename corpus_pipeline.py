@@ -16,17 +16,24 @@ from adyield.session import shared_folder
 ORACLE_SQL = None
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A text that shares fewer ranks than this with its best language is in none of them.
+#: A text that scores less than this is in none of the languages, also where no labelled document is named as one of them.
 MIN_LANGUAGE_SCORE = 0.05
 #: A passage of more than 50 words that stands more than once is cut, whatever its bytes.
 PASSAGE_WORDS = 51
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a letter and those of a language unlike all that the labelled documents teach."""
+    """Reject documents without a letter and those of a language unlike all that the labelled documents teach.
+
+    What is unlike is learned too: a score far below nearly all labelled documents of the named language and about that length.
+    """
     profiles = [tuple(row) for row in language_id.learn_profiles(docs).collect()]
-    judged = language_id.identify(docs, profiles, keep=tuple(COLUMNS[1:]))
-    return judged.filter((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(COLUMNS)
+    learned = language_id.least_scores(language_id.identify(docs, profiles, keep=("lang",), letters=True))
+    least = spark.createDataFrame(learned, "least_pred string, least_size int, least double")
+    judged = language_id.identify(docs, profiles, keep=tuple(COLUMNS[1:]), letters=True).filter(F.col("lang_pred") != language_id.UNKNOWN)
+    alike = (F.col("lang_pred") == F.col("least_pred")) & (language_id.size_class(F.col("n_letters")) == F.col("least_size"))
+    enough = F.greatest(F.coalesce("least", F.lit(0.0)), F.lit(MIN_LANGUAGE_SCORE))
+    return judged.join(F.broadcast(least), alike, "left").filter(F.col("score") >= enough).select(COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -280,6 +280,31 @@ def test_stages_handle_odd_rows_and_clean_documents_stay(spark):
     assert packed(spark, table.limit(0), "").count() == 0
 
 
+def test_language_stage_drops_unlearned_languages_and_letter_junk(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(corpus_pipeline.COLUMNS)
+    draw = random.Random(3)
+    junk = " ".join("".join(draw.choice("bcdfghjklmnpqrstvwxz") for _ in range(draw.randint(3, 9))) for _ in range(60))
+    hungarian = ("Az emberi lények szabadon születnek és egyenlő méltóságuk és joguk van. Az emberek ésszel és lelkiismerettel bírnak, "
+                 "és egymással szemben testvéri szellemben kell hogy viseltessenek. ")
+    czech = ("Všichni lidé rodí se svobodní a sobě rovní co do důstojnosti a práv. Jsou nadáni rozumem a svědomím a mají spolu jednat "
+             "v duchu bratrství. ")
+    finnish = ("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja "
+               "heidän on toimittava toisiaan kohtaan veljeyden hengessä. ")
+    foreign = [hungarian, hungarian[:45], hungarian * 20, czech, finnish, finnish[:60], junk, junk[:50], junk * 50, "Все люди рождаются свободными"]
+    added = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(foreign)], given.schema)
+    kept = Counter(r.doc_id for r in corpus_pipeline.known_language(spark, given.union(added), "").select("doc_id").collect())
+    assert kept == Counter(r.doc_id for r in given.select("doc_id").collect())
+
+
+def test_least_scores_by_length_and_language(spark):
+    rows = [("a", "a", 0.8, 1000)] * 200 + [("a", "a", 0.2, 1000)] + [("a", "b", 0.1, 1000)] * 50 + [("a", "a", 0.5, 10)] * 30
+    rows += [("a", "a", 0.9, 100), ("b", "b", 0.4, 5), (None, "b", 0.1, 5)]
+    learned = language_id.least_scores(spark.createDataFrame(rows, "lang string, lang_pred string, score double, n_letters long"))
+    least = {(lang, size): round(score, 6) for lang, size, score in learned}
+    assert least["a", 9] == 0.64 and least["a", 3] == 0.4 and least["a", 6] == least["a", 20] == 0.4
+    assert least["b", 2] == least["b", 9] == 0.32 and {lang for lang, _ in least} == {"a", "b"}
+
+
 def test_pipeline_packs_what_the_stages_left(spark, sf):
     steps = [spark.read.parquet(f"{sf}/documents.parquet")]
     for _, stage in corpus_pipeline.STAGES:
