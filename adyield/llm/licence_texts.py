@@ -1,4 +1,10 @@
-"""Public licence texts and notices, as their authors publish them."""
+"""Public licence texts and notices, as their authors publish them.
+
+``KNOWN`` holds short texts and notices; the long texts are files in ``licence_files``, named by licence.
+"""
+
+import re
+from importlib import resources
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
@@ -89,3 +95,26 @@ KNOWN: dict[str, list[str]] = {
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "SPDX-License-Identifier: CC-BY-4.0"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"],
 }
+
+#: Licences whose whole text is a file.
+FILES = ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")
+
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def wordings(text: str) -> list[str]:
+    """A licence's text and the same without what follows its terms, each with and without the title paragraph."""
+    terms = [text]
+    if _END in text:
+        before = text[:text.index(_END)]
+        terms += [before + _END, before]
+    return [wording for whole in terms for wording in (whole, re.split(r"\n\s*\n", whole.strip("\n"), maxsplit=1)[-1])]
+
+
+def known_texts() -> dict[str, list[str]]:
+    """``KNOWN`` and the wordings of the files, read on the driver from the package."""
+    found = {name: list(texts) for name, texts in KNOWN.items()}
+    for name in FILES:
+        text = resources.files("adyield.llm").joinpath("licence_files", f"{name}.txt").read_text("utf-8")
+        found.setdefault(name, []).extend(wordings(text))
+    return found

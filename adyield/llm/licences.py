@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adyield.llm.common import pick
-from adyield.llm.licence_texts import KNOWN
+from adyield.llm.licence_texts import KNOWN, known_texts
 
 #: Known texts up to this many are broadcast: 10,000 digests and names take about a megabyte.
 BROADCAST_TEXTS = 10_000
@@ -56,9 +56,9 @@ def _respelled(words: str, single: dict[str, str]) -> str:
     return " ".join(single.get(word, word) for word in words.split(" "))
 
 
-def known_licences(spark: SparkSession, texts: dict[str, list[str]] = KNOWN) -> DataFrame:
-    """(digest, licence) of the given texts, licence name to its wordings; a digest of two names goes to the first by order."""
-    rows = [(name, text) for name, wordings in texts.items() for text in wordings]
+def known_licences(spark: SparkSession, texts: dict[str, list[str]] | None = None) -> DataFrame:
+    """(digest, licence) of the given texts, licence name to its wordings, or of all known ones; a digest of two names goes to the first by order."""
+    rows = [(name, text) for name, wordings in (known_texts() if texts is None else texts).items() for text in wordings]
     return with_digest(spark.createDataFrame(rows, "licence string, text string"), "text").groupBy("digest") \
         .agg(F.min("licence").alias("licence"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from adyield.llm import language_id, licences, mixing, packing, queries, url_filter
+from adyield.llm import language_id, licence_texts, licences, mixing, packing, queries, url_filter
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -139,6 +139,15 @@ def test_licences_by_canonical_digest(spark):
     assert licences.scan(table.limit(0), licences.known_licences(spark)).count() == 0
 
 
+def test_licences_know_whole_long_texts(spark):
+    files = {name: wordings for name, wordings in licence_texts.known_texts().items() if name in licence_texts.FILES}
+    rows = [(name, text) for name, wordings in files.items() for text in wordings if "\n" in text and len(text) > 5_000]
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} == {name for name, _ in rows}
+    table = docs(spark, [(i, text.upper() + "\n", None, None) for i, (_, text) in enumerate(rows)] + [(-1, rows[0][1] + " more", None, None)])
+    found = {r.doc_id: r.licence for r in licences.scan(table, licences.known_licences(spark)).collect()}
+    assert found == {i: name for i, (name, _) in enumerate(rows)} | {-1: None}
+
+
 def test_mixing_draws_and_rates(spark):
     draw = random.Random(1)
     rows = [(i, "x" * draw.randint(0, 40), "en", draw.choice(["a", "b", "b", "b", None])) for i in range(4000)]
