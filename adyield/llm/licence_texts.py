@@ -112,9 +112,10 @@ def wordings(text: str) -> list[str]:
 
 
 def known_texts() -> dict[str, list[str]]:
-    """``KNOWN`` and the wordings of the files, read on the driver from the package."""
+    """``KNOWN`` and the wordings of the files, read on the driver from the package; each also below "All rights reserved."."""
     found = {name: list(texts) for name, texts in KNOWN.items()}
     for name in FILES:
         text = resources.files("adyield.llm").joinpath("licence_files", f"{name}.txt").read_text("utf-8")
         found.setdefault(name, []).extend(wordings(text))
-    return found
+    # usual in headers; kept in digests, so known texts stand with the line too
+    return {name: texts + [f"All rights reserved.\n\n{text}" for text in texts if "\n" in text] for name, texts in found.items()}

@@ -26,13 +26,21 @@ SPELLINGS = {
     "whilst": "while", "wilful": "willful", "copyright owner": "copyright holder", "https": "http",
 }
 
+#: The SQL twin's notice lines: any that begin with the word or sign, also wrapped prose of a licence.
 _COPYRIGHT = r"(?m)^[\s\p{P}\p{S}]*(copyright\b|\(c\)|©)[^\n]*$"
+# Words that follow "copyright" in the prose of licences, so no holder's name.
+_PROSE = ("also", "and", "are", "as", "claims?", "disclaimer", "doctrines?", "for", "holders?", "if", "in", "interests?", "is", "laws?",
+          "licen[cs]es?", "like", "lines?", "notices?", "of", "on", "or", "owners?", "ownership", "patent", "permission", "protection",
+          "resulting", "rights?", "statements?", "that", "the", "this", "those", "to", "treaty", "treaties")
+#: Notice lines: copyright with (c), the sign, a year or a holder; (c) with a year; the sign.
+_NOTICE = (r"(?m)^[^\n\p{L}\p{N}]*(copyright\b[^\n\p{L}\p{N}]*(©|\p{N}|(?!(" + "|".join(_PROSE) + r")\b)\p{L})"
+           r"|\(c\)[^\S\n]*(copyright\b|\p{N})|©)[^\n]*$")
 
 
 def with_digest(df: DataFrame, text_col: str) -> DataFrame:
     """Replace a text by ``digest``, the md5 of its canonical form; null where no letter or digit is left.
 
-    Canonical: lower case, no lines that begin with a copyright notice, words of letters and digits apart by one blank, one
+    Canonical: lower case, no lines that are a copyright notice, words of letters and digits apart by one blank, one
     spelling. Each step is a column of its own, so that none is worked out twice.
     """
     single = {odd: usual for odd, usual in SPELLINGS.items() if " " not in odd}
@@ -46,7 +54,7 @@ def with_digest(df: DataFrame, text_col: str) -> DataFrame:
             same = F.regexp_replace(same, rf"\b{_respelled(odd, single)}\b", one)
     odd_one = F.col("words").rlike(r"\b(" + "|".join(SPELLINGS) + r")\b")
     return (df.withColumn("low", F.lower(text_col)).drop(text_col)
-            .withColumn("bare", F.when(marked, F.regexp_replace("low", _COPYRIGHT, "")).otherwise(low)).drop("low")
+            .withColumn("bare", F.when(marked, F.regexp_replace("low", _NOTICE, "")).otherwise(low)).drop("low")
             .withColumn("words", F.trim(F.regexp_replace("bare", r"[^\p{L}\p{N}]+", " "))).drop("bare")
             .withColumn("plain", F.when(odd_one, same).otherwise(F.col("words"))).drop("words")
             .withColumn("digest", F.when(F.col("plain") != "", F.md5("plain"))).drop("plain"))

@@ -1,7 +1,9 @@
 """Language ID, URL filter, licence scan, mixing, packing and the pipeline."""
 
 import random
+import re
 import string
+import textwrap
 import zlib
 from collections import Counter
 
@@ -148,6 +150,30 @@ def test_licences_know_whole_long_texts(spark):
     assert found == {i: name for i, (name, _) in enumerate(rows)} | {-1: None}
 
 
+def wrapped(text, width):
+    """Each paragraph wrapped anew, but for those with a copyright notice."""
+    parts = re.split(r"\n\s*\n", text)
+    return "\n\n".join(p if re.search(r"\(c\)|yyyy", p, re.I) else textwrap.fill(p, width, break_long_words=False, break_on_hyphens=False) for p in parts)
+
+
+@pytest.mark.parametrize("width", [30, 48, 60, 72, 80, 100])
+def test_licences_match_at_any_wrap_width(spark, width):
+    rows = [(name, text) for name, wordings in licence_texts.known_texts().items() for text in wordings if "\n" in text.strip()]
+    table = docs(spark, [(i, wrapped(text, width), None, None) for i, (_, text) in enumerate(rows)])
+    found = {r.doc_id: r.licence for r in licences.scan(table, licences.known_licences(spark)).collect()}
+    assert found == {i: name for i, (name, _) in enumerate(rows)}
+
+
+def test_notice_lines_are_dropped_and_prose_stays(spark):
+    bsd = licences.KNOWN["BSD-2-Clause"][0]
+    notices = ["Copyright (c) 2024, Someone", "# Copyright 2001-2024 The Holders of It", "Copyright © Someone", "© 2024 Someone", "(c) 2024 Someone",
+               "COPYRIGHT Jane Doe", "Copyright by Jane Doe", "All rights reserved.", " * All Rights Reserved", "(C) Copyright 1999 A, B"]
+    prose = ["copyright notice, this list of conditions", "(c) You must retain", "Copyright holders may", "copyright", "all rights reserved by law stay"]
+    table = docs(spark, [(i, line + "\n\n" + bsd, None, None) for i, line in enumerate(notices + prose)])
+    found = {r.doc_id: r.licence for r in licences.scan(table, licences.known_licences(spark)).collect()}
+    assert found == {i: "BSD-2-Clause" if i < len(notices) else None for i in range(len(notices + prose))}
+
+
 def test_mixing_draws_and_rates(spark):
     draw = random.Random(1)
     rows = [(i, "x" * draw.randint(0, 40), "en", draw.choice(["a", "b", "b", "b", None])) for i in range(4000)]
