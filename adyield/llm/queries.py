@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adyield.llm import ann, exact_topk, language_id, licences, mixing, near_dedup, packing, suffix_dedup, unit_dedup, url_filter
+from adyield.llm import (alignment, ann, conversations, exact_topk, language_id, licences, mixing, near_dedup, packing, suffix_dedup,
+                         toxicity, unit_dedup, url_filter)
 from adyield.llm.licence_texts import KNOWN
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +198,86 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 @query
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("words")
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.agreement(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the documents that is held out is neither learned from nor counted."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = toxicity.learn(docs.filter(~out), labels.filter(~out))
+    return toxicity.score(docs, model).select("doc_id", out.alias("held_out"), "score", "predicted", F.concat_ws(", ", "voters").alias("voters"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit_damaged(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op11_conversation_repair"] = r"""
+WITH RECURSIVE plain AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations),
+drawn AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, 8 * length(key)),
+         lambda i: CAST((ascii(substr(key, CAST(i // 8 + 1 AS INTEGER), 1)) >> CAST(i % 8 AS INTEGER)) & 1 AS BIGINT))),
+         lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 20 AS kind
+  FROM plain),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM drawn, range(0, 2) AS t(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+  FROM placed),
+rows AS (
+  SELECT conv_id, i, chr(10) || role || ':' || text AS said, chr(10) || 'user:' || text AS as_u, chr(10) || 'assistant:' || text AS as_a,
+         CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS x, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 ELSE 0 END AS no,
+         CASE WHEN role[1] = 's' THEN 0 ELSE 1000000000 END AS not_s, CASE WHEN role[1] = 'u' THEN 0 ELSE 1000000000 END AS not_u,
+         CASE WHEN role[1] = 'a' THEN 0 ELSE 1000000000 END AS not_a
+  FROM judged),
+states AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, {'c': CAST(0 AS BIGINT), 'p': '', 't': ''} AS n,
+         {'c': CAST(1000000000 AS BIGINT), 'p': '', 't': ''} AS s, {'c': CAST(3 AS BIGINT), 'p': 'I', 't': chr(10) || 'user:'} AS u,
+         {'c': CAST(6 AS BIGINT), 'p': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'} AS a
+  FROM placed
+  UNION ALL
+  SELECT conv_id, i, n, s, u, list_min([a, {'c': u.c + 3, 'p': u.p || 'I', 't': u.t || chr(10) || 'assistant:'}]) AS a
+  FROM (
+    SELECT conv_id, i, n, s, a, list_min([u, {'c': n.c + 3, 'p': n.p || 'I', 't': n.t || chr(10) || 'user:'},
+           {'c': s.c + 3, 'p': s.p || 'I', 't': s.t || chr(10) || 'user:'}, {'c': a.c + 3, 'p': a.p || 'I', 't': a.t || chr(10) || 'user:'}]) AS u
+    FROM (
+      SELECT v.conv_id, r.i, {'c': n.c + 4, 'p': n.p || 'D', 't': n.t} AS n,
+             list_min([{'c': s.c + 4, 'p': s.p || 'D', 't': s.t}, {'c': n.c + x + no + not_s, 'p': n.p || 'K', 't': n.t || said}]) AS s,
+             list_min([{'c': u.c + 4, 'p': u.p || 'D', 't': u.t}, {'c': n.c + x + no + not_u, 'p': n.p || 'K', 't': n.t || said},
+               {'c': s.c + x + no + not_u, 'p': s.p || 'K', 't': s.t || said}, {'c': a.c + x + no + not_u, 'p': a.p || 'K', 't': a.t || said},
+               {'c': n.c + x + no + 3, 'p': n.p || 'R', 't': n.t || as_u}, {'c': s.c + x + no + 3, 'p': s.p || 'R', 't': s.t || as_u},
+               {'c': a.c + x + no + 3, 'p': a.p || 'R', 't': a.t || as_u}]) AS u,
+             list_min([{'c': a.c + 4, 'p': a.p || 'D', 't': a.t}, {'c': u.c + x + no + not_a, 'p': u.p || 'K', 't': u.t || said},
+               {'c': u.c + x + no + 3, 'p': u.p || 'R', 't': u.t || as_a}]) AS a
+      FROM states v JOIN rows r ON v.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = v.i + 1))),
+ends AS (
+  SELECT conv_id, list_min([n, a]) AS best FROM states
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.p, '') AS audit,
+       sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ends ON o.conv_id IS NOT DISTINCT FROM ends.conv_id
+     LEFT JOIN counts ON o.conv_id IS NOT DISTINCT FROM counts.conv_id"""
