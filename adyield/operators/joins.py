@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adyield.functions.network import inet_aton, ip_index
@@ -10,6 +13,11 @@ from adyield.functions.numeric import money_units
 from adyield.session import REPLICATION_SALTS, fits_broadcast
 
 
+#: Sessions that one part of an ordered join holds on average, and the places that rows of one address are spread over.
+PART_ROWS = 1_000_000
+SPREAD = 1 << 20
+
+
 def replicate(df: DataFrame, salts: int) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
@@ -33,14 +41,17 @@ def ip_range_join(sessions: DataFrame, blocks: DataFrame, how: str = "inner", se
                   salts: int | None = None) -> DataFrame:
     """Join addresses to the block that holds them.
 
-    The equality on the first two octets makes it a hash join with the range as residual. One bucket
-    (a carrier gateway) may hold a large share of the sessions: where the blocks are too large to
-    broadcast they are replicated over ``salts`` copies and the sessions spread over them. Without
-    ``salts`` the blocks are counted to decide.
+    Blocks that are counted to fit are broadcast, and the equality on the first two octets makes that a hash join with the range
+    as residual. Larger tables of blocks that do not overlap are merged in address order (``ip_ordered_join``). Only overlapping
+    ones, of which an address may need several, are copied ``salts`` times, with the sessions spread over the copies; ``salts``
+    given asks for that.
     """
-    if salts is None and fits_broadcast(blocks):
-        blocks = F.broadcast(blocks)
-        salts = 1
+    if salts is None:
+        if fits_broadcast(blocks):
+            blocks = F.broadcast(blocks)
+            salts = 1
+        elif not blocks_overlap(blocks):
+            return ip_ordered_join(sessions, blocks, how, session_key)
     salts = salts or REPLICATION_SALTS
     left = sessions.withColumns({
         "s_index": ip_index(F.col("ip_address")), "s_ip": inet_aton(F.col("ip_address"))})
@@ -53,6 +64,78 @@ def ip_range_join(sessions: DataFrame, blocks: DataFrame, how: str = "inner", se
     return joined.drop("s_index", "s_ip", "ip_index", "start_int", "end_int", "s_salt", "salt")
 
 
+def _reach(blocks: DataFrame) -> DataFrame:
+    """Blocks with the first and last address that they can match: those of their range that begin with their two octets."""
+    first = inet_aton(F.concat("ip_index", F.lit(".0.0")))
+    reach = blocks.withColumns({"reach_from": F.greatest(F.col("start_int"), first), "reach_to": F.least(F.col("end_int"), first + F.lit(65535))})
+    return reach.filter("start_int is not null and end_int is not null and reach_from <= reach_to")
+
+
+def blocks_overlap(blocks: DataFrame) -> bool:
+    """Whether some address lies in two blocks."""
+    earlier = Window.partitionBy("ip_index").orderBy("reach_from").rowsBetween(Window.unboundedPreceding, -1)
+    reach = _reach(blocks).select("ip_index", "reach_from", "reach_to")
+    return reach.withColumn("taken_to", F.max("reach_to").over(earlier)).filter("taken_to >= reach_from").limit(1).count() > 0
+
+
+def _address_place(address: Column, spread: Column) -> Column:
+    """Place in the order that is cut into parts: by address, rows of one address by a hash. Exact as a double."""
+    return (address * F.lit(SPREAD) + spread).cast("double")
+
+
+def ip_parts(sessions: DataFrame, blocks: DataFrame, session_key: str = "session_id", part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Sessions and blocks dealt to parts of about ``part_rows`` sessions that follow one another in address order.
+
+    Bounds are quantiles of the sessions' own addresses and, within an address, of a hash, so a gateway's addresses, or one
+    address alone, make as many parts as they hold rows for. A block goes to every part that its range touches: one copy, and
+    one more for each bound inside it. Sessions without a valid address are dealt to parts of their own, without blocks.
+    """
+    whole = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name) for df, name in ((sessions, "s"), (blocks, "b"))]
+    left = sessions.select(whole[0], ip_index(F.col("ip_address")).alias("s_index"), inet_aton(F.col("ip_address")).alias("s_ip"),
+                           F.xxhash64(session_key, "ip_address").alias("hash"))
+    left = left.withColumn("at", F.coalesce(_address_place(F.col("s_ip"), F.pmod("hash", F.lit(SPREAD))), F.lit(-1.0)))
+    parts = max(1, -(-sessions.count() // part_rows))
+    shares = [i / parts for i in range(1, parts)]
+    cuts = left.filter("at >= 0").agg(F.percentile_approx("at", shares, max(10_000, 10 * parts))).first()[0] if shares else []
+    cuts = [-math.inf, *sorted(set(cuts or [])), math.inf]
+
+    def place(df: DataFrame, column: str, out: str) -> DataFrame:
+        dealt = Bucketizer(splits=cuts, inputCol=column, outputCol=out).transform(df) if len(cuts) > 2 else df.withColumn(out, F.lit(0))
+        return dealt.withColumn(out, F.col(out).cast("int"))
+
+    lost = -1 - F.pmod("hash", F.lit(parts)).cast("int")
+    left = place(left, "at", "part").withColumn("part", F.when(F.col("s_ip").isNull(), lost).otherwise(F.col("part")))
+    right = _reach(blocks).select(
+        whole[1], F.col("ip_index").alias("b_index"), "reach_to", _address_place(F.col("reach_from"), F.lit(0)).alias("at"),
+        _address_place(F.col("reach_to"), F.lit(SPREAD - 1)).alias("upto"))
+    right = place(place(right, "at", "from_part"), "upto", "to_part")
+    return left.select("part", "at", "s", "s_index", "s_ip"), right.select(
+        F.explode(F.sequence("from_part", "to_part")).alias("part"), "at", "b", "b_index", "reach_to")
+
+
+def ip_ordered_join(sessions: DataFrame, blocks: DataFrame, how: str = "inner", session_key: str = "session_id",
+                    part_rows: int = PART_ROWS) -> DataFrame:
+    """``ip_range_join`` for blocks that do not overlap, as a merge in address order.
+
+    Within a part, blocks and sessions are sorted together and every session looks back at the last block that began.
+    Each session is shuffled once and no block is copied for the sake of hot addresses.
+    """
+    left, right = ip_parts(sessions, blocks, session_key, part_rows)
+    held = F.struct("b", "b_index", "reach_to").alias("held")
+
+    def none_of(df: DataFrame, name: str) -> Column:
+        return F.lit(None).cast(df.schema[name].dataType).alias(name)
+
+    begin = right.select("part", "at", F.lit(0).alias("kind"), none_of(left, "s"), none_of(left, "s_index"), none_of(left, "s_ip"), held)
+    asked = left.select("part", "at", F.lit(1).alias("kind"), "s", "s_index", "s_ip", none_of(begin, "held"))
+    back = Window.partitionBy("part").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = begin.union(asked).withColumn("held", F.last("held", ignorenulls=True).over(back)).filter("kind = 1")
+    inside = F.coalesce((F.col("held.reach_to") >= F.col("s_ip")) & (F.col("held.b_index") == F.col("s_index")), F.lit(False))
+    met = met.filter(inside).withColumn("b", F.col("held.b")) if how == "inner" else met.withColumn("b", F.when(inside, F.col("held.b")))
+    found = [c for c in blocks.columns if c not in ("ip_index", "start_int", "end_int")]
+    return met.select(*[F.col(f"s.`{c}`").alias(c) for c in sessions.columns], *[F.col(f"b.`{c}`").alias(c) for c in found])
+
+
 def locate_sessions(sessions: DataFrame, blocks: DataFrame, locations: DataFrame, how: str = "inner",
                     country: str | None = "US") -> DataFrame:
     """Sessions with the location columns of their address.
@@ -65,7 +148,7 @@ def locate_sessions(sessions: DataFrame, blocks: DataFrame, locations: DataFrame
     # decided on both tables: the optimizer's estimate of their join is the product of their sizes
     small = fits_broadcast(blocks, locations)
     places = blocks.join(locations, "maxmind_id", "inner" if how == "inner" else "left")
-    return ip_range_join(sessions, F.broadcast(places) if small else places, how, salts=1 if small else REPLICATION_SALTS)
+    return ip_range_join(sessions, F.broadcast(places) if small else places, how, salts=1 if small else None)
 
 
 def revenue_per_session(revenue: DataFrame) -> DataFrame:

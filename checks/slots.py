@@ -150,25 +150,25 @@ LEFT JOIN geo_blocks b ON regexp_extract(s.ip_address, '[0-9]+[.][0-9]+') = b.ip
 LEFT JOIN geo_locations l ON b.maxmind_id = l.maxmind_id"""))
 
 register("ip_range_join_salted", lambda spark, sf: joins.ip_range_join(
-    scans.scan_sessions(view(spark, sf, "session_detail"), START, END, traffic_source=["google", "bing"]),
+    scans.scan_sessions(view(spark, sf, "session_detail"), START, END),
     view(spark, sf, "geo_blocks"), salts=4).select("session_id", "traffic_source", "maxmind_id"),
     with_views(GEO, f"""
 SELECT s.session_id, s.traffic_source, b.maxmind_id
-FROM (SELECT * FROM session_detail WHERE ip_address <> '' AND traffic_source IN ('GOOGLE', 'BING')) s
+FROM (SELECT * FROM session_detail WHERE ip_address <> '') s
 JOIN geo_blocks b ON regexp_extract(s.ip_address, '[0-9]+[.][0-9]+') = b.ip_index
   AND {aton('s.ip_address')} BETWEEN b.start_int AND b.end_int"""))
 
-register("conversion_facts", lambda spark, sf: joins.conversion_facts(*inputs(spark, sf, traffic_source="google")).drop(
+register("conversion_facts", lambda spark, sf: joins.conversion_facts(*inputs(spark, sf)).drop(
     "revenue_units"), with_views(GEO, """
 SELECT s.session_id, product, subdivision_1_iso_code AS state_code, concat(metro_code, subdivision_1_iso_code) AS dma_state,
   city_name AS city, CASE WHEN r.units > 0 THEN 1 ELSE 0 END AS has_conversion,
   CASE WHEN r.units > 0 THEN r.units / 10000.0 ELSE 0.0 END AS revenue
 FROM located s LEFT JOIN rev r ON s.session_id = r.session_id
-WHERE traffic_source = 'GOOGLE' AND subdivision_1_iso_code <> '' AND metro_code <> ''""", f"{LOCATED},\n{REV}"),
+WHERE subdivision_1_iso_code <> '' AND metro_code <> ''""", f"{LOCATED},\n{REV}"),
          "revenue:4")
 
-register("ip_range_join_salted_all", lambda spark, sf: joins.ip_range_join(
-    scans.scan_sessions(view(spark, sf, "session_detail"), START, END), view(spark, sf, "geo_blocks"), salts=4).select(
+register("ip_range_join_salted_all", lambda spark, sf: joins.ip_ordered_join(
+    scans.scan_sessions(view(spark, sf, "session_detail"), START, END), view(spark, sf, "geo_blocks"), part_rows=5_000).select(
         "session_id", "traffic_source", "maxmind_id"),
     with_views(GEO, f"""
 SELECT s.session_id, s.traffic_source, b.maxmind_id
