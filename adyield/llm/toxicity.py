@@ -16,7 +16,7 @@ from typing import Any, NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
+from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -302,10 +302,11 @@ def fit_label_model(patterns: DataFrame, voters: list[Voter], rounds: int = ROUN
     return model
 
 
-def _features(docs: DataFrame) -> DataFrame:
+def _features(docs: DataFrame, voters: int) -> DataFrame:
     hashed = HashingTF(inputCol="words", outputCol="hashed", binary=True, numFeatures=FEATURES).transform(docs)
     even = Normalizer(inputCol="hashed", outputCol="even").transform(hashed).withColumn("said", array_to_vector("votes"))
-    return VectorAssembler(inputCols=["said", "even"], outputCol="features").transform(even).drop("words", "hashed", "even", "said")
+    sized = VectorSizeHint(inputCol="said", size=voters).transform(even)
+    return VectorAssembler(inputCols=["said", "even"], outputCol="features").transform(sized).drop("words", "hashed", "even", "said")
 
 
 def _plain(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -341,7 +342,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     drawn = labelled.filter(F.pmod(F.xxhash64("id"), F.lit(many)) < sample).select("id", "toxic")
     chosen = with_votes(rows.join(F.broadcast(drawn), "id"), voters)
     soft = chosen.withColumn("p", _posterior(label_model)("votes", F.col("toxic").cast("long")))
-    both = _features(soft).withColumn("side", F.explode(F.array(F.lit(0.0), F.lit(1.0)))) \
+    both = _features(soft, len(voters)).withColumn("side", F.explode(F.array(F.lit(0.0), F.lit(1.0)))) \
         .withColumn("weight", F.when(F.col("side") == 1, F.col("p")).otherwise(1 - F.col("p"))).select("features", "side", "weight")
     fit = LogisticRegression(featuresCol="features", labelCol="side", weightCol="weight", regParam=PENALTY, standardization=False, maxIter=100)
     return Model(voters, label_model, fit.fit(checkpointed(both)))
@@ -369,7 +370,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     if model.classifier is None:
         scored = judged.withColumn("score", _posterior(model.label_model)("votes", F.lit(-1).cast("long")))
     else:
-        scored = model.classifier.transform(_features(judged)).withColumn("score", vector_to_array("probability")[1])
+        scored = model.classifier.transform(_features(judged, len(model.voters))).withColumn("score", vector_to_array("probability")[1])
     names = F.array(*[F.lit(v.name) for v in model.voters])
     spoke = F.filter(F.zip_with(names, "votes", lambda n, v: F.when(v > 0, n)), lambda n: n.isNotNull())
     return scored.select(F.col("id").alias(id_col), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), spoke.alias("voters"))
