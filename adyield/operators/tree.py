@@ -1,163 +1,219 @@
 """Regression-tree clusters of attribute combinations and the roll-up of their volumes.
 
 Input rows are daily aggregates: attribute columns, utc_dt, sessions, revenue, leads.
+
+A split of such a tree asks whether an attribute has one value, and is judged by sums of sessions and revenue alone. So the rows are
+folded to one per attribute combination before anything is fitted, whatever the number of days. Large nodes are split a level at a
+time, all in one job over a node column; a node that has few enough combinations is grown to its end in one task, all of them in one job.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adyield.operators.sessions import rare_to_null, trailing_daily_mean
-from adyield.session import checkpointed, shared_folder
-
-# Levels that one fit of Spark's tree can have; deeper trees are grown on from its lowest leaves.
-FIT_DEPTH = 30
-
+from adyield.session import checkpointed
 
-@dataclass
-class _Part:
-    """One fitted tree of at most FIT_DEPTH levels; ``grafts`` maps its leaves to the parts that go on below them."""
-
-    model: DecisionTreeRegressionModel
-    leaves: list[list[int]]  # for each leaf its node and those above it, up to the part's root
-    grafts: dict[int, int]
+#: Combinations of a node that one task grows to its end.
+LOCAL_ROWS = 50_000
+#: A split must gain more than rounding does.
+ROUNDING = 1e-12
+LEAF = -1
 
 
 @dataclass
 class TreeClusters:
-    """A fitted tree: its features, parts, attributes and each leaf's path to the root."""
+    """A grown tree: per node the attribute and value it asks for (LEAF for none) and its two children, its attributes and each leaf's path."""
 
-    features: PipelineModel
-    parts: list[_Part]
+    asks: np.ndarray
+    values: list[str]
+    no: np.ndarray
+    yes: np.ndarray
     attributes: list[str]
+    leaf_of: np.ndarray
     paths: list[tuple[int, int, int]]  # leaf ordinal, node id, steps above the leaf
 
     def transform(self, rows: DataFrame) -> DataFrame:
         """Rows with the leaf they fall into as ``clust``; unseen attribute values count as none of the known."""
-        scored = self.features.transform(rows.withColumns({f"{c}_in": _label(c) for c in self.attributes}))
-        for part in self.parts:
-            scored = part.model.transform(scored)
-        ordinals = {place: i for i, place in enumerate(_ends(self.parts))}
-
-        def leaf(number: int) -> Column:
-            part = self.parts[number]
-            own = F.col(part.model.getLeafCol()).cast("int")
-            plain = F.element_at(F.array(*[F.lit(ordinals.get((number, i), -1)) for i in range(len(part.leaves))]), own + 1)
-            for end, below in part.grafts.items():
-                plain = F.when(own == end, leaf(below)).otherwise(plain)
-            return plain
-
-        return scored.select(*rows.columns, leaf(0).alias("clust"))
+        asks, values, no, yes, leaf_of = self.asks, np.array(self.values, object), self.no, self.yes, self.leaf_of
+
+        @F.pandas_udf("int")
+        def leaf(labels: pd.DataFrame) -> pd.Series:
+            own = labels.to_numpy(object)
+            node = np.zeros(len(own), np.int64)
+            going = np.arange(len(own)) if asks[0] != LEAF else np.zeros(0, np.int64)
+            while len(going):
+                here = node[going]
+                fits = own[going, asks[here]] == values[here]
+                node[going] = np.where(fits, yes[here], no[here])
+                going = going[asks[node[going]] != LEAF]
+            return pd.Series(leaf_of[node], dtype="int32")
+
+        return rows.select("*", leaf(F.struct(*[_label(c).alias(f"a{i}") for i, c in enumerate(self.attributes)])).alias("clust"))
 
     def path_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.paths, "clust int, node int, above int")
 
-    def save(self, path: str) -> None:
-        self.features.write().overwrite().save(f"{path}/features")
-        for number, part in enumerate(self.parts):
-            part.model.write().overwrite().save(f"{path}/part-{number}")
-
 
 def _label(name: str) -> Column:
     """Attribute value as text; missing and blank values are one category."""
     return F.coalesce(F.nullif(F.col(name).cast("string"), F.lit("")), F.lit("(none)"))
 
 
-def _read_leaves(spark: SparkSession, tree: DecisionTreeRegressionModel) -> tuple[list[list[int]], set[int]]:
-    """Leaves (pre-order) with their ancestors, read from the saved node table, and which of them are not pure.
-
-    The table has one row per node, at most twice the leaves that the tree was allowed to have.
-    """
-    path = f"{shared_folder(spark)}/tree-{uuid.uuid4().hex}"
-    tree.save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("id", "leftChild", "rightChild", "impurity").collect()
-    parent = {child: n["id"] for n in nodes for child in (n["leftChild"], n["rightChild"]) if child >= 0}
-    ends = sorted((n["id"], n["impurity"]) for n in nodes if n["leftChild"] < 0)
-    leaves = []
-    for node, _ in ends:
-        way = [node]
-        while way[-1] in parent:
-            way.append(parent[way[-1]])
-        leaves.append(way)
-    return leaves, {ordinal for ordinal, (_, impurity) in enumerate(ends) if impurity > 0}
-
-
-def _ends(parts: list[_Part]) -> list[tuple[int, int]]:
-    """Leaves of the whole tree as (part, leaf of the part), in pre-order."""
-    def walk(number: int) -> list[tuple[int, int]]:
-        part = parts[number]
-        return [end for leaf in range(len(part.leaves))
-                for end in (walk(part.grafts[leaf]) if leaf in part.grafts else [(number, leaf)])]
-
-    return walk(0)
-
-
-def _paths(parts: list[_Part]) -> list[tuple[int, int, int]]:
-    sizes = [max((max(way) for way in part.leaves), default=0) + 1 for part in parts]
-    base = [sum(sizes[:number]) for number in range(len(parts))]
-    above = {below: (number, leaf) for number, part in enumerate(parts) for leaf, below in part.grafts.items()}
-
-    def way(number: int, leaf: int) -> list[int]:
-        own = [base[number] + node for node in parts[number].leaves[leaf]]
-        # a graft's root is the leaf it hangs under
-        return own[:-1] + way(*above[number]) if number in above else own
-
-    return [(ordinal, node, steps) for ordinal, end in enumerate(_ends(parts)) for steps, node in enumerate(way(*end))]
+def _local_splits(codes: np.ndarray, weight: np.ndarray, value: np.ndarray, least: float) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Grow a node to its end: what each node asks for (attribute, code) and its children, ids from 0; depth has no limit."""
+    asks, wants, no, yes = [LEAF], [0], [LEAF], [LEAF]
+    open_ = [(0, np.arange(len(weight)))]
+    while open_:
+        node, rows = open_.pop()
+        if len(rows) < 2:
+            continue
+        w, s = weight[rows], value[rows]
+        whole, total = w.sum(), s.sum()
+        best = (0.0, LEAF, 0)
+        for attribute in range(codes.shape[1]):
+            own, place = np.unique(codes[rows, attribute], return_inverse=True)
+            inside, taken = np.bincount(place, w), np.bincount(place, s)
+            rest = whole - inside
+            fine = (inside >= least) & (rest >= least) & (inside > 0) & (np.bincount(place) < len(rows))
+            if not fine.any():
+                continue
+            apart = np.where(fine, taken ** 2 / np.where(fine, inside, 1) + (total - taken) ** 2 / np.where(fine, rest, 1), 0)
+            gain = np.where(fine, apart - total ** 2 / whole, -1)
+            top = int(gain.argmax())
+            if gain[top] > max(best[0], ROUNDING * apart[top]):
+                best = (float(gain[top]), attribute, int(own[top]))
+        if best[1] == LEAF:
+            continue
+        asks[node], wants[node] = best[1], best[2]
+        fits = codes[rows, best[1]] == best[2]
+        for side, part in ((no, rows[~fits]), (yes, rows[fits])):
+            side[node] = len(asks)
+            open_.append((len(asks), part))
+            asks.append(LEAF)
+            wants.append(0)
+            no.append(LEAF)
+            yes.append(LEAF)
+    return asks, wants, no, yes
+
+
+_GROWN = "node long, id long, asks long, value string, no long, yes long"
+
+
+def _grow_small(nodes: DataFrame, names: list[str], least: float) -> DataFrame:
+    """Every node of (node, names, w, s), each of at most LOCAL_ROWS rows, grown to its end: one row per node below it."""
+    def grow(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(n, "ascending") for n in names])
+        columns = [table.column(n).combine_chunks().dictionary_encode() for n in names]
+        # codes follow the order of the values, so that ties do not depend on where a row lay
+        known = [np.array(c.dictionary.to_pylist(), object) for c in columns]
+        orders = [np.argsort(np.argsort(k)) for k in known]
+        codes = np.stack([o[c.indices.to_numpy()] for o, c in zip(orders, columns)], axis=1)
+        asks, wants, no, yes = _local_splits(codes, table.column("w").to_numpy(), table.column("s").to_numpy(), least)
+        words = [np.sort(known[a])[v] if a != LEAF else None for a, v in zip(asks, wants)]
+        top = table.column("node")[0].as_py()
+        return pa.table({"node": pa.array([top] * len(asks), pa.int64()), "id": pa.array(range(len(asks)), pa.int64()),
+                         "asks": pa.array(asks, pa.int64()), "value": pa.array(words, pa.string()),
+                         "no": pa.array(no, pa.int64()), "yes": pa.array(yes, pa.int64())})
+
+    return nodes.groupBy("node").applyInArrow(grow, _GROWN)
+
+
+def _best_splits(nodes: DataFrame, names: list[str], least: float) -> DataFrame:
+    """The best split of each node of (node, names, w, s): (node, asks, value); nodes that none improves are left out."""
+    asked = F.explode(F.array(*[F.struct(F.lit(i).alias("asks"), F.col(n).alias("value")) for i, n in enumerate(names)])).alias("q")
+    sums = nodes.select("node", asked, "w", "s").groupBy("node", "q").agg(F.sum("w").alias("inside"), F.sum("s").alias("taken"))
+    whole = nodes.groupBy("node").agg(F.sum("w").alias("whole"), F.sum("s").alias("total"))
+    rest = F.col("whole") - F.col("inside")
+    apart = F.pow("taken", 2) / F.col("inside") + F.pow(F.col("total") - F.col("taken"), 2) / rest
+    judged = sums.join(whole, "node").filter((F.col("inside") > 0) & (F.col("inside") >= least) & (rest >= least) & (rest > 0)) \
+        .withColumn("apart", apart).withColumn("gain", F.col("apart") - F.pow("total", 2) / F.col("whole")) \
+        .filter(F.col("gain") > F.lit(ROUNDING) * F.col("apart"))
+    order = Window.partitionBy("node").orderBy(F.desc("gain"), "q.asks", "q.value")
+    return judged.withColumn("nth", F.row_number().over(order)).filter("nth = 1").select("node", "q.asks", "q.value")
 
 
 def fit_tree(rows: DataFrame, attributes: Sequence[str], clusters: int | None = None, smooth_days: int = 7,
-             min_sessions: float = 100, fit_depth: int = FIT_DEPTH) -> TreeClusters:
-    """Regress smoothed revenue per session on one-hot attributes, weighted by sessions.
+             min_sessions: float = 100, local_rows: int = LOCAL_ROWS) -> TreeClusters:
+    """Regress smoothed revenue per session on attribute values, weighted by sessions.
 
-    With ``clusters`` given, a leaf holds at least half an even share of the sessions. Depth has no limit: where a fit ends at
-    ``fit_depth`` levels in a leaf that is not pure, its rows are fitted on and the subtree is hung under it.
+    A node is split where one value of one attribute, against all others, takes most out of the weighted variance; ties go to the
+    earlier attribute and smaller value. With ``clusters`` given, a leaf holds at least half an even share of the sessions. Depth has no
+    limit.
     """
     attributes = list(attributes)
     smooth = trailing_daily_mean(rows, attributes, ["sessions", "revenue"], smooth_days)
-    smooth = smooth.withColumn("rps", F.try_divide("revenue", "sessions")).filter(F.col("sessions") > 0)
-    smooth = rare_to_null(smooth, attributes, min_sessions)
-    text = checkpointed(smooth.select(
-        *[_label(c).alias(f"{c}_in") for c in attributes], "rps", "sessions"))
-    known = [f"{c}_in" for c in attributes]
-    features = Pipeline(stages=[
-        StringIndexer(inputCols=known, outputCols=[f"{c}_no" for c in attributes], handleInvalid="keep",
-                      stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=[f"{c}_no" for c in attributes], outputCols=[f"{c}_hot" for c in attributes]),
-        VectorAssembler(inputCols=[f"{c}_hot" for c in attributes], outputCol="features"),
-    ]).fit(text)
-    points = features.transform(text).select("features", "rps", "sessions")
-    least = 0.5 / clusters * (points.agg(F.sum("sessions")).first()[0] or 0) if clusters else 0.0
-    parts: list[_Part] = []
-    waiting: list[tuple[DataFrame, tuple[int, int] | None]] = [(points, None)]
-    while waiting:
-        here, under = waiting.pop(0)
-        weight = here.agg(F.sum("sessions")).first()[0] if least else 1.0
-        if under and 2 * least > weight:
-            continue
-        number = len(parts)
-        tree = DecisionTreeRegressor(
-            featuresCol="features", labelCol="rps", weightCol="sessions", leafCol=f"leaf_{number}", seed=1,
-            predictionCol=f"prediction_{number}", maxDepth=fit_depth, minWeightFractionPerNode=min(0.499, least / weight))
-        model = tree.fit(here)
-        leaves, mixed = _read_leaves(rows.sparkSession, model)
-        if under and len(leaves) == 1:
-            continue
-        parts.append(_Part(model, leaves, {}))
-        if under:
-            parts[under[0]].grafts[under[1]] = number
-        lowest = [leaf for leaf, way in enumerate(leaves) if len(way) > fit_depth and leaf in mixed]
-        scored = model.transform(here)
-        waiting += [(scored.filter(F.col(f"leaf_{number}") == leaf).select("features", "rps", "sessions"), (number, leaf))
-                    for leaf in lowest]
-    return TreeClusters(features, parts, attributes, _paths(parts))
+    smooth = rare_to_null(smooth.filter(F.col("sessions") > 0), attributes, min_sessions)
+    names = [f"in_{i}" for i in range(len(attributes))]
+    folded = smooth.groupBy(*[_label(c).alias(n) for c, n in zip(attributes, names)]).agg(
+        F.sum("sessions").cast("double").alias("w"), F.sum("revenue").cast("double").alias("s"))
+    nodes = checkpointed(folded.select(F.lit(0).cast("long").alias("node"), *names, "w", F.coalesce("s", F.lit(0.0)).alias("s")))
+    least = 0.5 / clusters * (nodes.agg(F.sum("w")).first()[0] or 0) if clusters else 0.0
+    asks, values, no, yes = [LEAF], [""], [LEAF], [LEAF]
+
+    def add() -> int:
+        for column, empty in ((asks, LEAF), (values, ""), (no, LEAF), (yes, LEAF)):
+            column.append(empty)
+        return len(asks) - 1
+
+    while True:
+        # at most as many nodes as the combinations make of that size
+        large = nodes.groupBy("node").count().filter(F.col("count") > local_rows).select("node")
+        splits = _best_splits(nodes.join(F.broadcast(large), "node"), names, least).collect() if large.limit(1).count() else []
+        if large.limit(1).count():
+            ended = {r[0] for r in large.collect()} - {r["node"] for r in splits}
+            nodes = nodes.filter(~F.col("node").isin(list(ended))) if ended else nodes
+        if not splits:
+            break
+        made = []
+        for node, attribute, value in splits:
+            asks[node], values[node], no[node], yes[node] = attribute, value, add(), add()
+            made.append((node, attribute, value, no[node], yes[node]))
+        table = rows.sparkSession.createDataFrame(made, "node long, asks int, value string, no long, yes long")
+        own = F.element_at(F.array(*names), F.col("asks") + 1)
+        nodes = checkpointed(nodes.join(F.broadcast(table), "node", "left").select(
+            F.when(F.col("asks").isNull(), F.col("node")).when(own == F.col("value"), F.col("yes")).otherwise(F.col("no")).alias("node"),
+            *names, "w", "s"))
+    grafts: dict[int, dict[int, tuple]] = {}
+    for node, place, attribute, value, left, right in _grow_small(nodes, names, least).collect():
+        grafts.setdefault(node, {})[place] = (attribute, value, left, right)
+    for node in sorted(grafts):
+        at = {place: node if place == 0 else add() for place in sorted(grafts[node])}
+        for place, (attribute, value, left, right) in grafts[node].items():
+            if attribute != LEAF:
+                asks[at[place]], values[at[place]], no[at[place]], yes[at[place]] = attribute, value, at[left], at[right]
+    return _numbered(asks, values, no, yes, attributes)
+
+
+def _numbered(asks: list[int], values: list[str], no: list[int], yes: list[int], attributes: list[str]) -> TreeClusters:
+    """The tree with nodes in pre-order, those who have the value after those who have not, and leaves numbered as they come."""
+    order, stack, above = [], [(0, LEAF)], []
+    while stack:
+        node, parent = stack.pop()
+        place = len(order)
+        order.append(node)
+        above.append(parent)
+        if asks[node] != LEAF:
+            stack += [(yes[node], place), (no[node], place)]
+    place_of = {node: place for place, node in enumerate(order)}
+    kids = [np.array([place_of[side[n]] if asks[n] != LEAF else LEAF for n in order], np.int64) for side in (no, yes)]
+    leaf_of, paths = np.full(len(order), LEAF), []
+    for place, node in enumerate(order):
+        if asks[node] == LEAF:
+            leaf = int(leaf_of.max()) + 1
+            leaf_of[place] = leaf
+            here, steps = place, 0
+            while here != LEAF:
+                paths.append((leaf, here, steps))
+                here, steps = above[here], steps + 1
+    return TreeClusters(np.array([asks[n] for n in order]), [values[n] or "" for n in order], *kids, attributes, leaf_of, paths)
 
 
 def rollup(rows: DataFrame, paths: DataFrame, measures: Mapping[str, str], weight: str, threshold: float,

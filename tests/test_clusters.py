@@ -38,11 +38,11 @@ def test_tree_leaves_hold_enough_sessions(rows):
     assert leaves >= set(per_leaf)
 
 
-@pytest.mark.parametrize("fit_depth", [30, 5])
-def test_tree_has_no_depth_limit(spark, fit_depth):
+@pytest.mark.parametrize("local_rows", [tree.LOCAL_ROWS, 33])
+def test_tree_has_no_depth_limit(spark, local_rows):
     data = [(f"k{i:02d}", DAY, 10 + i % 7, 0.0, (10.0 + i % 7) * (1 + i * i)) for i in range(40)]
     rows = spark.createDataFrame(data, "keyword string, utc_dt date, sessions long, leads double, revenue double")
-    model = tree.fit_tree(rows, ["keyword"], smooth_days=1, min_sessions=1, fit_depth=fit_depth)
+    model = tree.fit_tree(rows, ["keyword"], smooth_days=1, min_sessions=1, local_rows=local_rows)
     found = model.transform(rows).select("keyword", "clust").collect()
     assert len({r.clust for r in found}) == 40 and {r.clust for r in found} == set(range(40))
     ways = {}
@@ -51,7 +51,62 @@ def test_tree_has_no_depth_limit(spark, fit_depth):
     assert all(sorted(way) == list(range(len(way))) and way[max(way)] == 0 for way in ways.values())
     nodes = {node for way in ways.values() for node in way.values()}
     assert len(nodes) == 2 * 40 - 1 and len({way[0] for way in ways.values()}) == 40
-    assert max(map(len, ways.values())) > fit_depth
+    assert max(map(len, ways.values())) > 30
+
+
+def brute_tree(data, least):
+    """(weight, value sums) of the leaves of a tree over (labels, weight, value) rows, by trying every split of every node."""
+    def best(part):
+        whole, total = sum(r[1] for r in part), sum(r[2] for r in part)
+        found = []
+        for a in range(len(part[0][0])):
+            for value in sorted({r[0][a] for r in part}):
+                inside = [r for r in part if r[0][a] == value]
+                w, s = sum(r[1] for r in inside), sum(r[2] for r in inside)
+                if len(inside) < len(part) and w >= least and whole - w >= least:
+                    gain = s * s / w + (total - s) ** 2 / (whole - w) - total * total / whole
+                    found.append((round(gain, 6), -a, value))
+        top = [f for f in found if f[0] > 1e-6]
+        return min(top, key=lambda f: (-f[0], -f[1], f[2])) if top else None
+
+    done, open_ = [], [data]
+    while open_:
+        part = open_.pop()
+        split = best(part)
+        if split is None:
+            done.append(frozenset(r[0] for r in part))
+            continue
+        open_ += [[r for r in part if (r[0][-split[1]] == split[2]) == side] for side in (True, False)]
+    return set(done)
+
+
+@pytest.mark.parametrize("local_rows, clusters", [(tree.LOCAL_ROWS, None), (6, None), (6, 5), (tree.LOCAL_ROWS, 5)])
+def test_tree_equals_brute_force_over_days(spark, local_rows, clusters):
+    """The days of a combination change nothing but its sums, and where a node is grown changes nothing at all."""
+    draw = random.Random(8)
+    combos = {(f"s{a}", f"d{b}", None if c == 0 else f"k{c}"): draw.randint(1, 50) for a in range(4) for b in range(3) for c in range(3) if draw.random() < 0.9}
+    data = [(*labels, DAY + dt.timedelta(d), n + d, float(draw.randint(0, 900))) for labels, n in combos.items() for d in range(4)]
+    rows = spark.createDataFrame(data, "state string, device string, keyword string, utc_dt date, sessions long, revenue double")
+    model = tree.fit_tree(rows, ["state", "device", "keyword"], clusters, smooth_days=1, min_sessions=0, local_rows=local_rows)
+    found = {}
+    for r in model.transform(rows).select("state", "device", "keyword", "clust").distinct().collect():
+        found.setdefault(r.clust, set()).add((r.state, r.device, r.keyword or "(none)"))
+    sums = {}
+    for *labels, _, n, revenue in data:
+        key = tuple(x or "(none)" for x in labels)
+        w, s = sums.get(key, (0, 0.0))
+        sums[key] = (w + n, s + revenue)
+    least = 0.5 / clusters * sum(w for w, _ in sums.values()) if clusters else 0
+    assert {frozenset(v) for v in found.values()} == brute_tree([(k, w, s) for k, (w, s) in sums.items()], least)
+    assert set(found) == set(range(len(found)))
+
+
+def test_tree_of_nothing_and_of_unseen_values(spark, rows):
+    model = tree.fit_tree(rows.limit(0), ["state", "device"], 4)
+    assert {r.clust for r in model.transform(rows).collect()} == {0} and model.paths == [(0, 0, 0)]
+    model = tree.fit_tree(rows, ["state", "device"], min_sessions=1)
+    odd = rows.withColumn("state", F.lit("??"))
+    assert {r.clust for r in model.transform(odd).collect()} <= {leaf for leaf, _, _ in model.paths}
 
 
 def dense_rollup(leaf_days, paths, threshold, last_whole):
