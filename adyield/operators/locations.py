@@ -47,61 +47,63 @@ def carve_out_region(facts: DataFrame, listed: Sequence[str], detail: str = "dma
 # --- Welch tests -------------------------------------------------------------------------
 
 def _moments(prefix: str, value: Column, flag: Column) -> list[Column]:
+    """Count, sum, mean and squared distance from the mean: moments that merge without cancellation."""
     value = value.cast("double")
-    return [F.count("*").alias(f"{prefix}_n"), F.sum(value).alias(f"{prefix}_s1"),
-            F.sum(value * value).alias(f"{prefix}_s2"), F.sum(flag).alias(f"{prefix}_conversions")]
+    return [F.count(value).alias(f"{prefix}_n"), F.sum(value).alias(f"{prefix}_s1"), F.avg(value).alias(f"{prefix}_mean"),
+            (F.var_pop(value) * F.count(value)).alias(f"{prefix}_m2"), F.sum(F.when(value.isNotNull(), flag)).alias(f"{prefix}_conversions")]
 
 
 def welch_columns(df: DataFrame, a: str, b: str) -> DataFrame:
-    """t statistic, degrees of freedom and two-sided p value from two sides' n, sum and sum of squares."""
-    def variance(side: str) -> Column:
-        n, s1, s2 = (F.col(f"{side}_{c}") for c in ("n", "s1", "s2"))
-        return F.when(n > 1, F.greatest(s2 - s1 * s1 / n, F.lit(0.0)) / (n - 1))
-
-    out = df.withColumns({f"{s}_var": variance(s) for s in (a, b)})
-    ea, eb = F.col(f"{a}_var") / F.col(f"{a}_n"), F.col(f"{b}_var") / F.col(f"{b}_n")
-    gap = F.col(f"{a}_s1") / F.col(f"{a}_n") - F.col(f"{b}_s1") / F.col(f"{b}_n")
-    out = out.withColumns({
-        "t": F.try_divide(gap, F.sqrt(ea + eb)),
+    """t statistic, degrees of freedom and two-sided p value from two sides' n, mean and squared distance from it (m2)."""
+    def error(side: str) -> Column:
+        n = F.col(f"{side}_n")
+        return F.when(n > 1, F.greatest(F.col(f"{side}_m2"), F.lit(0.0)) / (n - 1) / n)
+
+    ea, eb = F.col(f"{a}_error"), F.col(f"{b}_error")
+    out = df.withColumns({f"{s}_error": error(s) for s in (a, b)}).withColumns({
+        "t": F.try_divide(F.col(f"{a}_mean") - F.col(f"{b}_mean"), F.sqrt(ea + eb)),
         "df": F.try_divide((ea + eb) * (ea + eb), ea * ea / (F.col(f"{a}_n") - 1) + eb * eb / (F.col(f"{b}_n") - 1))})
-    return out.withColumn("pval", t_two_sided_p(F.col("t"), F.col("df"))).drop(f"{a}_var", f"{b}_var")
-
-
-def welch_test(sample: DataFrame, is_child: Column, value: str = "revenue", flag: str = "has_conversion") -> DataFrame:
-    """Both sides' counts and rates and the test of equal means, as one row from one pass."""
-    parent = F.when(~is_child, F.col(value).cast("double"))
-    child = F.when(is_child, F.col(value).cast("double"))
-    sums = []
-    for name, v in (("parent", parent), ("child", child)):
-        sums += [F.count(v).alias(f"{name}_n"), F.sum(v).alias(f"{name}_s1"), F.sum(v * v).alias(f"{name}_s2"),
-                 F.sum(F.when(v.isNotNull(), F.col(flag))).alias(f"{name}_conversions")]
-    out = welch_columns(sample.agg(*sums), "parent", "child")
+    return out.withColumn("pval", t_two_sided_p(F.col("t"), F.col("df"))).drop(f"{a}_error", f"{b}_error")
+
+
+def welch_test(sample: DataFrame, is_child: Column, value: str = "revenue", flag: str = "has_conversion",
+               keys: Sequence[str] = ()) -> DataFrame:
+    """Both sides' counts and rates and the test of equal means, one row per ``keys``, from one pass."""
+    sides = {"parent": F.when(~is_child, F.col(value)), "child": F.when(is_child, F.col(value))}
+    sums = [m for name, v in sides.items() for m in _moments(name, v, F.col(flag))]
+    out = welch_columns(sample.groupBy(*keys).agg(*sums), "parent", "child")
     rates = {}
     for name in ("parent", "child"):
-        rates |= {f"{name}_rps": F.col(f"{name}_s1") / F.col(f"{name}_n"),
-                  f"{name}_avg_value": F.try_divide(f"{name}_s1", f"{name}_conversions"),
+        rates |= {f"{name}_avg_value": F.try_divide(f"{name}_s1", f"{name}_conversions"),
                   f"{name}_conv_rate": F.col(f"{name}_conversions") / F.col(f"{name}_n")}
     return out.withColumns(rates).withColumnsRenamed({
-        "parent_n": "parent_sessions", "child_n": "child_sessions", "parent_s1": "parent_revenue",
-        "child_s1": "child_revenue"}).drop("parent_s2", "child_s2")
+        f"{side}_{old}": f"{side}_{new}" for side in ("parent", "child")
+        for old, new in (("n", "sessions"), ("s1", "revenue"), ("mean", "rps"))}).drop("parent_m2", "child_m2")
 
 
 def location_exemptions(facts: DataFrame, parent: Sequence[str], child: Sequence[str], min_conversions: int = 200,
                         max_p: float | None = 0.05) -> DataFrame:
     """Every eligible child place against the rest of its parent.
 
-    One aggregate per child place; a parent's totals are summed from its children and the rest is
-    total minus child, so no pair of places re-reads the sessions.
+    One aggregate per child place; a parent's moments are merged from its children's and the rest is total minus child, on
+    distances from the mean, so no pair of places re-reads the sessions and a mean far from zero costs no digits.
     """
     children = facts.groupBy(*parent, *child).agg(*_moments("child", F.col("revenue"), F.col("has_conversion")))
-    totals = children.groupBy(*parent).agg(*[F.sum(f"child_{c}").alias(f"all_{c}") for c in ("n", "s1", "s2")])
-    pairs = children.filter(F.col("child_conversions") >= min_conversions).join(totals, list(parent)).withColumns({
-        f"parent_{c}": F.col(f"all_{c}") - F.col(f"child_{c}") for c in ("n", "s1", "s2")})
-    tested = welch_columns(pairs.filter(F.col("parent_n") >= min_conversions), "parent", "child")
+    whole = Window.partitionBy(*parent)
+    n, mean, m2 = (F.col(f"child_{c}") for c in ("n", "mean", "m2"))
+    merged = children.withColumns({"all_n": F.sum(n).over(whole), "near": F.min(mean).over(whole)}) \
+        .withColumn("all_mean", F.col("near") + F.sum(n * (mean - F.col("near"))).over(whole) / F.col("all_n")) \
+        .withColumn("all_m2", F.sum(m2 + n * F.pow(mean - F.col("all_mean"), F.lit(2.0))).over(whole))
+    gap = F.col("all_mean") - mean
+    pairs = merged.filter(F.col("child_conversions") >= min_conversions).withColumn("parent_n", F.col("all_n") - n) \
+        .filter(F.col("parent_n") >= min_conversions).withColumns({
+            "parent_mean": F.col("all_mean") + F.try_divide(gap * n, F.col("parent_n")),
+            # the two means lie gap * all / rest apart
+            "parent_m2": F.col("all_m2") - m2 - F.try_divide(gap * gap * n * F.col("all_n"), F.col("parent_n"))})
+    tested = welch_columns(pairs, "parent", "child")
     if max_p is not None:
         tested = tested.filter(F.col("pval") <= max_p)
-    return tested.select(*parent, *child, (F.col("parent_s1") / F.col("parent_n")).alias("parent_rps"),
-                         (F.col("child_s1") / F.col("child_n")).alias("child_rps"), "t", "df", "pval")
+    return tested.select(*parent, *child, F.col("parent_mean").alias("parent_rps"), F.col("child_mean").alias("child_rps"), "t", "df", "pval")
 
 
 # --- ranks and buckets -------------------------------------------------------------------

@@ -63,12 +63,27 @@ SELECT DATE '{CALC_DATE}' AS calc_date, o_orderstatus, o_orderpriority, count(*)
   CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders GROUP BY ALL""")
 
 
+def _dated_outputs(spark, sf):
+    """Output files of two dates, one folder per status, of which the later date is read back."""
+    path = place(spark, "outputs")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for date, part in ((CALC_DATE, orders), ("2024-05-30", orders.filter("o_orderkey % 2 = 0"))):
+        part.write.partitionBy("o_orderstatus").option("header", True).csv(f"{path}/{date}-written")
+        sinks.name_outputs(spark, f"{path}/{date}-written", f"{path}/outputs", date)
+    back = scans.read_dated_outputs(spark, f"{path}/outputs", CALC_DATE, "o_orderkey bigint, o_custkey bigint")
+    return back.groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+register("files_dated_outputs", _dated_outputs, """
+SELECT o_custkey, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1""")
+
+
 def _appended(spark, sf):
     path = place(spark, "appended")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    sinks.append_table(orders, path)
-    sinks.append_table(orders, path)
-    return spark.read.parquet(path).groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+    for run in ("first", "second", "second"):
+        sinks.append_table(orders, path, run)
+    return sinks.read_table(spark, path).groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
 
 
 register("files_appended", _appended, """
@@ -79,14 +94,19 @@ def _replaced(spark, sf):
     path = place(spark, "replaced")
     sinks.replace_files(table(spark, sf, "part").select(F.col("p_partkey").alias("key")), path)
     sinks.replace_files(table(spark, sf, "customer").select(F.col("c_custkey").alias("key")), path)
-    return spark.read.parquet(path)
+    return sinks.read_table(spark, path)
 
 
 register("files_replaced", _replaced, "SELECT c_custkey AS key FROM customer")
 
-register("table_rebuilt", lambda spark, sf: sinks.rebuild_table(
-    table(spark, sf, "orders").select("o_orderkey"), f"rebuilt_{uuid.uuid4().hex}"),
-    "SELECT count(*) AS num_records FROM orders")
+def _rebuilt(spark, sf):
+    name = f"rebuilt_{uuid.uuid4().hex}"
+    stored = sinks.rebuild_table(table(spark, sf, "orders").select("o_orderkey"), name).first()["num_records"]
+    spark.sql(f"DROP TABLE {name}")
+    return spark.range(1).select(F.lit(stored).cast("long").alias("num_records"))
+
+
+register("table_rebuilt", _rebuilt, "SELECT count(*) AS num_records FROM orders")
 
 
 def _head(spark, sf):

@@ -162,6 +162,18 @@ register("policy_premiums", lambda spark, sf: premiums(spark, sf).withColumns({
     with_views(VIEWS, "SELECT * EXCLUDE (over_on, term) REPLACE (strftime(datetime_created, '%Y-%m-%d') AS datetime_created) FROM premium", PREMIUM),
     f"{BASE_DIGITS} {ADDON_DIGITS} child_age_average:7")
 
+def premiums_but_listed(spark, sf):
+    """Without the policies of a given list of ids."""
+    ids = [r[0] for r in view(spark, sf, "applications").filter("app_pid % 97 = 5").select("app_pid").distinct().collect()]
+    return lifetime.policy_premiums(view(spark, sf, "applications"), view(spark, sf, "policy_members"), excluded=ids)
+
+
+register("policy_premiums_but_listed", lambda spark, sf: premiums_but_listed(spark, sf).withColumns({
+    "datetime_created": F.date_format("datetime_created", "yyyy-MM-dd"),
+    "app_last_modified": F.date_format("app_last_modified", "yyyy-MM-dd")}),
+    with_views(VIEWS, "SELECT * EXCLUDE (over_on, term) REPLACE (strftime(datetime_created, '%Y-%m-%d') AS datetime_created) FROM premium WHERE app_pid % 97 <> 5", PREMIUM),
+    f"{BASE_DIGITS} {ADDON_DIGITS} child_age_average:7")
+
 # --- fees --------------------------------------------------------------------------------
 FEE_IDS = ["carrier_code", "is_partner", "state_code"]
 MONTHS = {f"m_2019_{m:02d}": f"2019-{m:02d}-01" for m in range(1, 7)}

@@ -83,15 +83,15 @@ register("exemptions_dma", lambda spark, sf: loc.location_exemptions(
     facts(spark, sf), ["product", "state_code"], ["dma_state"], 20, 0.5), with_views(
     GEO, f"SELECT * FROM ({tests_sql('product, state_code', 'dma_state', 20)}) WHERE pval <= 0.5", FACTS), TEST_DIGITS)
 register("welch_test_state", lambda spark, sf: loc.welch_test(
-    facts(spark, sf).filter("product = 'HEALTH'"), F.col("state_code") == "CA"), with_views(GEO, f"""
-SELECT n1 AS parent_sessions, s1 AS parent_revenue, CAST(c1 AS BIGINT) AS parent_conversions, n2 AS child_sessions, s2 AS child_revenue,
+    facts(spark, sf), F.col("state_code") == "CA", keys=["product"]), with_views(GEO, f"""
+SELECT product, n1 AS parent_sessions, s1 AS parent_revenue, CAST(c1 AS BIGINT) AS parent_conversions, n2 AS child_sessions, s2 AS child_revenue,
   CAST(c2 AS BIGINT) AS child_conversions, t, df, {PVALUE} AS pval, m1 AS parent_rps, s1 / c1 AS parent_avg_value, c1 / n1 AS parent_conv_rate,
   m2 AS child_rps, s2 / c2 AS child_avg_value, c2 / n2 AS child_conv_rate
 FROM (SELECT *, (m1 - m2) / sqrt(v1 / n1 + v2 / n2) AS t, pow(v1 / n1 + v2 / n2, 2) / (pow(v1 / n1, 2) / (n1 - 1) + pow(v2 / n2, 2) / (n2 - 1)) AS df
-  FROM (SELECT """ + ", ".join(f"count(*) FILTER (state_code {op} 'CA') AS n{i}, sum(revenue) FILTER (state_code {op} 'CA') AS s{i}, "
+  FROM (SELECT product, """ + ", ".join(f"count(*) FILTER (state_code {op} 'CA') AS n{i}, sum(revenue) FILTER (state_code {op} 'CA') AS s{i}, "
                                f"sum(has_conversion) FILTER (state_code {op} 'CA') AS c{i}, avg(revenue) FILTER (state_code {op} 'CA') AS m{i}, "
                                f"var_samp(revenue) FILTER (state_code {op} 'CA') AS v{i}" for i, op in ((1, "<>"), (2, "="))) +
-    " FROM facts WHERE product = 'HEALTH'))", FACTS),
+    " FROM facts GROUP BY product))", FACTS),
     "parent_revenue:4 child_revenue:4 t:7 df:6 pval:6 parent_rps:8 parent_avg_value:8 parent_conv_rate:9 child_rps:8 child_avg_value:8 child_conv_rate:9")
 
 STATE = stats_sql("product, state_code", 1)
@@ -149,7 +149,7 @@ SELECT dma_state, rps, CAST((row_number() OVER (ORDER BY rps DESC, dma_state) -
 
 def split_rows(spark, sf, early: bool):
     rows = ordered.bag_positions(deduplicate_sessions(zip_rows(spark, sf)), "date", "revenue", keys=["product"])
-    return rows.filter("product = 'HEALTH'").filter("date <= '2024-01-20'" if early else "date > '2024-01-20'")
+    return rows.filter("date <= '2024-01-20'" if early else "date > '2024-01-20'")
 
 
 register("groups_balanced_split", lambda spark, sf: loc.balanced_split(split_rows(spark, sf, True), ["500NY", "502CO"], 2, 1).select(

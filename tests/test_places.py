@@ -101,3 +101,19 @@ def test_density_integrates_to_one(spark):
 def test_histogram_counts_every_row(facts):
     rows = loc.histogram(facts, "revenue", 10).collect()
     assert sum(r["n"] for r in rows) == 1500 and max(r["bin"] for r in rows) == 9
+
+
+def test_moments_far_from_zero(spark):
+    """Values of about 1e8 with a variance of about 1: exemptions and tests as from the values less 1e8."""
+    draw = np.random.default_rng(4)
+    rows = [("P", "m", f"c{i % 3}", float(v + i % 3 / 10), 1) for i, v in enumerate(draw.normal(size=600).round(6))]
+    near = spark.createDataFrame(rows, "product string, dma_state string, city string, revenue double, has_conversion int")
+    far = near.withColumn("revenue", F.col("revenue") + 1e8)
+    for find in (lambda f: loc.location_exemptions(f, ["product", "dma_state"], ["city"], 1, None).orderBy("city"),
+                 lambda f: loc.welch_test(f, F.col("city") == "c1", keys=["product"])):
+        for a, b in zip(find(near).collect(), find(far).collect()):
+            assert [a["t"], a["df"], a["pval"]] == pytest.approx([b["t"], b["df"], b["pval"]], rel=2e-6, abs=2e-6)
+    by_city = {r["city"]: r for r in loc.location_exemptions(far, ["product", "dma_state"], ["city"], 1, None).collect()}
+    for city, row in by_city.items():
+        t, p = welch([r[3] for r in rows if r[2] != city], [r[3] for r in rows if r[2] == city])
+        assert row["t"] == pytest.approx(t, rel=2e-6, abs=2e-6) and row["pval"] == pytest.approx(p, rel=2e-6)

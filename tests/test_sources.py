@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from adyield.operators import campaigns as cp, geo, joins
@@ -51,14 +52,75 @@ def test_dated_files_round_trip(spark, tmp_path):
     assert scans.read_dated_outputs(spark, str(tmp_path), "2024-01-31", schemas.KEYWORD_BIDS).count() == 2
 
 
+def boom(value):
+    raise RuntimeError("lost")
+
+
+def test_dead_and_repeated_writes_leave_one_copy(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    failing = spark.range(3).select(F.udf(boom, "long")("id").alias("id"))
+    with pytest.raises(FileNotFoundError):
+        sinks.read_table(spark, path)
+    assert sinks.read_table(spark, path, "id long").count() == 0
+    sinks.append_table(spark.range(5), path, "monday")
+    # dies while writing, and between writing and commit
+    with pytest.raises(Exception, match="lost"):
+        sinks.append_table(failing, path, "tuesday")
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace_files(failing, path, "wednesday")
+    sinks.stage_run(spark.range(7), path, "tuesday")
+    assert sinks.read_table(spark, path).count() == 5
+    before = sinks.read_table(spark, path)
+    for _ in range(2):
+        sinks.append_table(spark.range(2), path, "tuesday")
+        sinks.append_table(spark.range(5), path, "monday")
+    assert sinks.read_table(spark, path).count() == 7 and before.count() == 5
+    sinks.replace_files(spark.range(4), path, "thursday")
+    sinks.replace_files(spark.range(4), path, "thursday")
+    assert sinks.read_table(spark, path).count() == 4 and before.count() == 5
+    assert sinks.drop_stale_runs(spark, path) == 3 and sinks.read_table(spark, path).count() == 4
+
+
+def test_two_writers_lose_no_run(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+    newest, other = sinks._newest, iter(["rival"])
+
+    def late(folder):
+        found = newest(folder)
+        for run in other:
+            sinks.append_table(spark.range(3), path, run)
+        return found
+
+    sinks.stage_run(spark.range(2), path, "own")
+    folder = sinks._Folder(spark, path)
+    monkeypatch.setattr(sinks, "_newest", late)
+    sinks._commit(folder, "own", replace=False)
+    assert sorted(newest(folder)[1]) == ["own", "rival"] and sinks.read_table(spark, path).count() == 5
+
+
+def test_failed_dated_write_and_rebuild_keep_the_old(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    rows = spark.range(4).select("id", (F.col("id") % 2).alias("part"))
+    sinks.write_dated_csv(rows, path, "2024-01-31", "part")
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_dated_csv(rows.select(F.udf(boom, "long")("id").alias("id"), "part"), path, "2024-01-31", "part")
+    assert spark.read.option("header", True).csv(path).count() == 4
+    sinks.write_dated_csv(rows.limit(3), path, "2024-01-31", "part")
+    assert spark.read.option("header", True).csv(path).count() == 3
+    sinks.rebuild_table(rows, "kept_table")
+    with pytest.raises(Exception, match="lost"):
+        sinks.rebuild_table(rows.select(F.udf(boom, "long")("id").alias("id")), "kept_table")
+    assert spark.table("kept_table").count() == 4
+
+
 def test_append_rebuild_replace_and_head(spark, tmp_path):
     df = spark.range(5)
     path = str(tmp_path / "t")
     sinks.append_table(df, path)
     sinks.append_table(df, path)
-    assert spark.read.parquet(path).count() == 10
+    assert sinks.read_table(spark, path).count() == 10
     sinks.replace_files(df, path)
-    assert spark.read.parquet(path).count() == 5
+    assert sinks.read_table(spark, path).count() == 5
     assert sinks.rebuild_table(df, "rebuilt").first()["num_records"] == 5
     scans.table_head(df, str(tmp_path / "head"), 3)
     assert spark.read.option("header", True).csv(str(tmp_path / "head")).count() == 3
