@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -81,7 +81,8 @@ def _times(array, factor: float):
 
 def _gram_root(vectors: DataFrame) -> np.ndarray:
     """Symmetric square root of the curves' Gram matrix (days x days, summed on the executors)."""
-    matrix = RowMatrix(vectors.select("v").rdd.map(lambda r: Vectors.dense(r[0]))).computeGramianMatrix().toArray()
+    dense = MLUtils.convertVectorColumnsFromML(vectors.select(array_to_vector("v").alias("v")), "v")
+    matrix = RowMatrix(dense).computeGramianMatrix().toArray()
     values, basis = np.linalg.eigh(matrix)
     return (basis * np.sqrt(np.clip(values, 0.0, None))) @ basis.T
 

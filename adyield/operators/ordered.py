@@ -47,25 +47,50 @@ def bag_sessions(sessions: DataFrame, parts: int | None = None) -> DataFrame:
     return running_total(rows, converted, "bag_id", ["creation_date", "session_id"], parts=parts)
 
 
-def bag_kpis(sessions: DataFrame, parts: int | None = None) -> DataFrame:
-    """Per UTC date and quarter hour: sessions and the sums of their bags' lead and revenue rates.
+def bag_step(sessions: DataFrame, state: DataFrame | None = None, parts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Carry bags on by the sessions after those seen so far: what the bags that closed add to their slots, and the new state.
 
-    Bag figures are combined from (bag, slot) totals: a long bag is never gathered row by row.
+    The state is the bag still open, as its (bag, slot) totals: sessions, conversions and revenue units. A bag's figures are known
+    when the next one begins, so earlier sessions are never read or sorted again.
     """
     converted = (F.col("revenue_units") > 0).cast("long")
     pieces = bag_sessions(sessions, parts).groupBy(
         "bag_id", F.to_date("creation_date").alias("date"), quarter_hour(F.col("creation_date")).alias("hour")).agg(
         F.count("*").alias("n"), F.sum(converted).alias("leads"), F.sum("revenue_units").alias("units"))
+    if state is not None:
+        seen = F.coalesce(state.agg(F.max("bag_id")).scalar(), F.lit(0).cast("long"))
+        pieces = pieces.withColumn("bag_id", F.col("bag_id") + seen).union(state.select(pieces.columns)) \
+            .groupBy("bag_id", "date", "hour").agg(*[F.sum(c).alias(c) for c in ("n", "leads", "units")])
+    pieces = checkpointed(pieces)
+    last = pieces.agg(F.max("bag_id")).scalar()
+    return _slot_sums(pieces.filter(F.col("bag_id") < last)), pieces.filter(F.col("bag_id") == last)
+
+
+def _slot_sums(pieces: DataFrame) -> DataFrame:
+    """What bags add to their slots. Bag figures are combined from (bag, slot) totals: a long bag is never gathered row by row."""
     bags = pieces.groupBy("bag_id").agg(
-        (F.sum("leads") / F.sum("n")).alias("bag_lpc"),
-        (F.sum("units") / F.lit(10000.0) / F.sum("n")).alias("bag_rpc"))
-    slots = pieces.join(bags, "bag_id").groupBy("date", "hour").agg(
+        (F.sum("leads") / F.sum("n")).alias("bag_lpc"), (F.sum("units") / F.lit(10000.0) / F.sum("n")).alias("bag_rpc"))
+    return pieces.join(bags, "bag_id").groupBy("date", "hour").agg(
         F.sum("n").alias("clicks_num"), F.sum(F.col("n") * F.col("bag_lpc")).alias("leads_num"),
         F.sum(F.col("n") * F.col("bag_rpc")).alias("rev_sum"))
+
+
+def bag_report(closed: DataFrame, state: DataFrame) -> DataFrame:
+    """Slots from the sums of every step (their union) and the bag still open.
+
+    Slots are numbered in one task: there are at most 96 a day.
+    """
+    sums = [F.sum(c).alias(c) for c in ("clicks_num", "leads_num", "rev_sum")]
+    slots = closed.union(_slot_sums(state)).groupBy("date", "hour").agg(*sums)
     indexed = F.row_number().over(Window.orderBy("date", "hour")) - 1
     return slots.withColumns({"rev_avg": F.col("rev_sum") / F.col("clicks_num"), "int_ix": indexed})
 
 
+def bag_kpis(sessions: DataFrame, parts: int | None = None) -> DataFrame:
+    """Per UTC date and quarter hour: sessions and the sums of their bags' lead and revenue rates."""
+    return bag_report(*bag_step(sessions, None, parts))
+
+
 def bag_positions(df: DataFrame, ts: str, revenue: str, tie: str = "session_id", keys: Sequence[str] = (),
                   parts: int | None = None) -> DataFrame:
     """Position of each row since the last conversion before it; rows up to the first conversion go.

@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adyield.functions.distributions import t_upper_quantile
-from adyield.operators.ordered import running_total
 from adyield.operators.sessions import uniform_draw
 
+#: Parts that rows are numbered in; their sizes go through one task.
+PARTS = 1_024
 
-def numbered(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows with a gap-free 0-based number in a global order."""
-    return running_total(df, F.lit(1).cast("long"), "row_number", order).withColumn("row_number", F.col("row_number") - 1)
+
+def numbered(df: DataFrame, order: Sequence[str], parts: int = PARTS) -> DataFrame:
+    """Rows with a gap-free 0-based number: parts follow one another, within one rows go by ``order``.
+
+    A row's part is a hash of its order columns, so nothing is sorted across parts; the parts' sizes, of which there are
+    ``parts`` at most, tell where each begins.
+    """
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in order])
+    part = F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(parts)).cast("int")
+    rows = df.withColumn("part", part)
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(*order)).cast("long")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = rows.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begins"))
+    return rows.withColumn("inside", inside).join(F.broadcast(begins), "part") \
+        .withColumn("row_number", F.col("begins") + F.col("inside") - 1).drop("part", "inside", "begins")
 
 
 def draw_rows(sample: DataFrame, draws: DataFrame, rows: int) -> DataFrame:

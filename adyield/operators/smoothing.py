@@ -9,11 +9,15 @@ so a whole chain of passes over thousands of series costs one shuffle and no joi
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adyield.functions.numeric import floor_to_twentieth
+from adyield.session import checkpointed
 
 # out column -> (value column, weight column or None)
 Targets = Mapping[str, tuple[str, str | None]]
@@ -234,3 +238,84 @@ def smoothing_spline(df: DataFrame, keys: Sequence[str], index: str, column: str
     rebuilt = _fold(shrunk.withColumn("at", grid), keys, "at", F.col("freq") == F.col("at"), kept,
                     {out: F.sum(F.col("c") * basis)})
     return rebuilt.select(*keys, *kept, out)
+
+
+def _spline_basis(u: Column, degree: int) -> list[Column]:
+    """The ``degree`` + 1 B-splines that are not zero at place ``u`` (0 to 1) of a segment between even knots."""
+    basis = [F.lit(1.0)]
+    for d in range(1, degree + 1):
+        basis = [((u + F.lit(float(d - j))) * basis[j - 1] / d if j else F.lit(0.0))
+                 + ((F.lit(float(j + 1)) - u) * basis[j] / d if j < d else F.lit(0.0)) for j in range(d + 1)]
+    return basis
+
+
+def _segment(at: Column, low: Column, high: Column, segments: Column) -> tuple[Column, Column]:
+    """Segment that a place lies in, and how far through; the last place ends the last segment."""
+    scaled = F.coalesce(F.try_divide((at - low) * segments, high - low), F.lit(0.0))
+    number = F.least(F.floor(scaled), segments - 1).cast("int")
+    return number, scaled - number
+
+
+def regression_spline(df: DataFrame, keys: Sequence[str], index: str, column: str, out: str, degree: int = 3,
+                      squared_error: float = 0.0, rungs: int = 10) -> DataFrame:
+    """The spline of ``degree`` with the fewest even segments whose squared error against the series stays within ``squared_error``.
+
+    Segments are doubled up to 2 ** ``rungs`` and to as many coefficients as there are places; where none is close enough the closest
+    counts. Normal equations are banded and summed per segment, so a series may have any number of rows, also several at a place;
+    only its coefficients, never its rows, come together in one task. Rows without a place or value do not count; a row without a
+    place gets no value.
+    """
+    if not 0 <= degree <= 5:
+        raise ValueError("degree must be 0 to 5")
+    keys, width = list(keys), degree + 1
+    names = [f"k{i}" for i in range(len(keys))]
+    plain = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(index).cast("double").alias("x"), F.col(column).cast("double").alias("y")) \
+        .filter("x is not null and y is not null")
+    span = plain.groupBy(*names, "x").agg(F.count("y").alias("n")).groupBy(*names).agg(
+        F.min("x").alias("low"), F.max("x").alias("high"), F.count("*").alias("places"))
+    span = checkpointed(span)
+
+    def attach(rows: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
+        facts = facts.withColumnsRenamed({n: f"f_{n}" for n in names})
+        on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"f_{n}")) for n in names], F.lit(True))
+        return rows.join(facts, on, how).drop(*[f"f_{n}" for n in names])
+
+    number, part = _segment(F.col("x"), F.col("low"), F.col("high"), F.pow(F.lit(2.0), F.col("rung")))
+    ladder = F.filter(F.sequence(F.lit(0), F.lit(rungs)), lambda r: (r == 0) | (F.pow(F.lit(2.0), r) + degree <= F.col("places")))
+    placed = attach(plain, span).withColumn("rung", F.explode(ladder)).select(*names, "rung", number.alias("segment"), part.alias("u"), "y")
+    placed = placed.select(*names, "rung", "segment", "y", *[b.alias(f"b{j}") for j, b in enumerate(_spline_basis(F.col("u"), degree))])
+    squares = [(i, j) for i in range(width) for j in range(i, width)]
+    sums = placed.groupBy(*names, "rung", "segment").agg(
+        F.sum(F.col("y") * F.col("y")).alias("yy"), *[F.sum(F.col(f"b{i}") * F.col("y")).alias(f"y{i}") for i in range(width)],
+        *[F.sum(F.col(f"b{i}") * F.col(f"b{j}")).alias(f"s{i}_{j}") for i, j in squares])
+
+    def solve(table: pa.Table) -> pa.Table:
+        rung = table.column("rung")[0].as_py()
+        size = 2 ** rung + degree
+        matrix, right = np.zeros((size, size)), np.zeros(size)
+        at = table.column("segment").to_numpy()
+        for i in range(width):
+            np.add.at(right, at + i, table.column(f"y{i}").to_numpy())
+        for i, j in squares:
+            value = table.column(f"s{i}_{j}").to_numpy()
+            np.add.at(matrix, (at + i, at + j), value)
+            if i != j:
+                np.add.at(matrix, (at + j, at + i), value)
+        # an empty stretch leaves coefficients open: the smallest ones then
+        found = np.linalg.lstsq(matrix, right, rcond=1e-12)[0]
+        lost = max(0.0, float(table.column("yy").to_numpy().sum() - 2 * found @ right + found @ matrix @ found))
+        head = {n: table.column(n).slice(0, 1) for n in names}
+        return pa.table({**head, "rung": pa.array([rung], pa.int32()), "lost": pa.array([lost]), "found": pa.array([found.tolist()], pa.list_(pa.float64()))})
+
+    kinds = "".join(f"{n} {plain.schema[n].dataType.simpleString()}, " for n in names)
+    fitted = sums.groupBy(*names, "rung").applyInArrow(solve, f"{kinds}rung int, lost double, found array<double>")
+    enough = F.col("lost") <= F.lit(float(squared_error) + 1e-9)
+    best = fitted.groupBy(*names).agg(F.min_by(F.struct("rung", "found"), F.struct(
+        (~enough).cast("int").alias("short"), F.when(enough, F.col("rung")).otherwise(F.lit(0)).alias("first"), F.when(enough, 0.0).otherwise(F.col("lost")).alias("error"),
+        F.col("rung").alias("tie"))).alias("best"))
+    facts = attach(span, best).select(*names, "low", "high", "best.rung", "best.found")
+    rows = df.select(F.struct("*").alias("row"), *[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(index).cast("double").alias("x"))
+    curve = attach(rows, facts, "left").withColumns({"segment": number, "u": part})
+    value = reduce(lambda a, b: a + b, [F.try_element_at("found", F.col("segment") + F.lit(j + 1)) * b for j, b in enumerate(_spline_basis(F.col("u"), degree))])
+    value = F.when(F.col("x").isNotNull(), value)
+    return curve.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns], value.alias(out))

@@ -77,11 +77,17 @@ def weekly_schedule(curves: DataFrame, keys: Sequence[str], day: str, hour: str,
 
 
 def spline_schedule(series: DataFrame, keys: Sequence[str], rps_error: float, sessions_error: float,
-                    scales: Sequence[float] = (0.75, 0.5, 0.25)) -> DataFrame:
-    """Clipped, spline-smoothed slot modifiers in 0.05 steps with damped variants, Monday first."""
-    clipped = sm.clip_quantiles(series, keys, "rps", 0.001, 0.999)
-    curve = sm.smoothing_spline(clipped, keys, "int_ix", "rps", "rps_spline", rps_error)
-    curve = sm.smoothing_spline(curve, keys, "int_ix", "sessions", "sessions_spline", sessions_error)
+                    scales: Sequence[float] = (0.75, 0.5, 0.25), degree: int | None = None) -> DataFrame:
+    """Clipped, spline-smoothed slot modifiers in 0.05 steps with damped variants, Monday first.
+
+    With ``degree`` the curves are splines of that degree with the fewest segments, else the smoothest curves within the bounds.
+    """
+    curve = sm.clip_quantiles(series, keys, "rps", 0.001, 0.999)
+    for column, error in (("rps", rps_error), ("sessions", sessions_error)):
+        if degree is None:
+            curve = sm.smoothing_spline(curve, keys, "int_ix", column, f"{column}_spline", error)
+        else:
+            curve = sm.regression_spline(curve, keys, "int_ix", column, f"{column}_spline", degree, error)
     week = Window.partitionBy(*keys)
     mean = F.sum(F.col("sessions_spline") * F.col("rps_spline")).over(week) / F.sum("sessions_spline").over(week)
     curve = curve.withColumn("rps_mean", mean).withColumn("modifier", F.col("rps_spline") / F.col("rps_mean"))

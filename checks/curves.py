@@ -295,5 +295,19 @@ SELECT s.product, s.int_ix, sum(c / (1 + pow(2, rung / 4.0) * g) * (CASE WHEN f
 FROM spl_n s JOIN spl_c c ON c.product = s.product JOIN spl_b b ON b.product = s.product GROUP BY 1, 2""",
                f"{SERIES},\n{SPLINE}"), "rps_spline:6")
 
+# of degree 0 a spline is the mean of each segment
+register("regression_spline_means", lambda spark, sf: sm.regression_spline(
+    series(spark, sf), ["product"], "int_ix", "rps", "rps_means", 0, 60000.0).select("product", "int_ix", "rps_means"),
+    with_views(GEO, """
+SELECT product, int_ix, avg(y) OVER (PARTITION BY product, rung, segment) AS rps_means
+FROM rung_rows JOIN (SELECT product, min(rung) AS rung FROM (
+  SELECT product, rung, sum(pow(y - mean, 2)) AS lost FROM (SELECT *, avg(y) OVER (PARTITION BY product, rung, segment) AS mean FROM rung_rows) GROUP BY 1, 2)
+  WHERE lost <= 60000 GROUP BY 1) USING (product, rung)""", f"""{SERIES},
+rung_rows AS MATERIALIZED (SELECT product, int_ix, y, rung, least(CAST(floor((int_ix - low) * pow(2, rung) / (high - low)) AS INT), CAST(pow(2, rung) AS INT) - 1) AS segment
+  FROM (SELECT product, int_ix, CAST(rps AS DOUBLE) AS y, min(int_ix) OVER (PARTITION BY product) AS low, max(int_ix) OVER (PARTITION BY product) AS high,
+    count(*) OVER (PARTITION BY product) AS places FROM series) CROSS JOIN (SELECT unnest(range(11)) AS rung) WHERE rung = 0 OR pow(2, rung) <= places)"""), "rps_means:6")
+register("tod_spline_of_degree", lambda spark, sf: schedules.spline_schedule(series(spark, sf), ["product"], 60000.0, 3000.0, degree=3).select(
+    "product", "dayofweek", "hourofday", "modifier", "modifier_75", "modifier_5", "modifier_25", "baseline"))
+
 register("tod_spline_schedule", lambda spark, sf: schedules.spline_schedule(series(spark, sf), ["product"], 60000.0, 3000.0).select(
     "product", "dayofweek", "hourofday", "modifier", "modifier_75", "modifier_5", "modifier_25", "baseline"))

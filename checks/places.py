@@ -176,7 +176,7 @@ register("resampled_histogram", lambda spark, sf: sampling.resampled_counts(
 SELECT band, count(*) AS n
 FROM (SELECT CAST(floor({drawn('draw', 7)} * (SELECT count(*) FROM lead_score_sample)) AS BIGINT) AS place
   FROM (SELECT unnest(range(100000)) AS draw))
-JOIN (SELECT row_number() OVER (ORDER BY row_id) - 1 AS place, round_even(lead_score, 1) AS band FROM lead_score_sample) USING (place)
+JOIN (SELECT row_number() OVER (ORDER BY ('0x' || substr(md5(CAST(row_id AS VARCHAR)), 1, 8))::BIGINT % 1024, row_id) - 1 AS place, round_even(lead_score, 1) AS band FROM lead_score_sample) USING (place)
 GROUP BY 1"""), "band:3")
 
 DAILY = daily_sql("campaign_id, state, device, keyword, utc_dt", f"{DEVICE} AS device")

@@ -158,3 +158,52 @@ def test_weekly_schedule_starts_on_monday(spark):
     week = schedules.weekly_schedule(df, [], "weekday", "hourofday", "hourfraction", "modifier").first()["schedule"]
     assert (len(week), len(week[0]), len(week[0][0])) == (7, 24, 4)
     assert week[0][0][0] == 1000.0 and week[6][5] == [50.0, 51.0, 52.0, 53.0]
+
+
+def even_basis(x, low, high, segments, degree):
+    """B-splines on even knots by their recursion, as a dense matrix."""
+    at = np.clip((x - low) / (high - low) * segments, 0, None) if high > low else np.zeros_like(x)
+    number = np.minimum(np.floor(at), segments - 1)
+    knots = np.arange(-degree, segments + degree + 1)
+    basis = np.array([[float(n == k) for k in knots[:-1]] for n in number])
+    for d in range(1, degree + 1):
+        basis = np.stack([(at - knots[j]) / d * basis[:, j] + (knots[j + d + 1] - at) / d * basis[:, j + 1] for j in range(basis.shape[1] - 1)], axis=1)
+    return basis
+
+
+@pytest.mark.parametrize("degree", [0, 1, 2, 3, 5])
+def test_regression_spline_equals_least_squares(spark, degree):
+    """Two series, one with several rows a place and gaps, against dense least squares on the same knots."""
+    draw = np.random.default_rng(degree)
+    rows, bound = [], 6.0
+    for key, x in (("a", np.arange(90.0)), (None, np.sort(draw.choice(200, 150)).astype(float))):
+        rows += [(key, float(i), float(np.sin(i / 15) * 3 + draw.normal(scale=0.2))) for i in x]
+    df = spark.createDataFrame(rows + [("a", None, 1.0), ("a", 3.0, None), ("c", None, None)], "k string, ix double, y double")
+    out = sm.regression_spline(df, ["k"], "ix", "y", "s", degree, bound)
+    assert out.columns == ["k", "ix", "y", "s"] and out.count() == len(rows) + 3
+    got = [tuple(r) for r in out.collect()]
+    assert all(s is None for k, x, _, s in got if x is None or k == "c")
+    for key in ("a", None):
+        x, y, s = (np.array(v) for v in zip(*[(x, y, s) for k, x, y, s in got if k == key and x is not None and y is not None]))
+        places = len(set(x))
+        for rung in range(11):
+            if rung and 2 ** rung + degree > places:
+                break
+            basis = even_basis(x, x.min(), x.max(), 2 ** rung, degree)
+            want = basis @ np.linalg.lstsq(basis, y, rcond=None)[0]
+            if ((want - y) ** 2).sum() <= bound:
+                break
+        assert s == pytest.approx(want, abs=1e-5)
+
+
+def test_closest_spline_where_none_is_close_enough(spark):
+    y = np.random.default_rng(2).normal(size=40)
+    got = values_of(sm.regression_spline(series(spark, y), ["k"], "ix", "y", "s", 1, 1e-3, rungs=2), "s")
+    basis = even_basis(np.arange(40.0), 0, 39, 4, 1)
+    assert got == pytest.approx(basis @ np.linalg.lstsq(basis, y, rcond=None)[0], abs=1e-8)
+    alone = spark.createDataFrame([("k", 7, 2.5)], "k string, ix int, y double")
+    assert sm.regression_spline(alone, ["k"], "ix", "y", "s").first()["s"] == pytest.approx(2.5)
+    assert sm.regression_spline(alone.limit(0), ["k"], "ix", "y", "s").count() == 0
+    assert sm.regression_spline(alone, [], "ix", "y", "s", 2).first()["s"] == pytest.approx(2.5)
+    with pytest.raises(ValueError):
+        sm.regression_spline(alone, ["k"], "ix", "y", "s", 6)

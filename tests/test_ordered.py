@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -104,3 +105,25 @@ def test_levels_without_narrower_one_add_up(spark):
     stacked = rates.stack_levels(facts, ["camp", "kw"], ["day"], ["cmp"], F.lit(1.0))
     got = {(r["kw"], r["level"]): (r["clicks"], r["rev"]) for r in stacked.collect()}
     assert got[("x", 0)] == (2.0, 1.0) and got[("x", 1)] == (3.0, 2.0) and got[("z", 1)] == (0.0, 0.0)
+
+
+def test_bags_carried_day_by_day(spark):
+    """Days joined together equal one run over all, also over days without sessions or conversions."""
+    draw = random.Random(12)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(minutes=m), draw.choice([0, 0, 0, 0, 0, 70_000, 125_000]) if not 2 * 1440 < m < 4 * 1440 else 0)
+            for i, m in enumerate(sorted(draw.randrange(6 * 1440) for _ in range(900))) if not 4 * 1440 < m < 5 * 1440]
+    sessions = spark.createDataFrame(rows, "session_id long, creation_date timestamp, revenue_units long")
+    whole = ordered.bag_kpis(sessions, parts=5)
+    state, closed = None, None
+    for day in range(6):
+        today = sessions.filter(F.to_date("creation_date") == F.lit(start.date() + dt.timedelta(day)))
+        added, state = ordered.bag_step(today, state, parts=3)
+        closed = added if closed is None else closed.union(added)
+        assert state.select("bag_id").distinct().count() <= 1
+    daily = ordered.bag_report(closed, state)
+    columns = sorted(whole.columns)
+    for a, b in zip(whole.select(columns).orderBy("int_ix").collect(), daily.select(columns).orderBy("int_ix").collect()):
+        assert [a["date"], a["hour"], a["int_ix"], a["clicks_num"]] == [b["date"], b["hour"], b["int_ix"], b["clicks_num"]]
+        assert [a["leads_num"], a["rev_sum"], a["rev_avg"]] == pytest.approx([b["leads_num"], b["rev_sum"], b["rev_avg"]])
+    assert whole.count() == daily.count()
