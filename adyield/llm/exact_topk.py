@@ -57,10 +57,15 @@ def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: s
 
     Every component x is first made floor(256 * x); ``is_query`` is a condition on the column ``id``. Ties go to the smaller id,
     a query with fewer candidates gets all of them, a lone row gets none. Rows that ``vectors.usable`` leaves out take no part:
-    without id or vector, with a null or non-finite component, or shorter than the longest. Rows that share an id count once.
-    No vectors or no queries give an empty result. Other columns may have any name. Products must fit 64 bits.
+    without id or vector, with a null or non-finite component, or of another length than most. Rows that share an id count once.
+    No vectors or no queries give an empty result. Other columns may have any name. Scores are whole numbers of 64 bits: components
+    so large that a product could leave that range raise a ValueError, as no score of theirs could be given.
     """
     rows = checkpointed(usable(df, id_col, vector_col).select("id", "vector", is_query.alias("asks")))
+    largest = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
+    top, length = rows.agg(F.max(largest), F.max(F.size("vector"))).first()
+    if top is not None and (256 * top + 1) * length**0.5 >= 2.0**31.5:
+        raise ValueError(f"a component of {top:g} gives scores beyond 64 bits")
     items, item_blocks = _blocks(rows, ITEM_ROWS)
     queries, query_blocks = _blocks(rows.filter("asks"), QUERY_ROWS)
     strips = -(-item_blocks // ITEM_BLOCKS)

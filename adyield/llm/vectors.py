@@ -13,14 +13,15 @@ from adyield.llm.common import pick
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, vector) of the rows with an id and a vector of finite numbers, one row per id.
 
-    A row without an id or vector, with a null or non-finite component, or with a vector shorter than the longest usable one
-    takes no part. Where rows share an id, the smallest vector stands for it.
+    A row without an id or vector, or with a null or non-finite component, takes no part. Vectors of different lengths have no inner
+    product: only those of the commonest length take part, of equally common ones the longest. Where rows share an id, the smallest of
+    its vectors stands for it.
     """
     rows = pick(df, id=id_col, vector=vector_col)
     whole = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("id").isNotNull() & F.col("vector").isNotNull()).filter((F.size("vector") > 0) & whole)
-    length = rows.agg(F.coalesce(F.max(F.size("vector")), F.lit(0))).first()[0]
-    return rows.filter(F.size("vector") == length).groupBy("id").agg(F.min("vector").alias("vector"))
+    lengths = rows.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), F.desc("length")).limit(1).collect()
+    return rows.filter(F.size("vector") == (lengths[0]["length"] if lengths else 0)).groupBy("id").agg(F.min("vector").alias("vector"))
 
 
 def matrix(column: pa.Array) -> np.ndarray:

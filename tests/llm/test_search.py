@@ -96,3 +96,23 @@ def test_registered_searches(spark, sf):
     found, expected = result(queries.QUERIES["op5_cross_polytope_search"](spark, sf)), brute(vectors, ids, lambda i: i % 20 == 0, 20)
     assert set(found) == set(expected)
     assert np.mean([len({v for v, _ in found[q]} & {v for v, _ in expected[q]}) / len(expected[q]) for q in expected]) >= 0.9
+
+
+def test_one_odd_vector_changes_nothing(spark):
+    """A longer or shorter vector among the others takes no part; it does not take the others' place."""
+    draw = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in draw.normal(size=3)]) for i in range(60)]
+    odd = [(100, [1.0, 2.0, 3.0, 4.0]), (101, [5.0]), (102, []), (103, None)]
+    frames = [spark.createDataFrame(r, "vec_id long, embedding array<double>") for r in (rows, rows + odd)]
+    plain, mixed = (sorted(tuple(r) for r in exact_topk.top_k(f, F.col("id") % 20 == 0).collect()) for f in frames)
+    assert plain == mixed and len(plain) == 15
+    plain, mixed = (sorted(tuple(r) for r in ann.nearest(f, F.col("id") % 20 == 0, k=3).collect()) for f in frames)
+    assert plain == mixed and len(plain) == 9
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    rows = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1e300, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="64 bits"):
+        exact_topk.top_k(rows, F.col("id") == 0)
+    large = spark.createDataFrame([(0, [1e6, 2.0]), (1, [-1e6, 3.0])], "vec_id long, embedding array<double>")
+    assert exact_topk.top_k(large, F.col("id") == 0).first()["score"] == -(256 * 10**6) ** 2 + 512 * 768
