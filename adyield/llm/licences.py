@@ -77,17 +77,16 @@ def scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: st
     Returns one row per row of ``docs``: ``id_col``, digest of the whole text, licence (if the whole text is one) and notices,
     the sorted names of licences that single lines of it are, or an empty array.
 
-    A text that is null, empty or without letter and digit has no digest and matches nothing. Rows with the same id, also null
-    ones, share their notices; repeated rows come back repeated. An empty table gives an empty result. Other columns may have
-    any name.
+    A text that is null, empty or without letter and digit has no digest and matches nothing. Every row is judged by its own text,
+    also where ids repeat or are null. An empty table gives an empty result. Other columns may have any name.
     """
-    rows = pick(docs, id=id_col, text=text_col)
+    rows = pick(docs, id=id_col, text=text_col).withColumn("row", F.monotonically_increasing_id())
     names = known.select("digest", "licence")
     if known.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS:
         names = F.broadcast(names)
     whole = with_digest(rows, "text").join(names, "digest", "left")
-    lines = rows.filter("text is not null").select("id", F.explode(F.split("text", "\n")).alias("line"))
-    notices = with_digest(lines, "line").filter("digest is not null").join(names, "digest").groupBy("id").agg(F.sort_array(F.collect_set("licence")).alias("notices"))
-    found = whole.join(notices.withColumnRenamed("id", "notice_id"), F.col("id").eqNullSafe(F.col("notice_id")), "left")
+    lines = rows.filter("text is not null").select("row", F.explode(F.split("text", "\n")).alias("line"))
+    notices = with_digest(lines, "line").filter("digest is not null").join(names, "digest").groupBy("row").agg(F.sort_array(F.collect_set("licence")).alias("notices"))
+    found = whole.join(notices, "row", "left")
     return found.select(F.col("id").alias(id_col), "digest", "licence",
                         F.coalesce("notices", F.array().cast("array<string>")).alias("notices"))

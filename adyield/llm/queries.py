@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from adyield.llm import (alignment, ann, conversations, exact_topk, language_id, licences, mixing, near_dedup, packing, suffix_dedup,
                          toxicity, unit_dedup, url_filter)
-from adyield.llm.licence_texts import KNOWN
+from adyield.llm.licence_texts import known_texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,7 +54,8 @@ GROUP BY s.doc_id, s.items"""
 @query
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text.alias("text"))
 
 
 @query
@@ -85,15 +86,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: Repeated lines are a passage where a run of them has as many words.
+PASSAGE_WORDS = 20
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans as text: start:end of each removed line, in characters, apart by blanks."""
-    found = unit_dedup.remove_repeated_units(table(spark, sf_dir, "documents"))
+    found = unit_dedup.remove_repeated_units(table(spark, sf_dir, "documents"), least_words=PASSAGE_WORDS)
     spans = F.transform("removed", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))
-    return found.select("doc_id", "n_units", "n_removed", "n_chars_removed", F.concat_ws(" ", spans).alias("removed_spans"))
+    return found.select("doc_id", "n_units", "n_repeated", "n_removed", "n_chars_removed", F.concat_ws(" ", spans).alias("removed_spans"))
 
 
-ORACLES["op3_line_dedup"] = """
+ORACLES["op3_line_dedup"] = f"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(l, 1) AS unit, unnest(l) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
@@ -103,11 +108,15 @@ placed AS (
          trim(regexp_replace(lower(line), '\\s+', ' ', 'g')) AS plain
   FROM lines),
 judged AS (
-  SELECT *, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, unit) > 1 AS gone FROM placed)
-SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed,
+  SELECT *, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, unit) > 1 AS again FROM placed),
+runs AS (
+  SELECT *, count(*) FILTER (plain <> '' AND NOT again) OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM judged),
+sized AS (
+  SELECT *, again AND sum(len(string_split(plain, ' '))) FILTER (again) OVER (PARTITION BY doc_id, run) >= {PASSAGE_WORDS} AS gone FROM runs)
+SELECT doc_id, count(*) AS n_units, count(*) FILTER (again) AS n_repeated, count(*) FILTER (gone) AS n_removed,
        CAST(coalesce(sum(length(line)) FILTER (gone), 0) AS BIGINT) AS n_chars_removed,
        coalesce(string_agg(start || ':' || (start + length(line)), ' ' ORDER BY unit) FILTER (gone), '') AS removed_spans
-FROM judged GROUP BY doc_id"""
+FROM sized GROUP BY doc_id"""
 
 
 @query
@@ -120,17 +129,30 @@ def _literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# the operator's notice lines without a look-ahead: a line goes if it matches the first, or the second and not the third
+_NOTICE_LINE = r"^[^\p{L}\p{N}]*(copyright\b[^\p{L}\p{N}]*(©|\p{N})|\(c\)[^\S\n]*(copyright\b|\p{N})|©)"
+_HOLDER_LINE = r"^[^\p{L}\p{N}]*copyright\b[^\p{L}\p{N}]*\p{L}"
+_PROSE_LINE = r"^[^\p{L}\p{N}]*copyright\b[^\p{L}\p{N}]*(" + "|".join(licences._PROSE) + r")\b"
+
+
 def _canonical_sql(text: str) -> str:
-    words = f"trim(regexp_replace(regexp_replace(lower({text}), {_literal(licences._COPYRIGHT)}, '', 'g'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    notice = (f"regexp_matches(l, {_literal(_NOTICE_LINE)}) OR (regexp_matches(l, {_literal(_HOLDER_LINE)}) "
+              f"AND NOT regexp_matches(l, {_literal(_PROSE_LINE)}))")
+    bare = f"array_to_string(list_filter(string_split(lower({text}), chr(10)), lambda l: NOT ({notice})), chr(10))"
+    words = f"trim(regexp_replace({bare}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     for odd, usual in sorted(licences.SPELLINGS.items(), key=lambda pair: " " in pair[0]):
         words = f"regexp_replace({words}, '\\b{odd}\\b', '{usual}', 'g')"
     return words
 
 
-_KNOWN_SQL = ", ".join(f"({_literal(name)}, {_literal(text)})" for name, wordings in KNOWN.items() for text in wordings)
+_RESERVED = "All rights reserved.\n\n"
+_KNOWN_SQL = ", ".join(f"({_literal(name)}, {_literal(text)})" for name, wordings in known_texts().items() for text in wordings
+                       if not text.startswith(_RESERVED))
 ORACLES["op4_licence_scan"] = f"""
 WITH known AS (
-  SELECT md5({_canonical_sql('body')}) AS digest, min(name) AS licence FROM (VALUES {_KNOWN_SQL}) AS t(name, body) GROUP BY 1),
+  SELECT md5({_canonical_sql('body')}) AS digest, min(name) AS licence FROM (
+    SELECT name, unnest(CASE WHEN contains(body, chr(10)) THEN [body, {_literal(_RESERVED)} || body] ELSE [body] END) AS body
+    FROM (VALUES {_KNOWN_SQL}) AS t(name, body)) GROUP BY 1),
 whole AS (
   SELECT doc_id, {_canonical_sql('text')} AS plain FROM documents),
 lines AS (
