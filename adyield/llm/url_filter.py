@@ -24,7 +24,6 @@ from adyield.session import checkpointed
 SEEDS = ("ads", "adult", "banner", "bet", "betting", "bonus", "casino", "clickbait", "escort", "gamble", "gambling", "jackpot",
          "malware", "phishing", "pills", "poker", "popup", "porn", "promo", "sex", "slots", "spam", "track", "tracker", "tracking",
          "viagra", "warez", "win", "xxx")
-MAX_WORD = 20
 FEATURES = 1 << 14
 #: Added to every count of a feature in a class.
 SMOOTHING = 0.01
@@ -63,7 +62,7 @@ def word_counts(texts: DataFrame, text_col: str, seeds: tuple[str, ...] = SEEDS)
     """(word, many) of the words of letters in the visible text of HTML pages, in lower case, and of the seed words."""
     shown = F.regexp_replace(F.lower(F.col(text_col)), r"(?s)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
     words = texts.select(F.explode(F.regexp_extract_all(shown, F.lit(r"\p{L}{2,}"), F.lit(0))).alias("word")) \
-        .filter(F.length("word") <= MAX_WORD).groupBy("word").agg(F.count("*").alias("many"))
+        .groupBy("word").agg(F.count("*").alias("many"))
     wanted = texts.sparkSession.createDataFrame([(w,) for w in seeds], "word string").withColumn("many", F.lit(0).cast("long"))
     return words.union(wanted).groupBy("word").agg(F.sum("many").alias("many"))
 
@@ -72,12 +71,15 @@ def split_names(names: DataFrame, counts: DataFrame, seeds: tuple[str, ...] = SE
     """Words of each distinct name: (name, words). Every part of a name is looked up by a join, so no vocabulary is sent whole.
 
     The best split has the highest product of word probabilities; an unknown word of n letters has 10 / (N * 10^n) of the N words
-    counted. Equal splits go to the one with the longer last word.
+    counted. Equal splits go to the one with the longer last word. Words may have any length: parts are cut in the lengths that
+    counted words have, and the best unknown word before a place is carried along.
     """
     total = max(1, counts.agg(F.sum("many")).first()[0] or 0)
+    lengths = sorted(row[0] for row in counts.select(F.length("word")).distinct().collect())
     starts = F.explode(F.sequence(F.lit(1), F.length("name"))).alias("start")
     parts = names.select("name", starts)
-    parts = parts.select("name", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("name") - F.col("start") + 1))).alias("size"))
+    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda size: size <= F.length("name") - F.col("start") + 1)
+    parts = parts.select("name", "start", F.explode(fitting).alias("size"))
     parts = parts.select("name", "start", "size", F.substring("name", F.col("start"), F.col("size")).alias("word"))
     known = parts.join(counts, "word").groupBy("name").agg(F.collect_list(F.struct("start", "size", "word", "many")).alias("known"))
 
@@ -85,17 +87,23 @@ def split_names(names: DataFrame, counts: DataFrame, seeds: tuple[str, ...] = SE
         for batch in batches:
             out = []
             for name, found in zip(batch.column("name").to_pylist(), batch.column("known").to_pylist()):
-                log = {}
+                ends: dict[int, list[tuple[int, float]]] = {}
                 for part in found or ():
                     many = max(part["many"], total * SEED_SHARE) if part["word"] in seeds else part["many"]
-                    log[part["start"] - 1, part["size"]] = math.log(many / total)
+                    if many:
+                        ends.setdefault(part["start"] - 1 + part["size"], []).append((part["size"], math.log(many / total)))
                 best = [0.0] + [-math.inf] * len(name)
                 last = [0] * (len(name) + 1)
+                # the best start of an unknown word; a known one is never less likely than an unknown one of its length
+                lead, lead_from = -math.inf, 0
                 for end in range(1, len(name) + 1):
-                    for size in range(min(end, MAX_WORD), 0, -1):
-                        own = log.get((end - size, size), math.log(10 / total) - size * math.log(10))
-                        if best[end - size] + own > best[end]:
-                            best[end], last[end] = best[end - size] + own, size
+                    if best[end - 1] + (end - 1) * math.log(10) > lead + 1e-9:
+                        lead, lead_from = best[end - 1] + (end - 1) * math.log(10), end - 1
+                    best[end], last[end] = lead + math.log(10 / total) - end * math.log(10), end - lead_from
+                    for size, own in sorted(ends.get(end, ()), reverse=True):
+                        value = best[end - size] + own
+                        if value > best[end] or (value == best[end] and size > last[end]):
+                            best[end], last[end] = value, size
                 words, end = [], len(name)
                 while end:
                     words.append(name[end - last[end]:end])

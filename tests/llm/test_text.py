@@ -1,5 +1,6 @@
 """Language ID, URL filter, licence scan, mixing, packing and the pipeline."""
 
+import math
 import random
 import re
 import string
@@ -129,6 +130,73 @@ def test_names_split_at_the_likeliest_words(spark):
     assert found["qqq"] == ["qqq"] and "".join(found["q" * 200]) == "q" * 200
 
 
+def likeliest(name, many):
+    """Best split by trying every one; of equal ones that with the longest last words."""
+    total = sum(many.values())
+
+    def chance(word):
+        return math.log(many[word] / total) if word in many else math.log(10 / total) - len(word) * math.log(10)
+
+    best = None
+    for cuts in range(2 ** (len(name) - 1)):
+        words, word = [], name[0]
+        for i, letter in enumerate(name[1:]):
+            if cuts >> i & 1:
+                words.append(word)
+                word = letter
+            else:
+                word += letter
+        words.append(word)
+        value = (round(sum(map(chance, words)), 9), [len(w) for w in reversed(words)])
+        if best is None or value > best[0]:
+            best = (value, words)
+    return best[1]
+
+
+def test_splits_equal_every_split_tried(spark):
+    draw = random.Random(5)
+    many = {"".join(draw.choice("abc") for _ in range(draw.randint(1, 4))): draw.randint(1, 60) for _ in range(25)}
+    many["abcabcabcab"] = 3
+    names = sorted({"".join(draw.choice("abcd") for _ in range(draw.randint(1, 11))) for _ in range(60)} | {"abcabcabcab", "dabcabcabcab", "aaaa"})
+    counts = spark.createDataFrame(sorted(many.items()), "word string, many long")
+    found = {r.name: r.words for r in url_filter.split_names(spark.createDataFrame([(n,) for n in names], "name string"), counts, ()).collect()}
+    total = sum(many.values())
+
+    def value(words):
+        return sum(math.log(many[w] / total) if w in many else math.log(10 / total) - len(w) * math.log(10) for w in words)
+
+    assert set(found) == set(names)
+    for name in names:
+        assert "".join(found[name]) == name and value(found[name]) == pytest.approx(value(likeliest(name, many)), abs=1e-9)
+
+
+def test_long_names_and_long_words(spark):
+    """A word of any length is found, and a name of a thousand letters is cut."""
+    long = "pneumonoultramicroscopicsilicovolcanoconiosis"
+    counts = spark.createDataFrame([(long, 9), ("the", 50), ("a", 1)], "word string, many long")
+    names = spark.createDataFrame([("the" + long,), ("the" * 400,), ("z" * 1500 + "the",)], "name string")
+    found = {len(r.name): r.words for r in url_filter.split_names(names, counts, ()).collect()}
+    assert found[48] == ["the", long] and found[1200] == ["the"] * 400 and found[1503] == ["z" * 1500, "the"]
+
+
+def test_scores_equal_naive_bayes_by_hand(spark):
+    """Verdicts of pages without a rule against multinomial naive Bayes over the words that ``judge`` gives out."""
+    draw = random.Random(3)
+    vocabulary = ["garden", "river", "casino", "bonus", "paper", "stone", "poker", "music"]
+    urls = [f"http://{draw.choice(vocabulary)}-{draw.choice(vocabulary)}.net/{draw.choice(vocabulary)}/{draw.choice(vocabulary)}" for _ in range(120)]
+    pages = spark.createDataFrame([(i, u, " ".join(vocabulary)) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    rows = url_filter.judge(pages, []).collect()
+    labelled = [(r.words, bool(set(r.words) & set(url_filter.SEEDS))) for r in rows]
+    counts = {side: Counter(w for words, seeded in labelled if seeded == side for w in words) for side in (True, False)}
+    pages_of = Counter(side for _, side in labelled)
+    smooth, slots = url_filter.SMOOTHING, url_filter.FEATURES
+    for r, (words, _) in zip(rows, labelled):
+        odds = math.log((pages_of[True] + 1) / (pages_of[False] + 1))
+        for w in words:
+            odds += sum(sign * math.log((counts[side][w] + smooth) / (sum(counts[side].values()) + smooth * slots)) for side, sign in ((True, 1), (False, -1)))
+        assert r.score == pytest.approx(odds, abs=1e-6) and r.verdict == ("block" if r.score > 0 else "allow")
+
+
 def test_licences_by_canonical_digest(spark):
     mit = licences.KNOWN["MIT"][0]
     rows = [(1, "Copyright (c) 2024 Someone\n\n" + mit.upper()), (2, mit.replace("sublicense", "sub-license")), (3, mit + " more"),
@@ -136,11 +204,29 @@ def test_licences_by_canonical_digest(spark):
             (4, "twice"), (None, "Licensed under the Apache License, version 2.0")]
     table = docs(spark, [(i, t, None, None) for i, t in rows])
     found = sorted(((r.doc_id or 0, r.licence, r.notices) for r in licences.scan(table, licences.known_licences(spark)).collect()), key=str)
-    assert found == sorted([(1, "MIT", []), (2, "MIT", []), (3, None, []), (4, None, ["MIT"]), (4, None, ["MIT"]), (5, None, []),
+    assert found == sorted([(1, "MIT", []), (2, "MIT", []), (3, None, []), (4, None, ["MIT"]), (4, None, []), (5, None, []),
                             (6, None, []), (7, None, []), (0, "Apache-2.0", ["Apache-2.0"])], key=str)
     assert licences.scan(table.limit(0), licences.known_licences(spark)).count() == 0
 
 
+def test_twin_knows_the_operators_notice_lines_and_texts(spark):
+    """The SQL twin against the operator on planted whole licences, notices and prose that begins with "copyright"."""
+    import duckdb
+    import pandas as pd
+
+    known = licence_texts.known_texts()
+    rows = [text for wordings in known.values() for text in wordings[:1]]
+    rows += [f"{start}\n{known['MIT'][0]}" for start in (
+        "Copyright 2024 A B", "(c) 1999 X", "© Holder", "Copyright (c) someone", "copyright notice of ours", " * Copyright: the Author", "(C) Copyright 2001")]
+    table = docs(spark, [(i, t, None, None) for i, t in enumerate(rows)])
+    found = licences.scan(table, licences.known_licences(spark)).withColumn("notices", F.concat_ws(",", "notices")).collect()
+    base = duckdb.connect()
+    base.register("documents", pd.DataFrame({"doc_id": range(len(rows)), "text": rows}))
+    want = base.execute(queries.ORACLES["op4_licence_scan"]).fetchall()
+    assert sorted(tuple(r) for r in found) == sorted(want)
+    assert {r.licence for r in found} >= set(known)
+
+
 def test_licences_know_whole_long_texts(spark):
     files = {name: wordings for name, wordings in licence_texts.known_texts().items() if name in licence_texts.FILES}
     rows = [(name, text) for name, wordings in files.items() for text in wordings if "\n" in text and len(text) > 5_000]
