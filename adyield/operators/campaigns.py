@@ -140,12 +140,12 @@ def with_config(campaigns: DataFrame, config: DataFrame) -> DataFrame:
 
 
 def ranked_modifiers(modifiers: DataFrame) -> DataFrame:
-    """Non-empty modifiers in cents with their rank from both ends per campaign (ties by publisher)."""
+    """Non-empty modifiers in cents with their rank from both ends per campaign (ties by publisher), from one sort."""
     rounded = modifiers.withColumn("modifier", F.bround("modifier", 2)).filter(
         F.col("modifier").isNotNull() & (F.col("modifier") != 0))
-    down = Window.partitionBy("campaign_id").orderBy(F.col("modifier").desc(), "publisher")
-    up = Window.partitionBy("campaign_id").orderBy("modifier", F.col("publisher").desc())
-    return rounded.withColumns({"rank": F.row_number().over(down) - 1, "rank_up": F.row_number().over(up) - 1})
+    campaign = Window.partitionBy("campaign_id")
+    ranked = rounded.withColumn("rank", F.row_number().over(campaign.orderBy(F.col("modifier").desc(), "publisher")) - 1)
+    return ranked.withColumn("rank_up", (F.count("*").over(campaign) - 1 - F.col("rank")).cast("int"))
 
 
 def update_payloads(campaigns: DataFrame, modifiers: DataFrame, max_modifiers: int = MAX_MODIFIERS,
@@ -155,7 +155,7 @@ def update_payloads(campaigns: DataFrame, modifiers: DataFrame, max_modifiers: i
     The exclude list is the middle of the ranking: past the first ``max_modifiers`` and before the
     last ``max_excluded``.
     """
-    ranked = ranked_modifiers(modifiers)
+    ranked = ranked_modifiers(modifiers).filter((F.col("rank") < max_modifiers) | (F.col("rank_up") >= max_excluded))
     kept = F.when(F.col("rank") < max_modifiers, F.struct(
         "rank", F.col("publisher").alias("target"), F.col("modifier").alias("bid_modification")))
     dropped = F.when((F.col("rank") >= max_modifiers) & (F.col("rank_up") >= max_excluded), F.struct("rank", "publisher"))

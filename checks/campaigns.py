@@ -71,9 +71,9 @@ SELECT campaign_id, version, CAST(json_extract_string(update_json, '$.cpc') AS D
   array_to_string(from_json(json_extract(schedule_json, '$.day'), '["INTEGER"]'), ',') AS days,
   list_sum(from_json(json_extract(schedule_json, '$.bid_modifier'), '["DOUBLE"]')) AS total FROM campaign_updates"""), "cpc:4 total:6")
 register("campaign_schedule_hours", lambda spark, sf: cp.schedule_hours(
-    view(spark, sf, "campaign_updates").filter("version < 2").withColumnRenamed("version", "datetime")), with_views("campaign_updates", """
+    view(spark, sf, "campaign_updates").withColumnRenamed("version", "datetime")), with_views("campaign_updates", """
 SELECT account_id, campaign_id, CAST(unnest(from_json(json_extract(schedule_json, '$.hour'), '["INTEGER"]')) AS DOUBLE) AS hour
-FROM campaign_updates WHERE version = 1"""), "hour:2")
+FROM (SELECT *, row_number() OVER (PARTITION BY account_id, campaign_id ORDER BY version DESC) AS rn FROM campaign_updates) WHERE rn = 1"""), "hour:2")
 register("campaign_management_table", lambda spark, sf: cp.management_table(view(spark, sf, "campaign_config").select(
     "id", F.col("automatically_managed").alias("created")), AS_OF).drop("created_datetime"), with_views("campaign_config", f"""
 SELECT automatically_managed AS created, id, DATE '{AS_OF}' AS created_date, CAST(1.0 AS DOUBLE) AS baseline_cpc, FALSE AS active,

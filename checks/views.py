@@ -160,7 +160,8 @@ SELECT CAST(p_partkey AS STRING) AS id, p_partkey % 4 <> 3 AS automatically_mana
 CAMPAIGN_UPDATES = """
 SELECT concat('adv', CAST(p_partkey % 2 AS STRING)) AS account_id, CAST(p_partkey AS STRING) AS campaign_id, DATE '2024-01-28' + CAST(v AS INT) AS date, v AS version,
   CASE WHEN v % 2 = 0 THEN concat('{"cpc": ', CAST(1 + (p_partkey + v) % 4 AS STRING), '}') ELSE NULL END AS update_json,
-  CASE WHEN v % 2 = 1 THEN '{"day": [0, 0, 1], "hour": [0, 1, 0], "bid_modifier": [0.9, 1.0, 1.1]}' ELSE NULL END AS schedule_json
+  CASE WHEN v % 2 = 1 THEN '{"day": [0, 0, 1], "hour": [0, 1, 0], "bid_modifier": [0.9, 1.0, 1.1]}'
+    WHEN v = 2 AND p_partkey % 3 = 0 THEN '{"day": [2, 2], "hour": [5, 7], "bid_modifier": [1.2, 0.8]}' ELSE NULL END AS schedule_json
 FROM (SELECT p_partkey, 0 AS v FROM part UNION ALL SELECT p_partkey, 1 AS v FROM part UNION ALL SELECT p_partkey, 2 AS v FROM part) AS t
 """
 
