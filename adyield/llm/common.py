@@ -18,9 +18,12 @@ FILE_ROWS = 25_000
 #: Text that one vectorised step works on; it bounds the arrays of a Python worker, not the result.
 SLICE_BYTES = 2 << 20
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BYTE_CODES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+#: Moduli of the two rolling hashes. They are prime: modulo a power of two, structured strings would agree in their low bits.
+_PRIMES = (2**31 - 1, 2**31 - 19)
+_DRAW = np.random.Generator(np.random.PCG64(20240229))
+_BASES = [int(_DRAW.integers(2**20, p - 1)) for p in _PRIMES]
+_BYTE_CODES = np.stack([_DRAW.choice(p - 1, 256, replace=False).astype(np.uint64) + np.uint64(1) for p in _PRIMES])
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def pick(df: DataFrame, **names: str) -> DataFrame:
@@ -61,30 +64,63 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse modulo 2^64."""
+def _powers_of(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint32)
+    size = 1
+    while size < n:
+        step = np.uint64(pow(base, size, prime))
+        out[size:2 * size] = out[:min(size, n - size)] * step % np.uint64(prime)
+        size *= 2
+    return out
+
+
+def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The first ``n`` powers of each base and of its inverse, each modulo its prime."""
     global _powers
-    if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]), SLICE_BYTES + 1)
-        inverse = np.uint64(pow(int(_BASE), -1, 2**64))
-        up, down = np.full(size, _BASE), np.full(size, inverse)
-        up[0] = down[0] = 1
-        _powers = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
-    return _powers[0][:n], _powers[1][:n]
+    have = len(_powers[0][0]) if _powers else 0
+    if have < n:
+        size = max(n, 2 * have, SLICE_BYTES + 1)
+        _powers = [(_powers_of(base, prime, size), _powers_of(pow(base, -1, prime), prime, size)) for base, prime in zip(_BASES, _PRIMES)]
+    return [(up[:n], down[:n]) for up, down in _powers]
+
+
+def _running(data: np.ndarray, which: int, out: np.ndarray) -> None:
+    """Running sums of one polynomial hash; sums of 2^32 terms below 2^31 stay whole."""
+    terms = out[1:]
+    np.take(_BYTE_CODES[which], data, out=terms)
+    terms *= powers(len(data))[which][0]
+    terms %= np.uint64(_PRIMES[which])
+    np.cumsum(terms, out=terms)
+
+
+def _window(row: np.ndarray, which: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    prime = np.uint64(_PRIMES[which])
+    return (row[end] - row[start]) % prime * powers(len(row))[which][1][start] % prime
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running polynomial hash; ``window_hash`` reads any substring's hash off it."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    terms = _BYTE_CODES[data]
-    terms *= powers(len(data))[0]
-    np.cumsum(terms, dtype=np.uint64, out=out[1:])
+    """Running sums of two polynomial hashes; ``window_hash`` reads any substring's hash off them."""
+    out = np.zeros((2, len(data) + 1), np.uint64)
+    for which, row in enumerate(out):
+        _running(data, which, row)
     return out
 
 
+def substring_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``window_hash`` for substrings that are all known at once: the running sums of one hash at a time are held."""
+    name, row = np.zeros(len(start), np.uint64), np.zeros(len(data) + 1, np.uint64)
+    for which in range(2):
+        _running(data, which, row)
+        name = name << np.uint64(31) | _window(row, which, start, end)
+    return mixed(name)
+
+
 def window_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``data[start:end]``; equal strings have equal hashes wherever they stand."""
-    return mixed((prefix[end] - prefix[start]) * powers(len(prefix))[1][start])
+    """62-bit hashes of ``data[start:end]``, spread over 64 bits; equal strings have equal hashes wherever they stand."""
+    name = np.zeros(len(start), np.uint64)
+    for which, row in enumerate(prefix):
+        name = name << np.uint64(31) | _window(row, which, start, end)
+    return mixed(name)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
