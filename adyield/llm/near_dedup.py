@@ -6,9 +6,11 @@ r = 3 two documents of similarity 0.8 share a key with probability 0.9996, at 0.
 
 Documents that share a key form a run. Members are first compared with the run's smallest document; those that belong to no
 component with it are then compared with every other member outside their own component. Links inside a component are not
-needed to find it, so no group is expanded into its pairs. The second comparison runs in blocks on parity sketches: of each
-set's hashes, the parity of the count in each of 2048 cells. Cells that differ are at most the elements in which two sets
-differ, so a pair with more of them than the similarity allows is no link, and only the others go on to the whole sets.
+needed to find it, so no group is expanded into its pairs. Jaccard distance is a metric, and every member's distance from the
+smallest document is known by then: members whose distances from it differ by more than a link spans cannot be linked, and
+leave the run before anything meets. What is left is compared in blocks on parity sketches: of each set's hashes, the parity of
+the count in each of 2048 cells. Cells that differ are at most the elements in which two sets differ, so a pair with more of them
+than the similarity allows is no link, and only the others go on to the whole sets.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adyield.llm.common import (checkpointed_in, mixed, pack_sorted, pack_words, pick, prefix_hash, text_bytes, text_slices, unpack_sorted,
-                                unpack_words, window_hash)
+from adyield.llm.common import (checkpointed_in, mixed, pack_sorted, pack_words, pick, substring_hashes, text_bytes, text_slices,
+                                unpack_sorted, unpack_words)
 from adyield.llm.components import component_labels
 from adyield.operators.joins import join_spreading_hot_keys
 from adyield.session import checkpointed
@@ -42,6 +44,10 @@ PARITY_CELLS = 2048
 BLOCK_ROWS = 2_000
 BLOCK_BUCKET_ROWS = 20_000
 PAIRS_AT_A_TIME = 40_000
+#: A run that holds at least this part of its hub's component has its outsiders compared with the whole component, once.
+COMPONENT_PART = 8
+#: Slack of distances against rounding.
+ROUNDING = 1e-9
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -72,7 +78,7 @@ def shingle_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray
     before[edges] = False
     after[edges[edges > 0] - 1] = False
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    words = window_hash(prefix_hash(data), starts, ends)
+    words = substring_hashes(data, starts, ends)
     bounds = np.searchsorted(starts, offsets)
     counts = np.diff(bounds)
     sets = []
@@ -258,54 +264,87 @@ def _sets(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     return rows.mapInArrow(build, "node long, items binary, parity binary").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) whose sets reach the similarity."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) with the Jaccard distance of their sets, and whether it makes them a link."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
+            apart, good = [], []
             for p, q in zip(batch.column("p"), batch.column("q")):
                 p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (p, q))
                 both = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield batch.select(["x", "y"]).filter(pa.array(good, pa.bool_()))
+                either = len(p) + len(q) - both
+                apart.append(1 - both / either)
+                good.append(100 * both >= percent * either)
+            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(apart, pa.float64()), pa.array(good, pa.bool_())],
+                                             names=["x", "y", "apart", "linked"])
 
     return (pairs.join(sets.select(F.col("node").alias("x"), F.col("items").alias("p")), "x")
             .join(sets.select(F.col("node").alias("y"), F.col("items").alias("q")), "y")
-            .select("x", "y", "p", "q").mapInArrow(compare, "x long, y long"))
+            .select("x", "y", "p", "q").mapInArrow(compare, "x long, y long, apart double, linked boolean"))
 
 
-def _across_components(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a run, from two components, that the parity sketches do not rule out: (x, y).
+def _across_components(members: DataFrame, linked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a run, from two components, that nothing has ruled out: (x, y).
 
-    Pairs with the run's hub have been compared before. A large run is cut into blocks, so no task holds it whole.
+    Pairs with the run's hub have been compared before; ``low`` and ``high`` bound each member's distance from it. Members outside the
+    hub's component meet one another run by run. Where a run holds a good part of the hub's component (``linked``: node, n, label),
+    they meet the whole component, which is sent once and not once for every run they share with it; else those of its members in
+    the run whose sizes and distances leave someone outside within reach. A large group is cut into blocks, so no task holds it whole.
     """
     outside = F.col("label") != F.col("hub_label")
-    per_run = members.groupBy("run").agg(F.count(F.when(outside, 1)).alias("n_out"), F.count("*").alias("n_all"))
-    rows = members.filter("node <> hub").join(per_run.filter("n_out > 0 and n_all > 2"), "run")
-    rows = rows.join(sets.select("node", "parity"), "node")
+    reach = 1 - percent / 100 + ROUNDING
+    others = members.filter("node <> hub")
+    per_run = others.groupBy("run", F.col("hub_label").alias("of_label")).agg(
+        F.count(F.when(outside, 1)).alias("n_out"), F.count("*").alias("n_all"),
+        *[f(F.when(outside, F.col(c))).alias(f"out_{c}_{name}") for c in ("n", "low", "high") for name, f in (("min", F.min), ("max", F.max))])
+    per_run = per_run.filter("n_out > 0 and n_all > 1").withColumnRenamed("run", "of_run")
+    component = linked.groupBy(F.col("label").alias("c_label")).agg(F.count("*").alias("c_size"))
+    per_run = checkpointed(per_run.join(component, F.col("of_label") == F.col("c_label"), "left").withColumn(
+        "whole", F.coalesce((F.col("n_all") - F.col("n_out")) * COMPONENT_PART >= F.col("c_size"), F.lit(False))))
+    near = (F.col("run") == F.col("of_run")) & (outside | (
+        ~F.col("whole") & (100 * F.col("n") >= percent * F.col("out_n_min")) & (percent * F.col("n") <= 100 * F.col("out_n_max"))
+        & (F.col("high") + reach >= F.col("out_low_min")) & (F.col("low") <= F.col("out_high_max") + reach)))
+    kept = checkpointed(others.join(per_run, near).select(
+        "run", "node", "n", "label", "hub_label", "whole", "low", "high", outside.alias("out")))
+    # runs of which as much is left that something can be compared, and runs left alike only once
+    left = kept.groupBy("run").agg(
+        F.count(F.when(F.col("out"), 1)).alias("n_out"), F.count("*").alias("n_all"), F.min("label").alias("least"),
+        F.max("label").alias("most"), F.bit_xor(F.xxhash64("node", "out")).alias("name")).filter("least < most")
+    left = left.groupBy("name").agg(F.min_by(F.struct("run", "n_out", "n_all"), "run").alias("one")).select("one.*")
+    by_run = kept.select("run", "node", "n", "label", "low", "high", "out").join(left, "run")
+    asking = checkpointed(kept.filter("whole and out").select(F.col("hub_label").alias("run"), "node", "n", "label").distinct())
+    asked = asking.groupBy("run").agg(F.count("*").alias("n_out"), F.min("n").alias("n_min"), F.max("n").alias("n_max")).withColumnRenamed("run", "of")
+    fits = (F.col("label") == F.col("of")) & (100 * F.col("n") >= percent * F.col("n_min")) & (percent * F.col("n") <= 100 * F.col("n_max"))
+    inside = linked.join(asked, fits).select(F.col("of").alias("run"), "node", "n", "label", F.lit(False).alias("out"))
+    meeting = checkpointed(inside.union(asking.select("run", "node", "n", "label", F.lit(True))))
+    sides = meeting.groupBy("run").agg(F.count(F.when(F.col("out"), 1)).alias("n_out"), F.count("*").alias("n_all")).filter("n_all > n_out")
+    by_component = meeting.join(sides, "run").select(
+        "run", "node", "n", "label", F.lit(0.0).alias("low"), F.lit(1.0).alias("high"), "out", "n_out", "n_all")
+    groups = by_run.withColumn("kind", F.lit(0)).unionByName(by_component.withColumn("kind", F.lit(1)))
+    rows = groups.join(sets.select("node", "parity"), "node").withColumn("run", F.xxhash64("run", "kind"))
     across, down = (F.ceil(F.col(c) / BLOCK_ROWS).cast("int") for c in ("n_out", "n_all"))
     place = F.xxhash64("node")
 
     def spread(side: int, own, other):
         copies = F.explode(F.sequence(F.lit(0), other - 1))
         blocks = [F.pmod(place, own).cast("int"), copies] if side == 0 else [copies, F.pmod(place, own).cast("int")]
-        chosen = rows.filter(outside) if side == 0 else rows
+        chosen = rows.filter("out") if side == 0 else rows.filter("kind = 0 or not out")
         return chosen.select("run", blocks[0].alias("i"), blocks[1].alias("j"), F.lit(side).alias("side"), "node", "label", "n",
-                             outside.alias("out"), "parity")
+                             "out", "low", "high", "parity")
 
     blocks = spread(0, across, down).union(spread(1, down, across))
-    buckets = max(MIN_BUCKETS, -(-members.count() // BLOCK_BUCKET_ROWS))
+    buckets = max(MIN_BUCKETS, -(-(kept.count() + meeting.count()) // BLOCK_BUCKET_ROWS))
 
     def compare(table: pa.Table) -> pa.Table:
-        run, i, j, side, node, label, n, out = (
-            table.column(c).to_numpy() for c in ("run", "i", "j", "side", "node", "label", "n", "out"))
+        run, i, j, side, node, label, n, out, low, high = (
+            table.column(c).to_numpy() for c in ("run", "i", "j", "side", "node", "label", "n", "out", "low", "high"))
         parity = np.frombuffer(b"".join(table.column("parity").to_pylist()), np.uint64).reshape(len(node), -1)
         _, group = np.unique(np.stack([run, i, j]), axis=1, return_inverse=True)
         group = group.ravel()
         left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         right = right[np.argsort(group[right], kind="stable")]
-        low = np.searchsorted(group[right], group[left])
-        many = np.searchsorted(group[right], group[left], side="right") - low
+        first = np.searchsorted(group[right], group[left])
+        many = np.searchsorted(group[right], group[left], side="right") - first
         upto = np.cumsum(many)
         found = []
         start = 0
@@ -313,9 +352,10 @@ def _across_components(members: DataFrame, sets: DataFrame, percent: int) -> Dat
             stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + PAIRS_AT_A_TIME)))
             count = many[start:stop]
             p = np.repeat(left[start:stop], count)
-            q = right[np.repeat(low[start:stop], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+            q = right[np.repeat(first[start:stop], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
             use = (label[p] != label[q]) & ((node[p] < node[q]) | ~out[q])
             use &= 100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q])
+            use &= (low[p] <= high[q] + reach) & (low[q] <= high[p] + reach)
             p, q = p[use], q[use]
             apart = np.bitwise_count(parity[p] ^ parity[q]).sum(axis=1, dtype=np.int64)
             use = apart * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
@@ -349,15 +389,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     involved = nodes.select("node", "rep", "a", "b").join(runs.select("node").distinct(), "node")
     sets = checkpointed(_sets(rows, involved, shingle))
     stars = runs.filter(f"node <> hub and {close}").select(F.col("hub").alias("x"), F.col("node").alias("y")).distinct()
-    links = checkpointed(_confirmed(stars, sets, percent))
+    compared = checkpointed(_compared(stars, sets, percent))
+    links = compared.filter("linked").select("x", "y")
     labels = component_labels(links)
 
     def labelled(df: DataFrame, node: str, label: str) -> DataFrame:
         return df.join(labels.select(F.col("node").alias(node), F.col("label").alias(label)), node, "left") \
             .withColumn(label, F.coalesce(label, node))
 
-    members = checkpointed_in(labelled(labelled(runs, "node", "label"), "hub", "hub_label"), runs.count())
-    more = checkpointed(_confirmed(_across_components(members, sets, percent), sets, percent))
+    # a member too large or too small for a link was not compared with the hub; sizes alone bound its distance from below
+    known = compared.select(F.col("x").alias("hub"), F.col("y").alias("node"), "apart")
+    bounded = runs.join(known, ["hub", "node"], "left").select(
+        "run", "hub", "node", "n", F.coalesce("apart", F.lit(1.0)).alias("high"),
+        F.coalesce("apart", 1 - F.least("n", "hub_n") / F.greatest("n", "hub_n")).alias("low"))
+    members = checkpointed_in(labelled(labelled(bounded, "node", "label"), "hub", "hub_label"), runs.count())
+    sizes = nodes.select("node", "n").join(labels, "node")
+    more = checkpointed(_compared(_across_components(members, sizes, sets, percent), sets, percent).filter("linked").select("x", "y"))
     if more.limit(1).count():
         labels = component_labels(links.union(more))
     least = labels.join(nodes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("component"))
