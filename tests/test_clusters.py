@@ -1,8 +1,13 @@
 import datetime as dt
+import os
 import random
+import subprocess
+import sys
+from functools import partial
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from adyield.operators import clusters as cl, sessions, structure as st, tree
@@ -210,3 +215,13 @@ def test_weight_threshold_matches_a_walk(spark):
                 break
             taken += w
         assert st.weight_threshold(df, "w", share).first()["threshold"] == expected
+
+
+def test_tree_functions_travel_with_their_tasks(tmp_path):
+    """A process that cannot import the package still runs what a task is sent."""
+    data = tmp_path / "function"
+    data.write_bytes(cloudpickle.dumps(partial(
+        tree._local_splits, np.array([[0], [1]]), np.array([1.0, 1.0]), np.array([0.0, 5.0]), 0.0)))
+    code = f"import pickle; print(pickle.load(open({str(data)!r}, 'rb'))()[0])"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    assert subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, check=True).stdout.strip() == "[0, -1, -1]"
