@@ -239,6 +239,12 @@ def test_packed_words_and_window_hashes(values, data):
         assert len(set(left.tolist())) == len({data[i:i + size] for i in starts})
 
 
+def test_hashes_of_no_bytes_in_a_fresh_worker(monkeypatch):
+    monkeypatch.setattr(common, "_powers", [])
+    none = np.zeros(0, np.int64)
+    assert len(common.substring_hashes(np.zeros(0, np.uint8), none, none)) == 0
+
+
 def test_window_hashes_tell_structured_strings_apart():
     """Thue-Morse strings and their complements, whose hashes modulo a power of two with an odd base come to agree."""
     assert all(all(p % k for k in range(2, 50_000)) for p in common._PRIMES)
