@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adyield.operators.sessions import latest_per_key
+from adyield.session import dealt
 
 # Field names of a campaign object.
 ATTRIBUTES = ["advertiser_id", "id", "cpc", "safety_rating", "daily_cap", "daily_ad_delivery_model", "bid_type",
@@ -32,68 +33,91 @@ def parse_bodies(bodies: DataFrame) -> DataFrame:
     return bodies.withColumn("c", F.from_json("body", BODY))
 
 
-def _hour_states(schedule: Column, entry: Callable[[Column, Column, Column], Column]) -> Column:
-    """168 entries (day, hour, on): all on when always active, else the last rule that covers the hour."""
-    none = F.array().cast("array<struct<day:string,from_hour:int,until_hour:int,on:boolean>>")
-    rules = F.coalesce(F.transform(schedule["rules"], lambda r: F.struct(
-        F.upper(r["day"]).alias("day"), r["from_hour"].alias("from_hour"), r["until_hour"].alias("until_hour"),
-        (r["type"] == "INCLUDE").alias("on"))), none)
-    days = F.array(*[F.lit(d) for d in DAYS])
-    hours = F.array(*[F.lit(h) for h in range(24)])
+def _day_states(schedule: Column) -> Column:
+    """Per day one number: bit h tells whether hour h is on, bit 24 + h whether that is known.
 
-    def grid(known: Column) -> Column:
-        def state(day: Column, hour: Column) -> Column:
-            def apply(on: Column, rule: Column) -> Column:
-                hit = (hour >= rule["from_hour"]) & (hour < rule["until_hour"]) & (rule["day"] == day)
-                return F.when(hit, rule["on"]).otherwise(on)
+    All on when always active, else the last rule that covers the hour. Rules are applied to a day's hours at once.
+    """
+    def bits(hour: Column) -> Column:
+        """The hours before ``hour``."""
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.lit(0), F.least(F.lit(24), hour))) - F.lit(1)
+
+    def twice(hours: Column) -> Column:
+        return hours * F.lit((1 << 24) + 1)
 
-            return F.aggregate(known, schedule["mode"] == "ALWAYS", apply)
+    every = F.lit((1 << 24) - 1).cast("long")
+    start = F.when(schedule["mode"] == "ALWAYS", twice(every)).when(schedule["mode"].isNotNull(), every * F.lit(1 << 24)).otherwise(F.lit(0).cast("long"))
 
-        return F.flatten(F.transform(days, lambda day: F.transform(hours, lambda hour: entry(day, hour, state(day, hour)))))
+    def span(rule: Column) -> Column:
+        """The rule's hours; a rule without day or hours has none."""
+        covers = rule["from_hour"].isNotNull() & (rule["until_hour"] > rule["from_hour"])
+        return F.when(covers, bits(rule["until_hour"]) - bits(rule["from_hour"])).otherwise(F.lit(0).cast("long"))
 
+    rules = F.transform(schedule["rules"], lambda r: F.struct(
+        F.upper(r["day"]).alias("day"), twice(span(r)).alias("span"), F.when(r["type"] == "INCLUDE", twice(span(r))).when(
+            r["type"].isNotNull(), span(r) * F.lit(1 << 24)).otherwise(F.lit(0).cast("long")).alias("set")))
+    none = F.array().cast("array<struct<day:string,span:bigint,set:bigint>>")
     # rules of an always active campaign do not count
-    counted = F.when(schedule["mode"] == "ALWAYS", none).otherwise(rules)
-    return F.transform(F.array(counted), grid)[0]
+    counted = F.when(schedule["mode"] == "ALWAYS", none).otherwise(F.coalesce(rules, none))
+
+    def day_state(known: Column, day: str) -> Column:
+        return F.aggregate(known, start, lambda state, rule: F.when(
+            rule["day"] == day, state.bitwiseAND(F.bitwise_not(rule["span"])).bitwiseOR(rule["set"])).otherwise(state))
+
+    return F.transform(F.array(counted), lambda known: F.array(*[day_state(known, d) for d in DAYS]))[0]
+
+
+def _hour_on(states: Column, slot: Column) -> Column:
+    """Whether an hour of the week (0 to 167) is on; NULL where that is not known."""
+    state = F.get(states, F.floor(slot / F.lit(24)).cast("int"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(24)))
+    known = state.bitwiseAND(bit * F.lit(1 << 24)) != 0
+    return F.when(known, state.bitwiseAND(bit) != 0)
 
 
 def activity_hours(bodies: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """168 rows per campaign: day, hour, 1 or 0."""
-    parsed = parse_bodies(bodies).withColumn("id", F.col("c.id"))
-    states = _hour_states(F.col("c.activity_schedule"), lambda day, hour, on: F.struct(
-        day.alias("day"), hour.alias("hour"), on.alias("on")))
-    return parsed.select(*keys, F.inline(states)).withColumn("value", F.col("on").cast("int")).drop("on")
+    parsed = parse_bodies(dealt(bodies)).withColumn("id", F.col("c.id")).select(*keys, _day_states(F.col("c.activity_schedule")).alias("states"))
+    week = F.array(*[F.struct(F.lit(day).alias("day"), F.lit(hour).alias("hour"), F.lit(24 * d + hour).alias("slot"))
+                     for d, day in enumerate(DAYS) for hour in range(24)])
+    return parsed.select(*keys, "states", F.inline(week)).select(
+        *keys, "day", "hour", _hour_on(F.col("states"), F.col("slot")).cast("int").alias("value"))
 
 
 def flatten_campaigns(bodies: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     """Long table (keys, section, key, value): attributes, targeting, hours, publisher modifiers.
 
     Sections a campaign does not have give no rows; an empty targeting list gives one blank value.
-    Entries stay typed inside the array and become text after it is unfolded.
+    The hours of the week are one constant list; their values are read off the days' states after it is unfolded.
     """
     c = F.col("c")
-    shape = "struct<section:string,head:string,hour:int,tail:string,value:string>"
-    no_text, no_hour, one = F.lit(None).cast("string"), F.lit(None).cast("int"), F.lit("1")
+    shape = "struct<section:string,key:string,slot:int,value:string>"
+    no_slot, one = F.lit(None).cast("int"), F.lit("1")
 
-    def entry(section: str, head: Column, value: Column, hour: Column = no_hour, tail: Column = no_text) -> Column:
-        return F.struct(F.lit(section).alias("section"), head.alias("head"), hour.alias("hour"), tail.alias("tail"), value.alias("value"))
+    def entry(section: str, key: Column, value: Column, slot: Column = no_slot) -> Column:
+        return F.struct(F.lit(section).alias("section"), key.alias("key"), slot.alias("slot"), value.alias("value"))
 
     attributes = F.array(*[entry("attrs", F.lit(a), c[a]) for a in ATTRIBUTES])
 
     def targeted(name: str) -> Column:
         values = F.when(F.size(c[name]["value"]) > 0, c[name]["value"]).otherwise(F.array(F.lit("")))
-        return F.when(c[name].isNotNull(), F.transform(values, lambda v: entry(name, c[name]["type"], one, tail=v)))
+        return F.when(c[name].isNotNull(), F.transform(values, lambda v: entry(name, F.concat_ws(":", c[name]["type"], v), one)))
 
-    hours = F.when(c["activity_schedule"].isNotNull(), _hour_states(c["activity_schedule"], lambda day, hour, on: entry(
-        "activity_schedule", day, F.when(on, one).otherwise(F.lit("0")), hour)))
+    week = F.array(*[entry("activity_schedule", F.lit(f"{day}:{hour}"), F.lit(None).cast("string"), F.lit(24 * d + hour))
+                     for d, day in enumerate(DAYS) for hour in range(24)])
+    hours = F.when(c["activity_schedule"].isNotNull(), week)
     strategies = F.transform(c["publisher_bid_strategy_modifiers"]["values"], lambda v: entry(
-        "publisher_bid_strategy_modifiers", v["target"], one, tail=v["bid_strategy"]))
+        "publisher_bid_strategy_modifiers", F.concat_ws(":", v["target"], v["bid_strategy"]), one))
     modifiers = F.transform(c["publisher_bid_modifier"]["values"], lambda v: entry(
-        "publisher_bid_modifier", v["target"], v["bid_modification"].cast("string")))
+        "publisher_bid_modifier", F.concat_ws(":", v["target"]), v["bid_modification"].cast("string")))
     none = F.array().cast(f"array<{shape}>")
     parts = [attributes, *[targeted(t) for t in TARGETING], hours, strategies, modifiers]
-    parsed = parse_bodies(bodies).withColumn("id", F.col("c.id"))
-    return parsed.select(*keys, F.inline(F.concat(*[F.coalesce(p, none) for p in parts]))).select(
-        *keys, "section", F.concat_ws(":", "head", F.col("hour").cast("string"), "tail").alias("key"), "value")
+    parsed = parse_bodies(dealt(bodies)).withColumn("id", F.col("c.id"))
+    long = parsed.select(*keys, _day_states(c["activity_schedule"]).alias("states"), F.concat(*[F.coalesce(p, none) for p in parts]).alias("parts"))
+    on = F.when(_hour_on(F.col("states"), F.col("slot")), one).otherwise(F.lit("0"))
+    # no list is empty; the filter that a plain inline implies would be pushed down to the scan and parse a body once per field
+    return long.select(*keys, "states", F.inline_outer("parts")).select(
+        *keys, "section", "key", F.when(F.col("slot").isNull(), F.col("value")).otherwise(on).alias("value"))
 
 
 def sparsity(flat: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -174,6 +175,35 @@ def test_rules_apply_in_order(spark):
     assert len(rows) == 168 and on == {("MONDAY", h) for h in range(6, 20) if h != 12}
 
 
+def test_flattening_parses_a_body_once_in_many_tasks(spark):
+    bodies = spark.createDataFrame([('{"id": "1", "activity_schedule": {"mode": "ALWAYS"}}', 1)], "body string, version int")
+    for read, tasks in ((cp.flatten_campaigns, 4), (cp.activity_hours, 4)):
+        # a list that is unfolded implies a filter, which used to parse the body once per field
+        plan = plan_of(read(bodies, ["id", "version"]))
+        assert plan.count("from_json") == 1 and "Filter" not in plan
+        assert read(bodies, ["id", "version"]).rdd.getNumPartitions() == tasks
+
+
+@pytest.mark.parametrize("mode", ["ALWAYS", "CUSTOM", None])
+def test_odd_rules_count_as_one_by_one(spark, mode):
+    rules = [("INCLUDE", "monday", -2, 3), (None, "Monday", 2, 5), ("EXCLUDE", "MONDAY", 4, 30), ("INCLUDE", None, 0, 24),
+             ("INCLUDE", "SUNDAY", 9, 9), ("INCLUDE", "SUNDAY", 12, 4), ("INCLUDE", "SUNDAY", None, 7), ("INCLUDE", "SUNDAY", 22, 24)]
+    wanted = {}
+    for day in cp.DAYS:
+        for hour in range(24):
+            on = None if mode is None else mode == "ALWAYS"
+            for kind, rule_day, first, until in rules if mode != "ALWAYS" else []:
+                if None not in (rule_day, first, until) and rule_day.upper() == day and first <= hour < until:
+                    on = None if kind is None else kind == "INCLUDE"
+            wanted[day, hour] = None if on is None else int(on)
+    names = ("type", "day", "from_hour", "until_hour")
+    body = json.dumps({"id": "1", "activity_schedule": {"mode": mode, "rules": [dict(zip(names, r)) for r in rules]}})
+    frame = spark.createDataFrame([(body,)], "body string")
+    assert {(r["day"], r["hour"]): r["value"] for r in cp.activity_hours(frame).collect()} == wanted
+    flat = {r["key"]: r["value"] for r in cp.flatten_campaigns(frame).filter("section = 'activity_schedule'").collect()}
+    assert flat == {f"{day}:{hour}": str(value or 0) for (day, hour), value in wanted.items()}
+
+
 def test_modifier_slices(spark):
     campaigns = spark.createDataFrame([("acc", "1", 0.5)], "account_id string, campaign_id string, cpc_new double")
     modifiers = spark.createDataFrame([("1", f"p{i:02d}", 2.0 - i / 10) for i in range(8)] + [("1", "zero", 0.0), ("1", "none", None)],
