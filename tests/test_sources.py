@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from adyield.operators import campaigns as cp, geo, joins
+from adyield.operators import campaigns as cp, geo, joins, sessions
 from adyield.sources import scans, schemas, sinks
 from checks.views import table, view
 from tests.conftest import plan_of
@@ -235,3 +235,14 @@ def test_address_tables_are_broadcast_when_small_and_salted_when_large(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert [r.session_id for r in small.collect()] == ["a"]
+
+
+def test_filters_do_not_repeat_what_is_parsed(spark):
+    landing = spark.createDataFrame([('{"sessionid": 1, "on": "2024-01-02", "score": 3.0}',), (None,)], "body string")
+    scores = sessions.extract_scores(landing)
+    assert [tuple(r)[:3] for r in scores.collect()] == [(1, dt.date(2024, 1, 2), 3.0), (None, None, None)]
+    assert plan_of(sessions.pivot_scores(scores, "2024-01-01", "2024-02-01")).count("from_json") == 1
+    blocks = spark.createDataFrame([("10.0", 167772160, 167772415, 1)], "ip_index string, start_int long, end_int long, maxmind_id long")
+    plan = plan_of(joins._reach(blocks))
+    assert "split_part" in plan or "element_at" in plan
+    assert not any("Filter" in line and ("split_part" in line or "element_at" in line) for line in plan.splitlines())
