@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from adyield.functions.numeric import wavg
 from adyield.operators.ordered import running_total
+from adyield.session import checkpointed
 
 # Operating systems a campaign may target per device.
 DEVICE_SYSTEMS = {
@@ -24,12 +25,12 @@ def weight_threshold(df: DataFrame, weight: str, share: float) -> DataFrame:
 
     Equal weights are folded first, then one running total goes down the distinct weights.
     """
-    groups = df.groupBy(F.col(weight).cast("double").alias("w")).agg(F.count("*").alias("n")).withColumn("down", -F.col("w"))
+    groups = checkpointed(df.groupBy(F.col(weight).cast("double").alias("w")).agg(F.count("*").alias("n")).withColumn("down", -F.col("w")))
     totals = running_total(groups, F.col("w") * F.col("n"), "reached", ["down"])
-    total = df.agg(F.sum(F.col(weight).cast("double"))).scalar()
+    total = groups.agg(F.sum(F.col("w") * F.col("n"))).scalar()
     # the last row of a group has all of the group but itself before it
     crossing = totals.filter(F.col("reached") - F.col("w") > total * F.lit(share)).agg(F.max("w").alias("w"))
-    smallest = df.agg(F.min(F.col(weight).cast("double"))).scalar()
+    smallest = groups.agg(F.min("w")).scalar()
     return crossing.select(F.coalesce(F.col("w"), smallest).alias("threshold"))
 
 

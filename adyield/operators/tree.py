@@ -155,7 +155,8 @@ def fit_tree(rows: DataFrame, attributes: Sequence[str], clusters: int | None =
     """
     attributes = list(attributes)
     smooth = trailing_daily_mean(rows, attributes, ["sessions", "revenue"], smooth_days)
-    smooth = rare_to_null(smooth.filter(F.col("sessions") > 0), attributes, min_sessions)
+    # read once per attribute and once more
+    smooth = rare_to_null(checkpointed(smooth.filter(F.col("sessions") > 0)), attributes, min_sessions)
     names = [f"in_{i}" for i in range(len(attributes))]
     folded = smooth.groupBy(*[_label(c).alias(n) for c, n in zip(attributes, names)]).agg(
         F.sum("sessions").cast("double").alias("w"), F.sum("revenue").cast("double").alias("s"))
@@ -277,6 +278,7 @@ def estimate_rps(rows: DataFrame, tree: TreeClusters, lead_threshold: float = 15
 
 def fill_days(df: DataFrame, keys: Sequence[str], measures: Sequence[str], span_of: DataFrame) -> DataFrame:
     """All days of ``span_of`` for every key, empty ones filled from the day before."""
+    df = checkpointed(df)
     span = span_of.agg(F.struct(F.min("utc_dt").alias("first"), F.max("utc_dt").alias("last"))).scalar()
     axis = df.select(*keys).distinct().withColumn("span", span).select(
         *keys, F.explode(F.sequence("span.first", "span.last")).alias("utc_dt"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from adyield.operators import campaigns as cp, clusters as cl, geo, structure as st, tree
 from adyield.plans import campaign_plan, publisher_bids as pb
+from adyield.session import checkpointed
 from checks.registry import register
 from checks.sessions import ALL, DEVICE, OS, UNIFIED, daily_sql, rps_daily
 from checks.views import view, with_views
@@ -197,12 +198,12 @@ FROM rows GROUP BY 1, 2""", FIXED), "revenue:4 rps:9 score:9 lps:9 rpl:9")
 register("clusters_by_mean", lambda spark, sf: cl.mean_clusters(rps_daily(spark, sf), ["state", "device"], 4))
 for _similarity, _method in (("cokpi", "mean"), ("cokpi", "stack"), ("correlation", "mean")):
     register(f"clusters_by_curve_{_similarity}_{_method}", lambda spark, sf, s=_similarity, m=_method: cl.curve_clusters(
-        rps_daily(spark, sf), ["state", "device"], 4, similarity=s, method=m))
+        checkpointed(rps_daily(spark, sf)), ["state", "device"], 4, similarity=s, method=m))
 
 
 def _similarity_distances(spark, sf):
     """Squared length of every bucket's similarity row, from the projected vectors."""
-    vectors = cl.similarity_table(rps_daily(spark, sf), ["state", "device"], kpis=["rps", "lps"])
+    vectors = cl.similarity_table(checkpointed(rps_daily(spark, sf)), ["state", "device"], kpis=["rps", "lps"])
     return vectors.select("state", "device", F.aggregate("v", F.lit(0.0), lambda a, b: a + b * b).alias("length"))
 
 
@@ -220,7 +221,7 @@ curves AS (SELECT * FROM smooth, tops)"""), "length:6")
 
 
 def fitted(spark, sf):
-    rows = rps_daily(spark, sf)
+    rows = checkpointed(rps_daily(spark, sf))
     return rows, tree.fit_tree(rows, SPLIT, 16, min_sessions=10)
 
 
@@ -296,7 +297,12 @@ structure AS MATERIALIZED (SELECT device, state, clust, CAST(sum(sessions) AS BI
     list_sort(list(DISTINCT keyword)) AS keyword FROM rows GROUP BY 1, 2, 3)"""
 register("structure_campaigns", lambda spark, sf: structure(spark, sf).withColumn("keyword", F.array_join("keyword", ",")),
          with_views(ALL, "SELECT * REPLACE (array_to_string(keyword, ',') AS keyword) FROM structure", STRUCTURE), "rps_avg:9")
-register("structure_coverage", lambda spark, sf: st.coverage_check(structure(spark, sf), fixed_clusters(spark, sf)), with_views(ALL, """
+def _coverage(spark, sf):
+    rows = checkpointed(fixed_clusters(spark, sf))
+    return st.coverage_check(st.campaign_structure(rows, ["device", "state"], "keyword"), rows)
+
+
+register("structure_coverage", _coverage, with_views(ALL, """
 SELECT CAST(sum(sessions) AS BIGINT) AS input_sessions, sum(rps_avg * sessions) / sum(sessions) AS input_rps,
   CAST(sum(sessions) AS BIGINT) AS campaign_sessions, sum(rps_avg * sessions) / sum(sessions) AS campaign_rps FROM rows""", FIXED), "input_rps:9 campaign_rps:9")
 LISTS = f"""{STRUCTURE},
@@ -332,7 +338,7 @@ register("structure_method_report", _method_report)
 
 
 def _plan(spark, sf):
-    rows = rps_daily(spark, sf, ("state", "device", "keyword", "utc_dt"))
+    rows = checkpointed(rps_daily(spark, sf, ("state", "device", "keyword", "utc_dt")))
     clustered = campaign_plan.clustered_rows(rows, ["state", "device", "keyword"], "tree", EVALUATION, 8, 10)
     return campaign_plan.campaign_plan(clustered, ["state", "device", "keyword"]).select("sessions_60d", "targeting")
 

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from adyield.operators import campaigns as cp, geo, joins, sessions
+from adyield.operators import campaigns as cp, geo, joins, sessions, structure
 from adyield.sources import scans, schemas, sinks
 from checks.views import table, view
 from tests.conftest import plan_of
@@ -246,3 +246,9 @@ def test_filters_do_not_repeat_what_is_parsed(spark):
     plan = plan_of(joins._reach(blocks))
     assert "split_part" in plan or "element_at" in plan
     assert not any("Filter" in line and ("split_part" in line or "element_at" in line) for line in plan.splitlines())
+
+
+def test_weights_are_read_once(spark):
+    rows = spark.range(1, 11).selectExpr("id AS w")
+    found = structure.weight_threshold(rows, "w", 0.8)
+    assert "Range (" not in plan_of(found) and found.first()["threshold"] == 4.0
