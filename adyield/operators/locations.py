@@ -167,7 +167,11 @@ def revenue_spread(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
 # --- test groups -------------------------------------------------------------------------
 
 def scaled(df: DataFrame, columns: Sequence[str], method: str = "max") -> DataFrame:
-    """Columns divided by their largest magnitude, or centred and divided by their deviation."""
+    """Columns divided by their largest magnitude, or centred and divided by their deviation.
+
+    The rows are written out first: they are read for the scale and again for the values, and more often by a fit.
+    """
+    df = checkpointed(df)
     if method == "max":
         tops = df.agg(F.struct(*[F.max(F.abs(c)).alias(c) for c in columns])).scalar()
         with_top = df.withColumn("scale_top", tops)

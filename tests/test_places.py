@@ -117,3 +117,18 @@ def test_moments_far_from_zero(spark):
     for city, row in by_city.items():
         t, p = welch([r[3] for r in rows if r[2] != city], [r[3] for r in rows if r[2] == city])
         assert row["t"] == pytest.approx(t, rel=2e-6, abs=2e-6) and row["pval"] == pytest.approx(p, rel=2e-6)
+
+
+def test_region_clusters_work_their_rows_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(f"r{i}", float(i % 7), float(i)) for i in range(40)], "region string, a double, b double")
+    for fit in (lambda df: loc.region_clusters(df, ["a", "b"], 2), lambda df: loc.elbow(df, ["a", "b"], 4), lambda df: loc.scaled(df, ["a", "b"])):
+        before = seen.value
+        fit(rows.mapInPandas(count, rows.schema)).collect()
+        assert seen.value - before == 40
