@@ -263,11 +263,11 @@ def regression_spline(df: DataFrame, keys: Sequence[str], index: str, column: st
     Segments are doubled up to 2 ** ``rungs`` and to as many coefficients as there are places; where none is close enough the closest
     counts. Normal equations are banded and summed per segment, so a series may have any number of rows, also several at a place;
     only its coefficients, never its rows, come together in one task. Rows without a place or value do not count; a row without a
-    place gets no value.
+    place gets no value. The rows are written out first, as they are read for the range, for the sums and for the curve.
     """
     if not 0 <= degree <= 5:
         raise ValueError("degree must be 0 to 5")
-    keys, width = list(keys), degree + 1
+    keys, width, df = list(keys), degree + 1, checkpointed(df)
     names = [f"k{i}" for i in range(len(keys))]
     plain = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(index).cast("double").alias("x"), F.col(column).cast("double").alias("y")) \
         .filter("x is not null and y is not null")

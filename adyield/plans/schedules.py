@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from adyield.functions.numeric import round_to_twentieth, scaled_modifier
 from adyield.functions.timeparts import SLOTS_PER_DAY, monday_first
 from adyield.operators import intervals, ordered, smoothing as sm, slots
+from adyield.session import checkpointed
 
 ALL = "ALL"
 
@@ -82,7 +83,7 @@ def spline_schedule(series: DataFrame, keys: Sequence[str], rps_error: float, se
 
     With ``degree`` the curves are splines of that degree with the fewest segments, else the smoothest curves within the bounds.
     """
-    curve = sm.clip_quantiles(series, keys, "rps", 0.001, 0.999)
+    curve = checkpointed(sm.clip_quantiles(series, keys, "rps", 0.001, 0.999))
     for column, error in (("rps", rps_error), ("sessions", sessions_error)):
         if degree is None:
             curve = sm.smoothing_spline(curve, keys, "int_ix", column, f"{column}_spline", error)

@@ -207,3 +207,19 @@ def test_closest_spline_where_none_is_close_enough(spark):
     assert sm.regression_spline(alone, [], "ix", "y", "s", 2).first()["s"] == pytest.approx(2.5)
     with pytest.raises(ValueError):
         sm.regression_spline(alone, ["k"], "ix", "y", "s", 6)
+
+
+def test_splines_work_their_series_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([("a", i // 8, i % 8 / 4, i, float(i % 5), 3) for i in range(56)],
+                                 "product string, dayofweek int, hourofday double, int_ix int, rps double, sessions long")
+    for degree in (None, 3):
+        before = seen.value
+        schedules.spline_schedule(rows.mapInPandas(count, rows.schema), ["product"], 1.0, 1.0, degree=degree).collect()
+        assert seen.value - before == 56
