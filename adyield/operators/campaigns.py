@@ -136,7 +136,7 @@ def latest_updates(updates: DataFrame, with_schedule: bool = False, order: str =
 
 def latest_campaigns(bodies: DataFrame, as_of, order: str = "datetime") -> DataFrame:
     """Newest body per campaign, kept when active and not older than ``as_of``."""
-    keyed = bodies.withColumn("campaign_id", F.get_json_object("body", "$.id"))
+    keyed = dealt(bodies).withColumn("campaign_id", F.get_json_object("body", "$.id"))
     newest = latest_per_key(keyed, ["campaign_id"], [order])
     active = F.get_json_object("body", "$.is_active") == "true"
     return newest.filter(active & (F.col("date") >= F.lit(str(as_of)).cast("date")))

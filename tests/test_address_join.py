@@ -4,8 +4,10 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from adyield.operators import joins
+from adyield.functions import network
+from adyield.operators import campaigns, joins
 from tests.conftest import plan_of
 
 HOT = 1500
@@ -72,3 +74,17 @@ def test_no_sessions_and_no_blocks(tables):
     assert joins.ip_ordered_join(sessions.limit(0), blocks).collect() == []
     assert joins.ip_ordered_join(sessions, blocks.limit(0)).collect() == []
     assert joins.ip_ordered_join(sessions, blocks.limit(0), "left").count() == sessions.count()
+
+
+def test_addresses_are_split_once_and_campaigns_dealt(spark):
+    rows = [(i, a) for i, a in enumerate(["1.2.3.4", "", None, "1.2.3", "1.2.3.4.5", "a.1.1.1", "1..2.3", " 1.2.3.4", ".1.2.3."])]
+    sessions = spark.createDataFrame(rows, "session_id int, ip_address string")
+    ip = F.col("ip_address")
+    assert sessions.filter(~network.inet_aton(ip).eqNullSafe(network.octets_aton(network.octets_of(ip)))).count() == 0
+    blocks = spark.createDataFrame([("1.2", 16908288, 16973823, 1)], "ip_index string, start_int long, end_int long, maxmind_id int")
+    left, _ = joins.ip_parts(sessions, blocks)
+    plan = plan_of(left)
+    assert plan.count("split(") == 1 and "split_part" not in plan
+    bodies = spark.createDataFrame([("2024-01-30", 1, '{"id": "1", "is_active": "true"}')], "date string, version int, body string")
+    newest = campaigns.latest_campaigns(bodies.withColumn("date", F.to_date("date")), "2024-01-30", "version")
+    assert "RoundRobinPartitioning" in plan_of(newest) and newest.count() == 1
