@@ -109,11 +109,12 @@ class Model(NamedTuple):
 
 def words_of(text: Column) -> Column:
     """Words in lower case, in order: runs of letters and digits."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
-def _stem(word: Column) -> Column:
-    return F.when(F.length(word) >= STEM_LETTERS, F.substring(word, 1, STEM_LETTERS))
+def _beginning(word: Column) -> Column:
+    """The stem of a word; a shorter word is equal to no stem."""
+    return F.substring(word, 1, STEM_LETTERS)
 
 
 def with_votes(docs: DataFrame, voters: list[Voter]) -> DataFrame:
@@ -124,7 +125,7 @@ def with_votes(docs: DataFrame, voters: list[Voter]) -> DataFrame:
     words = sorted({w for v in voters if v.kind == "words" for w in v.terms})
     stems = sorted({w for v in voters if v.kind == "stem" for w in v.terms})
     found = docs.withColumn("words", words_of(F.col("text"))).withColumn("hits", F.array_intersect("words", texts(words))) \
-        .withColumn("stems", F.filter(F.transform("words", _stem), lambda s: F.array_contains(texts(stems), s)))
+        .withColumn("stems", F.transform(F.filter("words", lambda w: _beginning(w).isin(stems)), _beginning))
 
     def vote(voter: Voter) -> Column:
         if voter.kind == "words":
