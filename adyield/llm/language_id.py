@@ -20,7 +20,7 @@ from adyield.llm.common import pick, text_slices
 SIZE = 300
 ORDERS = (1, 2, 3)
 #: Characters that one vectorised step works on; a longer text is a step of its own.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 17
 
 UNKNOWN = "und"
 
