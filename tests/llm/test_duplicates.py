@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import combinations, groupby
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -205,6 +206,53 @@ def test_passages_of_words_equal_brute_force(spark):
     assert sorted((r[0] or 0, bytes(r.kept)) for r in found) == sorted((k or 0, t) for k, t in word_repeats(rows, 400, 51))
 
 
+def word_passages(rows, words):
+    """The maximal stretches of each text that runs of words which stand elsewhere cover, as start and length."""
+    seen, found = Counter(), []
+    for key, text in rows:
+        data = (text or "").encode()
+        at = [(m.start(), m.end()) for m in re.finditer(rb"[^ \t-\r]+", data)]
+        runs = [(at[i][0], at[i + words - 1][1], tuple(data[a:b] for a, b in at[i:i + words])) for i in range(len(at) - words + 1)]
+        seen.update(r[2] for r in runs)
+        found.append((key, runs))
+    for key, runs in found:
+        covered = sorted({i for a, b, r in runs if seen[r] > 1 for i in range(a, b)})
+        parts = [[i for _, i in g] for _, g in groupby(enumerate(covered), lambda x: x[1] - x[0])]
+        yield key, [(p[0], len(p)) for p in parts]
+
+
+def test_passages_of_words_are_named_and_not_cut(spark):
+    draw = random.Random(12)
+    text = lambda n: " ".join("".join(draw.choice("abé") for _ in range(draw.randint(1, 5))) for _ in range(n))
+    shared = [text(n) for n in (50, 51, 53, 90)]
+    rows = [(i, text(draw.randint(0, 60)) + " " + draw.choice(shared) + " " + text(draw.randint(0, 60))) for i in range(30)]
+    rows += [(40, shared[1].replace(" ", "\n \t")), (41, None), (42, " "), (43, "a " * 60), (44, shared[1] + "x"), (45, "b " * 52 + text(9) + " b" * 51),
+             (46, shared[2] + " " + shared[1]), (47, "q" * 900), (48, text(40)), (48, text(40))]
+    found = suffix_dedup.remove_repeats(frame(spark, rows).repartition(3), words=51, cut_words=False)
+    assert sorted((r.doc_id, [tuple(s) for s in r.passages]) for r in found.collect()) == sorted(word_passages(rows, 51))
+    assert removed(found) == repeats(rows, 400)
+
+
+def test_runs_of_words_share_their_anchor_wherever_they_stand():
+    draw = random.Random(3)
+    words = lambda n: [f"{draw.randrange(10**6)}" for _ in range(n)]
+    shared = words(60)
+    texts = [" ".join(words(40) + shared + words(7)), " ".join(words(3) + shared + words(90))]
+    sinks = [pa.BufferOutputStream() for _ in texts]
+    for sink, text in zip(sinks, texts):
+        batch = pa.RecordBatch.from_pydict({"text": [text]})
+        with pa.ipc.new_stream(sink, batch.schema) as writer:
+            writer.write_batch(batch)
+    a, b = (suffix_dedup._Runs(suffix_dedup._Block(s.getvalue()), 51) for s in sinks)
+    equal = set(a.names.tolist()) & set(b.names.tolist())
+    assert len(equal) == 10 and len(a.names) == 57 and len(b.names) == 103
+    anchor = dict(zip(b.names.tolist(), b.anchors.tolist()))
+    assert all(anchor[n] == m for n, m in zip(a.names.tolist(), a.anchors.tolist()) if n in equal)
+    # only runs around the shared words are left to be sorted, and few anchors stand for many runs
+    tied = np.isin(b.anchors, a.anchors)
+    assert 10 <= tied.sum() < 40 and len(set(b.anchors.tolist())) < 20 and not b.anchored_twice.any()
+
+
 @pytest.mark.parametrize("size", [1, 5])
 def test_pipeline_cuts_51_words_of_any_bytes(spark, size):
     shared = " ".join(f"{i:0{size}d}" if size > 2 else chr(0x61 + i % 26) for i in range(51))
@@ -303,5 +351,7 @@ def test_registered_passages_on_given_documents(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     found = queries.QUERIES["op9_suffix_array_dedup"](spark, sf).collect()
     assert sorted((tuple(r)[:5] for r in found), key=lambda r: (r[0] is None, r)) == repeats(rows, 400)
+    assert sorted((r.doc_id, r.n_passages) for r in found) == sorted((k, len(p)) for k, p in word_passages(rows, 51))
+    assert any(r.n_passages and not r.n_removed for r in found)
     # the remaining text is whole where no cut went through a character
     assert all(hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256 for r in found if "\ufffd" not in r.text)
