@@ -143,7 +143,8 @@ def identify(docs: DataFrame, profiles: list[tuple[str, int, int]], id_col: str
     was learned. Equal distances go to the language that sorts first. Repeated rows are judged alike; other columns may have
     any name.
     """
-    rows = pick(docs, id=id_col, text=text_col, **{f"keep_{i}": c for i, c in enumerate(keep)})
+    column = {c: "text" if c == text_col else f"keep_{i}" for i, c in enumerate(keep)}  # a text that is kept is sent once
+    rows = pick(docs, id=id_col, text=text_col, **{name: c for c, name in column.items() if name != "text"})
     langs = sorted({row[0] for row in profiles})
     grams = np.array(sorted({row[1] for row in profiles}), np.int64)
     ranks = np.full((len(langs), len(grams)), -1, np.int64)
@@ -167,12 +168,13 @@ def identify(docs: DataFrame, profiles: list[tuple[str, int, int]], id_col: str
                 least = distance.min(axis=0) if langs else np.zeros(len(piece))
                 score = np.where(known, 1 - least / np.maximum(shown * size, 1), 0.0)
                 yield pa.RecordBatch.from_pydict({
-                    "id": piece.column("id"), **{f"keep_{i}": piece.column(f"keep_{i}") for i in range(len(keep))},
+                    "id": piece.column("id"), **{f"keep_{i}": piece.column(column[c]) for i, c in enumerate(keep)},
                     "lang_pred": pa.array([langs[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
                     "score": pa.array(score, pa.float64()),
                     **({"n_letters": pa.array(np.bincount(owner[chars != 32], minlength=len(piece)))} if letters else {})})
 
-    schema = ", ".join([f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns if c != "text"]
+    kept = {"id": "id"} | {f"keep_{i}": column[c] for i, c in enumerate(keep)}
+    schema = ", ".join([f"{c} {rows.schema[name].dataType.simpleString()}" for c, name in kept.items()]
                        + ["lang_pred string", "score double"] + ["n_letters long"] * letters)
     return rows.mapInArrow(judge, schema).toDF(id_col, *keep, "lang_pred", "score", *["n_letters"] * letters)
 

@@ -193,8 +193,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     window = length - COVER_MODULUS + 1
     rows = pick(docs, id=id_col, text=text_col, **{f"keep_{i}": c for i, c in enumerate(keep)})
     volume = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    samples = volume * len(COVER) // COVER_MODULUS
-    items = samples + (volume // WORD_BYTES if words else 0)
+    items = volume * len(COVER) // COVER_MODULUS
+    if words:  # two of so many parts and one more are the least around them
+        items += 2 * (volume // WORD_BYTES) // (words // 2 + 2)
     buckets = max(MIN_BUCKETS, -(-items // BUCKET_ITEMS))
     upper = np.uint64(2**64 - 2**max(0, (64 - SPARE_BITS - items.bit_length()) // 8 * 8))
     blocks = _blocks(rows).repartition("block")

@@ -79,6 +79,15 @@ def test_language_ranks_equal_brute_force(spark):
     assert language_id.learn_profiles(empty).count() == 0 and language_id.identify(empty, profiles).count() == 0
 
 
+def test_kept_text_is_sent_to_workers_once(spark):
+    docs = spark.createDataFrame([(1, "ab ab", "x"), (2, None, "y"), (3, "", None)], "doc_id long, text string, lang string")
+    found = language_id.identify(docs, [("x", 0, 0)], keep=("lang", "text"))
+    assert found.columns == ["doc_id", "lang", "text", "lang_pred", "score"]
+    assert sorted((r.doc_id, r.lang, r.text) for r in found.collect()) == [(1, "x", "ab ab"), (2, "y", None), (3, None, "")]
+    sent = re.search(r"MapInArrow.*?Project \[(.*?)\]", found._jdf.queryExecution().executedPlan().toString(), re.S)
+    assert sent[1].count(",") == 2
+
+
 def test_language_of_held_out_documents(spark, sf):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     found = queries.QUERIES["op8_language_id"](spark, sf).collect()
